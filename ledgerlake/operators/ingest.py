@@ -35,7 +35,7 @@ def type_movements(raw: DataFrame) -> DataFrame:
         *[c for c in raw.columns if c not in model.COLUMNS and c != CORRUPT],
         F.col("id_mouvement"),
         parse_id("id_mouvement").alias("mouvement_no"),
-        F.try_to_date(F.col("date_op"), F.lit("yyyy-MM-dd")).alias("date_op"),
+        F.try_to_date(F.col("date_op"), "yyyy-MM-dd").alias("date_op"),
         "produit",
         "type_op",
         montant.alias("montant"),

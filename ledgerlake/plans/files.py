@@ -1 +1,352 @@
-"""File-based queries (sources, sinks, streams)."""
+"""File-based catalogue queries: landings, readers, repair, layout, stream.
+
+Each query writes under a fresh folder of the shared checkpoint directory
+(never into the read-only input folder) and returns a DataFrame that reads
+what was written, so the source/sink pair is what gets verified.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ledgerlake import model
+from ledgerlake.functions import draws as D
+from ledgerlake.functions.columns import has_replacement_char, parse_id
+from ledgerlake.operators import ingest as I
+from ledgerlake.operators import quality as Q
+from ledgerlake.operators.dedupe import keep_first, union_landings
+from ledgerlake.operators.incremental import new_files, read_manifest, record_manifest
+from ledgerlake.plans import oracle as O
+from ledgerlake.plans.catalogue import (
+    CHUNK, MV_COLS, N_SQL, SEED, SHARDS, _cols, mv, n_orders, orders, register,
+)
+from ledgerlake.session import scratch_path
+from ledgerlake.sinks import layout as L
+from ledgerlake.sources.generate import chunked_index, index_range, movements, raw_columns
+from ledgerlake.sources.raw import inventory, read_lines, read_raw, with_source_file
+
+TYPED_COLS = ["id_mouvement", "mouvement_no", "date_op", "produit", "type_op", "montant", "cents",
+              "agence_id", "pays"]
+_TYPED_SQL = ("id_mouvement, mouvement_no, date_op, produit, type_op, montant, cents, agence_id, pays")
+_RAW_SQL = ("id_mouvement, CAST(date_op AS VARCHAR) AS date_op, produit, type_op, "
+            "CAST(montant AS VARCHAR) AS montant, agence_id, pays")
+
+
+def typed_out(df: DataFrame, *extra: str) -> DataFrame:
+    """Typed rows with the staged DECIMAL amount shown as DOUBLE."""
+    return df.select(*[F.col(c).cast("double").alias(c) if c == "montant" else F.col(c) for c in TYPED_COLS], *extra)
+
+
+def _land(spark, sf, name, **kw) -> str:
+    path = scratch_path(spark, name)
+    L.land_movements(spark, path, n_orders(spark, sf), SHARDS, seed=kw.pop("seed", SEED), **kw)
+    return path
+
+
+# --- K1 K2 P13 S4 R3: CSV landing read back as all-string rows ---------------
+
+@register("csv_round_trip_raw", O.with_(O.orders_movements(), f"SELECT {_RAW_SQL} FROM mv"))
+def csv_round_trip_raw(spark, sf):
+    return read_raw(spark, _land(spark, sf, "raw_csv"))
+
+
+# --- R1 R5: typed parse -------------------------------------------------------
+
+@register("csv_typed", O.with_(O.orders_movements(), f"SELECT {_TYPED_SQL}, 'ok' AS reason FROM mv"))
+def csv_typed(spark, sf):
+    typed = I.type_movements(read_raw(spark, _land(spark, sf, "raw_typed")))
+    return typed_out(typed, "reason")
+
+
+# --- R2: quarantine of rows that do not parse ---------------------------------
+SPOIL_K = 97  # kinds 0 bad date, 1 bad number, 2 short row; the rest are clean
+
+
+@register("quarantine", O.with_(O.orders_movements(extra_draws=(D.C_SPOIL,)) + [
+    f"k AS (SELECT *, {D.sql_pick('h7', SPOIL_K)} AS kind FROM mv)"],
+    "SELECT CASE kind WHEN 0 THEN 'bad_date' WHEN 1 THEN 'bad_number' WHEN 2 THEN 'short_row' ELSE 'ok' END AS reason, "
+    "count(*) AS n_rows, CAST(sum(CASE WHEN kind = 1 THEN NULL ELSE cents END) AS BIGINT) AS sum_cents "
+    "FROM k GROUP BY 1"))
+def quarantine(spark, sf):
+    n = n_orders(spark, sf)
+    g = movements(index_range(spark, n, SHARDS), seed=SEED, extra_draws=(D.C_SPOIL,))
+    kind = D.pick("h7", SPOIL_K)
+    date = F.when(kind == 0, F.lit("2025-06-31")).otherwise(F.date_format("date_op", "yyyy-MM-dd"))
+    amount = F.when(kind == 1, F.lit("x")).otherwise(F.col("montant").cast("string"))
+    fields = [F.col("id_mouvement"), date, F.col("produit"), F.col("type_op"), amount, F.col("agence_id")]
+    line = F.when(kind == 2, F.concat_ws(",", *fields)).otherwise(F.concat_ws(",", *fields, F.col("pays")))
+    raw_path, out_path = scratch_path(spark, "raw_spoiled"), scratch_path(spark, "typed_by_reason")
+    L.write_lines(g.select(line.alias("value")), raw_path)
+    typed = I.type_movements(read_raw(spark, raw_path, header=False, corrupt=True))
+    # One write splits good and quarantined rows (R2): partition by reason.
+    typed.write.partitionBy("reason").parquet(out_path)
+    back = spark.read.parquet(out_path)
+    return back.groupBy("reason").agg(F.count("*").alias("n_rows"), F.sum("cents").alias("sum_cents"))
+
+
+# --- S7 F1 K3: headers met inside consolidated bodies --------------------------
+
+@register("header_filter", O.with_(O.orders_movements(), f"SELECT {_RAW_SQL} FROM mv"))
+def header_filter(spark, sf):
+    n = n_orders(spark, sf)
+    chunks, merged = scratch_path(spark, "chunks"), scratch_path(spark, "merged_text")
+    # One CSV per chunk, each with its own header (the superseded chunked writer).
+    L.write_csv(raw_columns(movements(chunked_index(spark, n, CHUNK), seed=SEED)), chunks)
+    n_chunks = max(1, -(-n // CHUNK))
+    lines = read_lines(spark, chunks)
+    shard = F.floor(L.part_number(F.col("file_name")) * SHARDS / n_chunks).cast("int")
+    # Text-level consolidation: header lines of every chunk end up inside the shard body.
+    L.write_lines(lines.repartitionById(SHARDS, shard).select("value"), merged)
+    return I.split_line(I.drop_repeated_headers(read_lines(spark, merged)))
+
+
+# --- R7: encoding guard, mojibake repair ---------------------------------------
+
+def _landing_report(spark, path: str, landing: str) -> DataFrame:
+    files = I.utf8_report(read_lines(spark, path)).agg(
+        F.count("*").alias("n_files"),
+        F.count_if(F.col("n_invalid_lines") > 0).alias("n_invalid_files"),
+        F.sum("n_lines").alias("n_lines"),
+        F.sum("n_invalid_lines").alias("n_invalid_lines"),
+    ).withColumn("landing", F.lit(landing))
+    rows = read_raw(spark, path).agg(
+        F.count("*").alias("n_rows"),
+        F.count_if(has_replacement_char("produit") | has_replacement_char("type_op")).alias("n_rows_fffd"),
+    ).withColumn("landing", F.lit(landing))
+    repaired = I.normalise_labels(read_raw(spark, path, encoding="ISO-8859-1")).agg(
+        F.count_if(F.col("produit").isin(*model.PRODUCTS) & F.col("type_op").isin(*model.OPERATION_TYPES))
+        .alias("n_rows_ok_after_repair")
+    ).withColumn("landing", F.lit(landing))
+    return files.join(rows, "landing").join(repaired, "landing")
+
+
+_ACCENTED_ROW = "(produit <> strip_accents(produit) OR type_op <> strip_accents(type_op))"
+
+
+@register("encoding_guard", O.with_(O.orders_movements(labels="accented") + [
+    f"s AS (SELECT *, ((mouvement_no * {SHARDS} - 1) // {N_SQL}) AS shard, {_ACCENTED_ROW} AS acc FROM mv)",
+    f"l AS (SELECT 'utf8' AS landing, false AS bad FROM (SELECT 1) UNION ALL SELECT 'latin1', true)"],
+    f"""SELECT l.landing, CAST({SHARDS} AS BIGINT) AS n_files,
+       CAST(CASE WHEN bad THEN (SELECT count(DISTINCT shard) FROM s WHERE acc) ELSE 0 END AS BIGINT) AS n_invalid_files,
+       CAST((SELECT count(*) FROM s) + {SHARDS} AS BIGINT) AS n_lines,
+       CAST(CASE WHEN bad THEN (SELECT count(*) FROM s WHERE acc) ELSE 0 END AS BIGINT) AS n_invalid_lines,
+       CAST((SELECT count(*) FROM s) AS BIGINT) AS n_rows,
+       CAST(CASE WHEN bad THEN (SELECT count(*) FROM s WHERE acc) ELSE 0 END AS BIGINT) AS n_rows_fffd,
+       CAST((SELECT count(*) FROM s) AS BIGINT) AS n_rows_ok_after_repair
+FROM l"""))
+def encoding_guard(spark, sf):
+    utf8 = _land(spark, sf, "raw_utf8", labels="accented")
+    latin1 = _land(spark, sf, "raw_latin1", labels="accented", encoding="ISO-8859-1")
+    return _landing_report(spark, utf8, "utf8").unionByName(_landing_report(spark, latin1, "latin1"))
+
+
+# --- R4 R9 H12: two overlapping landings, one row per id ----------------------
+
+def _two_landings_sql() -> list[str]:
+    return (O.movements_ctes("ma", "(SELECT o_orderkey AS i FROM orders)", seed=1)
+            + O.movements_ctes("mb", f"(SELECT o_orderkey + {N_SQL} // 2 AS i FROM orders)", seed=2, labels="accented"))
+
+
+@register("union_landings_dedupe", O.with_(_two_landings_sql() + [
+    "u AS (SELECT *, 'current' AS landing, 1 AS prio FROM ma UNION ALL "
+    "SELECT * REPLACE (strip_accents(produit) AS produit, strip_accents(type_op) AS type_op), 'beam', 2 FROM mb)",
+    "r AS (SELECT *, row_number() OVER (PARTITION BY mouvement_no ORDER BY prio) AS rn FROM u)"],
+    "SELECT mouvement_no, id_mouvement, landing, date_op, produit, type_op, montant, agence_id, pays FROM r WHERE rn = 1"))
+def union_landings_dedupe(spark, sf):
+    n = n_orders(spark, sf)
+    a, b = scratch_path(spark, "raw_current"), scratch_path(spark, "raw_beam")
+    L.land_movements(spark, a, n, SHARDS, seed=1)
+    L.land_movements(spark, b, n, SHARDS, seed=2, labels="accented", start=n // 2)
+    ra = with_source_file(read_raw(spark, a)).withColumns({"landing": F.lit("current"), "prio": F.lit(1)})
+    rb = with_source_file(read_raw(spark, b)).withColumns({"landing": F.lit("beam"), "prio": F.lit(2)})
+    typed = I.type_movements(union_landings(ra, rb))
+    one = keep_first(typed, "mouvement_no", ["prio", "file_name"])
+    return one.select("mouvement_no", "id_mouvement", "landing", "date_op", "produit", "type_op",
+                      F.col("montant").cast("double").alias("montant"), "agence_id", "pays")
+
+
+# --- S6 F2 F4 K3 O2: compaction of chunk parts into one file per shard --------
+
+@register("compact_parts", O.with_(O.orders_movements() + [
+    f"s AS (SELECT *, ((mouvement_no * {SHARDS} - 1) // {N_SQL}) AS shard FROM mv)"],
+    "SELECT shard, count(*) AS n_rows, CAST(sum(cents) AS BIGINT) AS sum_cents, min(mouvement_no) AS first_no, "
+    "max(mouvement_no) AS last_no, CAST(1 AS BIGINT) AS n_files FROM s GROUP BY shard"))
+def compact_parts(spark, sf):
+    from pyspark.sql import Observation
+    n = n_orders(spark, sf)
+    parts, out = scratch_path(spark, "parts"), scratch_path(spark, "compacted")
+    g = movements(chunked_index(spark, n, CHUNK), seed=SEED).withColumn("shard", L.shard_of(F.col("mouvement_no") - 1, n, SHARDS))
+    g.select(*model.COLUMNS, "shard").write.partitionBy("shard").option("header", True).csv(parts)
+    src = read_raw(spark, parts).withColumn("mouvement_no", parse_id("id_mouvement"))
+    obs_in, obs_out = Observation("parts_in"), Observation("compacted_out")
+    merged = L.compact(src.observe(obs_in, F.count("*").alias("n")), "shard", SHARDS, "mouvement_no")
+    L.write_csv(merged.observe(obs_out, F.count("*").alias("n")).select(*model.COLUMNS), out)
+    if obs_in.get["n"] != obs_out.get["n"]:
+        raise RuntimeError(f"compaction lost rows: {obs_in.get['n']} in, {obs_out.get['n']} out")
+    back = with_source_file(read_raw(spark, out)).withColumn("shard", L.part_number(F.col("file_name")))
+    t = I.type_movements(back)
+    return t.groupBy("shard").agg(
+        F.count("*").alias("n_rows"), F.sum("cents").alias("sum_cents"),
+        F.min("mouvement_no").alias("first_no"), F.max("mouvement_no").alias("last_no"),
+        F.count_distinct("file_name").alias("n_files"))
+
+
+# --- Q1 A1 A2: rows per file and in total ------------------------------------
+
+@register("rows_per_file", f"""
+WITH s AS (SELECT ((o_orderkey + 1) * {SHARDS} - 1) // {N_SQL} AS shard FROM orders)
+SELECT shard, count(*) AS n_rows FROM s GROUP BY ROLLUP (shard)""")
+def rows_per_file(spark, sf):
+    df = with_source_file(read_raw(spark, _land(spark, sf, "raw_counted")))
+    return Q.rows_per_file(df.withColumn("shard", L.part_number(F.col("file_name"))), "shard")
+
+
+# --- S5 F5 Q3 Q4: zone inventory ----------------------------------------------
+_HEADER_BYTES = len(",".join(model.COLUMNS)) + 1
+
+
+@register("zone_inventory", O.with_(O.orders_movements() + O.movements_ctes(
+    "mb", "(SELECT o_orderkey AS i FROM orders)", seed=2, labels="accented"),
+    f"""SELECT zone, CAST({SHARDS} AS BIGINT) AS n_files, CAST(bytes + {SHARDS * _HEADER_BYTES} AS BIGINT) AS n_bytes FROM (
+  SELECT 'raw_current' AS zone, sum(strlen(concat_ws(',', {_RAW_SQL.replace(' AS date_op', '').replace(' AS montant', '')})) + 1) AS bytes FROM mv
+  UNION ALL
+  SELECT 'raw_beam', sum(strlen(concat_ws(',', {_RAW_SQL.replace(' AS date_op', '').replace(' AS montant', '')})) + 1) FROM mb)"""))
+def zone_inventory(spark, sf):
+    root = scratch_path(spark, "lake")
+    n = n_orders(spark, sf)
+    L.land_movements(spark, f"{root}/raw_current", n, SHARDS, seed=SEED)
+    L.land_movements(spark, f"{root}/raw_beam", n, SHARDS, seed=2, labels="accented")
+    inv = inventory(spark, root, glob="*.csv")
+    zone = F.regexp_extract("path", r"/(raw_[a-z]+)/", 1)
+    return inv.groupBy(zone.alias("zone")).agg(F.count("*").alias("n_files"), F.sum("length").alias("n_bytes"))
+
+
+# --- R8: only files not yet ingested ------------------------------------------
+
+@register("new_files_only", O.with_(O.movements_ctes("mb", f"(SELECT o_orderkey + {N_SQL} AS i FROM orders)",
+                                                    seed=2, labels="accented"),
+    f"SELECT CAST({SHARDS} AS BIGINT) AS n_new_files, count(*) AS n_rows, CAST(sum(cents) AS BIGINT) AS sum_cents, "
+    "min(mouvement_no) AS min_no, max(mouvement_no) AS max_no FROM mb"))
+def new_files_only(spark, sf):
+    n = n_orders(spark, sf)
+    raw, manifest = scratch_path(spark, "raw_incr"), scratch_path(spark, "manifest")
+    L.land_movements(spark, raw, n, SHARDS, seed=1)
+    record_manifest(spark, inventory(spark, raw, glob="*.csv"), manifest)
+    L.land_movements(spark, raw, n, SHARDS, seed=2, labels="accented", start=n, mode="append")
+    fresh = new_files(spark, raw, read_manifest(spark, manifest))
+    # File paths only (one string per new file) reach the driver, as in any file listing.
+    paths = [r.path for r in fresh.select("path").collect()]
+    t = I.type_movements(read_raw(spark, paths))
+    return t.agg(F.lit(len(paths)).cast("bigint").alias("n_new_files"), F.count("*").alias("n_rows"),
+                 F.sum("cents").alias("sum_cents"), F.min("mouvement_no").alias("min_no"),
+                 F.max("mouvement_no").alias("max_no"))
+
+
+# --- K5 K7: partitioned published table ---------------------------------------
+
+def _staged(g: DataFrame) -> DataFrame:
+    return g.select("id_mouvement", "mouvement_no", "date_op", "produit", "type_op",
+                    (F.col("cents").cast("decimal(14,0)") / 100).cast("decimal(12,2)").alias("montant"),
+                    "agence_id", "pays")
+
+
+@register("partition_read", O.with_(O.orders_movements(),
+    "SELECT pays, produit, count(*) AS n_rows, CAST(sum(cents) AS BIGINT) AS sum_cents, "
+    "min(mouvement_no) AS min_no, max(mouvement_no) AS max_no FROM mv GROUP BY pays, produit"))
+def partition_read(spark, sf):
+    path = scratch_path(spark, "published")
+    L.publish_partitioned(_staged(mv(spark, sf)), path, ["pays", "produit"], sort_col="mouvement_no")
+    t = spark.read.parquet(path)
+    return t.groupBy("pays", "produit").agg(
+        F.count("*").alias("n_rows"), (F.sum("montant") * 100).cast("bigint").alias("sum_cents"),
+        F.min("mouvement_no").alias("min_no"), F.max("mouvement_no").alias("max_no"))
+
+
+# --- K10 K6 fallback: replace one month, keep the others -----------------------
+
+@register("replace_month", O.with_(
+    O.movements_ctes("jun", "(SELECT o_orderkey AS i FROM orders)", seed=2)
+    + O.movements_ctes("jul", "(SELECT o_orderkey AS i FROM orders)", seed=1, start_date="2025-07-01", days=31,
+                       id_offset=0),
+    f"""SELECT mois, count(*) AS n_rows, CAST(sum(cents) AS BIGINT) AS sum_cents, min(mouvement_no) AS min_no,
+       max(mouvement_no) AS max_no FROM (
+  SELECT strftime(date_op, '%Y-%m') AS mois, cents, mouvement_no FROM jun
+  UNION ALL SELECT strftime(date_op, '%Y-%m'), cents, mouvement_no + {N_SQL} FROM jul) GROUP BY mois"""))
+def replace_month(spark, sf):
+    n = n_orders(spark, sf)
+    idx = orders(spark, sf).select(F.col("o_orderkey").alias("i"))
+    path = scratch_path(spark, "monthly")
+
+    def month(seed, start, days, offset):
+        g = movements(idx, seed=seed, start_date=start, days=days, id_offset=offset)
+        return _staged(g).withColumn("mois", F.date_format("date_op", "yyyy-MM"))
+
+    first = month(1, "2025-06-01", 30, 0).unionByName(month(1, "2025-07-01", 31, n))
+    L.publish_partitioned(first, path, ["mois"], sort_col="mouvement_no")
+    L.publish_partitioned(month(2, "2025-06-01", 30, 0), path, ["mois"], sort_col="mouvement_no", dynamic=True)
+    t = spark.read.parquet(path)
+    return t.groupBy("mois").agg(
+        F.count("*").alias("n_rows"), (F.sum("montant") * 100).cast("bigint").alias("sum_cents"),
+        F.min("mouvement_no").alias("min_no"), F.max("mouvement_no").alias("max_no"))
+
+
+# --- K8 K9: other formats, compression -----------------------------------------
+FORMATS = [("orc", "orc", None), ("json", "json", None), ("csv_gzip", "csv", "gzip")]
+
+
+@register("format_round_trip", O.with_(O.orders_movements(),
+    "SELECT fmt, n_rows, sum_cents, min_no, max_no FROM (SELECT count(*) AS n_rows, CAST(sum(cents) AS BIGINT) AS sum_cents, "
+    "min(mouvement_no) AS min_no, max(mouvement_no) AS max_no FROM mv), "
+    f"(VALUES {', '.join(f'({chr(39)}{f}{chr(39)})' for f, _, _ in FORMATS)}) AS t(fmt)"))
+def format_round_trip(spark, sf):
+    from pyspark.sql import types as T
+    staged = _staged(mv(spark, sf))
+    schema = T.StructType([f for f in model.STAGED_SCHEMA.fields])
+    out = None
+    for name, fmt, comp in FORMATS:
+        path = scratch_path(spark, f"fmt_{name}")
+        L.write_format(staged, path, fmt, comp)
+        r = spark.read.format(fmt)
+        if fmt == "csv":
+            r = r.option("header", True)
+        back = r.schema(schema).load(path)
+        agg = back.agg(F.count("*").alias("n_rows"), (F.sum("montant") * 100).cast("bigint").alias("sum_cents"),
+                       F.min("mouvement_no").alias("min_no"), F.max("mouvement_no").alias("max_no"))
+        agg = agg.select(F.lit(name).alias("fmt"), "*")
+        out = agg if out is None else out.unionByName(agg)
+    return out
+
+
+# --- X4: incremental file stream raw -> staging --------------------------------
+
+@register("stream_landing", O.with_(O.orders_movements(), f"SELECT {_TYPED_SQL} FROM mv"))
+def stream_landing(spark, sf):
+    from ledgerlake.streaming.landing import ingest_available
+    n = n_orders(spark, sf)
+    raw, staging, ckpt = scratch_path(spark, "raw_stream"), scratch_path(spark, "staging"), scratch_path(spark, "ckpt")
+    half = n // 2
+    L.land_movements(spark, raw, half, SHARDS, seed=SEED)
+    ingest_available(spark, raw, staging, ckpt)
+    L.land_movements(spark, raw, n - half, SHARDS, seed=SEED, start=half, mode="append")
+    ingest_available(spark, raw, staging, ckpt)  # picks up only the second landing
+    return typed_out(spark.read.parquet(staging))
+
+
+# --- X1: a user's own row function through Arrow batches -------------------------
+
+@register("user_row_function", O.with_(O.orders_movements(), f"SELECT {_cols(MV_COLS)} FROM mv"))
+def user_row_function(spark, sf):
+    from ledgerlake.functions.rowfn import apply_row_function, movements_batch, MOVEMENT_BATCH_SCHEMA
+    idx = orders(spark, sf).select(F.col("o_orderkey").alias("i"))
+    out = apply_row_function(idx, lambda pdf: movements_batch(pdf["i"].to_numpy(), SEED), MOVEMENT_BATCH_SCHEMA)
+    return out.select(*[F.to_date("date_op").alias("date_op") if c == "date_op" else F.col(c) for c in MV_COLS])
+
+
+# --- X3 Q2 Q8 A3 P18 P19: the whole job with its metrics (clock values: no oracle)
+
+@register("run_metrics")
+def run_metrics(spark, sf):
+    from ledgerlake.plans.run import JobConfig, run_job
+    cfg = JobConfig(base=scratch_path(spark, "lake_run"), n_rows=n_orders(spark, sf), n_shards=SHARDS, seed=SEED)
+    return run_job(spark, cfg)

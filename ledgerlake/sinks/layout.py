@@ -61,7 +61,8 @@ def write_csv(df: DataFrame, path: str, header: bool = True, compression: str |
 
 def land_movements(spark: SparkSession, path: str, n_rows: int, n_shards: int = model.DEFAULT_SHARDS,
                    seed: int = 42, labels: str = "ascii", start: int = 0, id_offset: int = 0,
-                   encoding: str | None = None, compression: str | None = None, header: bool = True) -> DataFrame:
+                   encoding: str | None = None, compression: str | None = None, header: bool = True,
+                   mode: str = "errorifexists") -> DataFrame:
     """Generate ``n_rows`` and land them as ``n_shards`` CSV files (K1, K2).
 
     The source is ``spark.range`` with one partition per shard, so each
@@ -69,7 +70,7 @@ def land_movements(spark: SparkSession, path: str, n_rows: int, n_shards: int =
     Returns the generated frame (lazy) for callers that want metrics.
     """
     gen = movements(index_range(spark, n_rows, n_shards, start), seed=seed, labels=labels, id_offset=id_offset)
-    write_csv(raw_columns(gen), path, header=header, compression=compression, encoding=encoding)
+    write_csv(raw_columns(gen), path, header=header, compression=compression, encoding=encoding, mode=mode)
     return gen
 
 
@@ -95,16 +96,22 @@ def compact(df: DataFrame, shard_col: str, n_shards: int, order_col: str | None
 
 
 def publish_partitioned(df: DataFrame, path: str, partition_cols: list[str], fmt: str = "parquet",
-                        dynamic: bool = True, sort_col: str | None = None) -> None:
-    """Published table (K5-K7): Parquet partitioned by columns.
-
-    Rows are clustered by the partition columns first, so each task writes a
-    few large files instead of one small file per partition value. With
-    ``dynamic`` only the partitions present in ``df`` are replaced (K10).
+                        dynamic: bool = True, sort_col: str | None = None,
+                        num_tasks: int | None = None) -> None:
+    """Published table (K5-K7): files partitioned by column values.
+
+    Rows are range-partitioned on ``(partition_cols..., sort_col)`` with
+    sampled bounds, so every writer task gets a similar share of rows: a hot
+    value (one country holding a third of the table) spans many tasks and
+    files instead of landing in one, and each task writes only the few
+    partition values its range covers. With ``dynamic`` only the partitions
+    present in ``df`` are replaced (K10).
     """
-    out = df.repartition(*[F.col(c) for c in partition_cols])
+    keys = [F.col(c) for c in partition_cols] + ([F.col(sort_col)] if sort_col else [])
+    n = num_tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    out = df.repartitionByRange(n, *keys)
     if sort_col:
-        out = out.sortWithinPartitions(*partition_cols, sort_col)
+        out = out.sortWithinPartitions(*keys)
     (out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
         .partitionBy(*partition_cols)
