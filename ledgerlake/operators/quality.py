@@ -15,20 +15,21 @@ from ledgerlake import model
 from ledgerlake.functions import draws as D
 
 # Literal maps: a lookup without any join. Size fixed by ``model``.
-_LO = F.create_map(*[x for t, (lo, _) in zip(model.OPERATION_TYPES, model.AMOUNT_BOUNDS_CENTS)
-                     for x in (F.lit(t), F.lit(lo).cast("bigint"))])
-_HI = F.create_map(*[x for t, (_, hi) in zip(model.OPERATION_TYPES, model.AMOUNT_BOUNDS_CENTS)
-                     for x in (F.lit(t), F.lit(hi).cast("bigint"))])
+def _bound_map(pos: int) -> Column:
+    return F.create_map(*[x for t, b in zip(model.OPERATION_TYPES, model.AMOUNT_BOUNDS_CENTS)
+                          for x in (F.lit(t), F.lit(b[pos]).cast("bigint"))])
+
+
 OTHER = "__other__"
 
 
 def rule_lo(label: Column) -> Column:
     """Low bound in cents of the amount rule for a (folded) label."""
-    return F.coalesce(F.try_element_at(_LO, label), F.lit(model.DEFAULT_BOUNDS_CENTS[0]).cast("bigint"))
+    return F.coalesce(F.try_element_at(_bound_map(0), label), F.lit(model.DEFAULT_BOUNDS_CENTS[0]).cast("bigint"))
 
 
 def rule_hi(label: Column) -> Column:
-    return F.coalesce(F.try_element_at(_HI, label), F.lit(model.DEFAULT_BOUNDS_CENTS[1]).cast("bigint"))
+    return F.coalesce(F.try_element_at(_bound_map(1), label), F.lit(model.DEFAULT_BOUNDS_CENTS[1]).cast("bigint"))
 
 
 def rule_group(label: Column) -> Column:
