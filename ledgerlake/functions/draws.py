@@ -7,7 +7,7 @@ Spark and DuckDB evaluate identically:
 
     mix1(x)     = ((x XOR (x >> 16)) * 73244475) AND 0xFFFFFFFF
     mix(x)      = z XOR (z >> 16)  with  z = mix1(mix1(x))
-    base(i)     = mix((i + seed * 1000003) AND 0xFFFFFFFF)
+    base(i)     = mix((lo(i) + seed * 1000003 + mix(hi(i))) AND 0xFFFFFFFF)
     H(i, c)     = mix((base(i) + c * 2654435761) AND 0xFFFFFFFF)
     pick(i,c,k) = (H(i, c) * k) >> 32                     -- uniform in 0..k-1
 
@@ -17,7 +17,10 @@ keeps the expression tree linear (Catalyst will not collapse projections that
 would duplicate a non-trivial expression). The whole chain still runs inside a
 single whole-stage-codegen span with no shuffle.
 
-Note: the index is folded to 32 bits, so draws repeat after 2**32 rows.
+``lo``/``hi`` are the low and high 32-bit words of the index; ``mix(0) = 0``,
+so the high word only matters past 2**32 rows, where it keeps rows ``i`` and
+``i + 2**32`` unrelated. The mixed state is 32 bits: a hash for test data, not
+cryptography.
 """
 
 from __future__ import annotations
@@ -58,8 +61,15 @@ def _restage(df: DataFrame, names: Iterable[str], fn) -> DataFrame:
 def with_hashes(df: DataFrame, index_col: str, seed: int, draws: Iterable[int]) -> DataFrame:
     """Append ``h<c>`` (BIGINT in 0..2**32-1) for each draw column id ``c``."""
     draws = sorted(set(draws))
-    hx = "__hx"
-    out = df.withColumn(hx, _mask(F.col(index_col).cast("bigint") + F.lit(seed * SEED_MULT)))
+    hx, hh = "__hx", "__hh"
+    # High word of the index, mixed (mix(0) = 0, so indices below 2**32 are
+    # unaffected): rows i and i + 2**32 get unrelated draws.
+    out = df.withColumn(hh, F.shiftright(F.col(index_col).cast("bigint"), 32))
+    out = _restage(out, [hh], _mix1)
+    out = _restage(out, [hh], _mix1)
+    out = _restage(out, [hh], _xorshift)
+    out = out.withColumn(hx, _mask(F.col(index_col).cast("bigint").bitwiseAND(F.lit(MASK32))
+                                   + F.lit(seed * SEED_MULT) + F.col(hh))).drop(hh)
     out = _restage(out, [hx], _mix1)
     out = _restage(out, [hx], _mix1)
     out = _restage(out, [hx], _xorshift)
@@ -110,7 +120,12 @@ def sql_hash_ctes(prefix: str, source: str, index_col: str, seed: int, draws: It
 
     hs = [f"h{c}" for c in draws]
     ctes = [
-        f"{prefix}_0 AS (SELECT *, (CAST({index_col} AS BIGINT) + {seed * SEED_MULT}) & {m} AS __hx FROM {source})",
+        f"{prefix}_wa AS (SELECT *, CAST({index_col} AS BIGINT) >> 32 AS __hh FROM {source})",
+        f"{prefix}_wb AS (SELECT * REPLACE ({mix1('__hh')} AS __hh) FROM {prefix}_wa)",
+        f"{prefix}_wc AS (SELECT * REPLACE ({mix1('__hh')} AS __hh) FROM {prefix}_wb)",
+        f"{prefix}_wd AS (SELECT * REPLACE ({xs('__hh')} AS __hh) FROM {prefix}_wc)",
+        f"{prefix}_0 AS (SELECT * EXCLUDE (__hh), ((CAST({index_col} AS BIGINT) & {m}) + {seed * SEED_MULT} + __hh) & {m} AS __hx "
+        f"FROM {prefix}_wd)",
         f"{prefix}_1 AS (SELECT * REPLACE ({mix1('__hx')} AS __hx) FROM {prefix}_0)",
         f"{prefix}_2 AS (SELECT * REPLACE ({mix1('__hx')} AS __hx) FROM {prefix}_1)",
         f"{prefix}_3 AS (SELECT * REPLACE ({xs('__hx')} AS __hx) FROM {prefix}_2)",

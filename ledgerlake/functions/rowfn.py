@@ -42,7 +42,9 @@ def _xs(x: np.ndarray) -> np.ndarray:
 
 
 def hashes(i: np.ndarray, seed: int, draws) -> dict[int, np.ndarray]:
-    x = (i.astype(np.uint64) + np.uint64(seed * D.SEED_MULT)) & np.uint64(D.MASK32)
+    u = i.astype(np.uint64)
+    hi = _xs(_mix1(_mix1(u >> np.uint64(32))))
+    x = ((u & np.uint64(D.MASK32)) + np.uint64(seed * D.SEED_MULT) + hi) & np.uint64(D.MASK32)
     b = _xs(_mix1(_mix1(x)))
     return {c: _xs(_mix1(_mix1((b + np.uint64(c * D.COLUMN_MULT)) & np.uint64(D.MASK32)))) for c in draws}
 
@@ -61,7 +63,7 @@ def movements_batch(i: np.ndarray, seed: int = 42) -> pd.DataFrame:
     dates = np.datetime64(model.START_DATE) + _pick(h[D.C_DATE], model.DATE_RANGE_DAYS).astype("timedelta64[D]")
     return pd.DataFrame({
         "mouvement_no": no,
-        "id_mouvement": [model.ID_FORMAT % n for n in no],
+        "id_mouvement": np.char.add(model.ID_PREFIX, np.char.zfill(no.astype(str), 7)).astype(object),
         "date_op": np.datetime_as_string(dates, unit="D"),
         "produit": np.array(model.PRODUCTS, dtype=object)[_pick(h[D.C_PRODUCT], len(model.PRODUCTS))],
         "type_op": np.array(model.OPERATION_TYPES, dtype=object)[t],

@@ -22,6 +22,10 @@ DEFAULT_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Input splits and post-shuffle partitions sized for large executors; AQE
+    # coalesces small post-shuffle partitions and splits skewed ones.
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
 }
 
 

@@ -82,14 +82,21 @@ def write_lines(lines: DataFrame, path: str, compression: str | None = None) ->
     w.text(path)
 
 
-def compact(df: DataFrame, shard_col: str, n_shards: int, order_col: str | None = None) -> DataFrame:
-    """Consolidate many part files into exactly one file per shard (K3).
-
-    ``repartitionById`` sends each row to the partition named by its shard id
-    (no sampled range bounds), then rows are put back in id order inside each
-    file (O2). A caller asserts rows in = rows out from the write metrics.
+def compact(df: DataFrame, shard_col: str, n_shards: int, order_col: str | None = None,
+            files_per_shard: int = 1) -> DataFrame:
+    """Consolidate many part files into ``files_per_shard`` files per shard (K3).
+
+    ``repartitionById`` sends each row to the partition named by its id (no
+    sampled range bounds): shard ``s`` goes to partitions
+    ``s*k .. s*k+k-1``, split by a hash of ``order_col``, so a large shard
+    is written by ``k`` tasks instead of one. Rows are put back in id order
+    inside each file (O2). Callers assert rows in = rows out from metrics.
     """
-    out = df.repartitionById(n_shards, F.col(shard_col))
+    k = max(1, files_per_shard)
+    pid = F.col(shard_col).cast("int") * F.lit(k)
+    if k > 1:
+        pid = pid + F.pmod(F.xxhash64(F.col(order_col or shard_col)), F.lit(k)).cast("int")
+    out = df.repartitionById(n_shards * k, pid)
     if order_col:
         out = out.sortWithinPartitions(order_col)
     return out

@@ -86,3 +86,17 @@ def test_accented_labels(spark):
 
 def test_raw_columns_order(spark):
     assert raw_columns(movements(index_range(spark, 1, 1))).columns == model.COLUMNS
+
+
+def test_no_period_at_2_pow_32(spark):
+    lo = movements(index_range(spark, 200, 1)).select(*COLS[2:]).collect()
+    hi = movements(index_range(spark, 200, 1, start=1 << 32)).select(*COLS[2:]).collect()
+    assert sum(a == b for a, b in zip(lo, hi)) < 5
+
+
+def test_numpy_kernel_equals_spark_past_2_pow_32(spark):
+    start = (1 << 32) - 100
+    pdf = movements_batch(np.arange(start, start + 300), 42)
+    sp = movements(index_range(spark, 300, 2, start=start)).orderBy("mouvement_no").toPandas()
+    for c in ["id_mouvement", "montant", "produit", "type_op", "agence_id", "pays"]:
+        assert (pdf[c].to_numpy() == sp[c].to_numpy()).all(), c

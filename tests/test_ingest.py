@@ -118,3 +118,14 @@ def test_gitkeep_ignored(spark, tmp_path):
     write(tmp_path / "z", ".gitkeep", "")
     assert read_raw(spark, d).count() == 1
     assert inventory(spark, d).count() == 1
+
+
+def test_dedupe_keeps_rows_without_id(spark, tmp_path):
+    d = write(tmp_path / "z", "a.csv", "\n".join([
+        HEADER, GOOD, GOOD,
+        "X1,2025-06-06,auto,cotisation,50.0,AG_001,FR",
+        "X2,2025-06-06,auto,cotisation,60.0,AG_001,FR",
+    ]) + "\n")
+    t = with_source_file(read_raw(spark, d))
+    one = keep_first(I.type_movements(t), "mouvement_no", ["file_name"])
+    assert one.count() == 3  # the two unparseable ids both survive; the duplicate id collapses

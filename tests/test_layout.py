@@ -70,3 +70,16 @@ def test_dynamic_overwrite_replaces_one_partition(spark):
 def test_unsupported_format_is_clear(spark):
     with pytest.raises(ValueError, match="avro"):
         L.write_format(movements(index_range(spark, 1, 1)), scratch_path(spark, "t_avro"), "avro")
+
+
+def test_compaction_files_per_shard(spark):
+    n = 4000
+    parts, out = scratch_path(spark, "t_parts2"), scratch_path(spark, "t_comp2")
+    g = movements(index_range(spark, n, 8)).withColumn("shard", L.shard_of(F.col("mouvement_no") - 1, n, 2))
+    g.select("id_mouvement", "mouvement_no", "shard").write.partitionBy("shard").parquet(parts)
+    src = spark.read.parquet(parts)
+    L.compact(src, "shard", 2, "mouvement_no", files_per_shard=3).write.parquet(out)
+    back = spark.read.parquet(out).withColumn("f", F.col("_metadata.file_name"))
+    assert back.count() == n
+    per_file = back.groupBy("f").agg(F.countDistinct("mouvement_no").alias("n"), F.min("mouvement_no").alias("lo"))
+    assert per_file.count() == 6
