@@ -77,12 +77,13 @@ def run_job(spark: SparkSession, cfg: JobConfig) -> DataFrame:
     good = spark.read.parquet(parsed).filter(F.col("reason") == "ok").drop("reason")
     one = keep_first(good, "mouvement_no", ["file_name"]).select(*[f.name for f in model.STAGED_SCHEMA.fields])
     o3 = Observation("published")
+    fmt = L.table_format(spark)
     secs = _timed(lambda: L.publish_partitioned(one.observe(o3, F.count("*").alias("n")), p.tables,
-                                                ["pays", "produit"], sort_col="mouvement_no"))
+                                                ["pays", "produit"], fmt=fmt, sort_col="mouvement_no"))
     metrics.append(("publish", p.tables, o3.get["n"], secs))
 
     # 4. contract report over the published table, kept as a table (Q6, Q8).
-    table = spark.read.parquet(p.tables).withColumn("cents", (F.col("montant") * 100).cast("bigint"))
+    table = spark.read.format(fmt).load(p.tables).withColumn("cents", (F.col("montant") * 100).cast("bigint"))
     report = Q.contract_report(table, cfg.start_date, cfg.days).withColumn("run_id", F.lit(cfg.run_id))
     secs = _timed(lambda: report.write.mode("append").parquet(p.metrics))
     metrics.append(("contract_report", p.metrics, spark.read.parquet(p.metrics).filter(

@@ -129,6 +129,18 @@ def publish_partitioned(df: DataFrame, path: str, partition_cols: list[str], fmt
 SUPPORTED_FORMATS = ("csv", "parquet", "orc", "json", "text")
 
 
+def table_format(spark: SparkSession, preferred: str = "delta") -> str:
+    """Format of the final table zone (K6): ``preferred`` when its data source
+    is on the classpath, else partitioned Parquet."""
+    try:
+        jvm = spark.sparkContext._jvm
+        jvm.org.apache.spark.sql.execution.datasources.DataSource.lookupDataSource(
+            preferred, spark._jsparkSession.sessionState().conf())
+        return preferred
+    except Exception:  # noqa: BLE001  (DATA_SOURCE_NOT_FOUND)
+        return "parquet"
+
+
 def write_format(df: DataFrame, path: str, fmt: str, compression: str | None = None) -> None:
     """Several output formats (K8) with optional compression (K9)."""
     if fmt not in SUPPORTED_FORMATS:

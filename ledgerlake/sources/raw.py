@@ -64,6 +64,12 @@ def inventory(spark: SparkSession, root: str, glob: str | None = None, content:
     return df.select(*cols)
 
 
+def listing(spark: SparkSession, root: str, n: int = 20, glob: str | None = None) -> DataFrame:
+    """First ``n`` entries of a recursive listing in path order (O1, O3):
+    a TakeOrderedAndProject, never a full sort into one task."""
+    return inventory(spark, root, glob=glob).orderBy("path").limit(n)
+
+
 def select_parts(df: DataFrame, name_fragment: str) -> DataFrame:
     """Keep rows of files whose name holds ``name_fragment``."""
     return df.filter(F.col("_metadata.file_path").contains(name_fragment))

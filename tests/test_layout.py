@@ -83,3 +83,23 @@ def test_compaction_files_per_shard(spark):
     assert back.count() == n
     per_file = back.groupBy("f").agg(F.countDistinct("mouvement_no").alias("n"), F.min("mouvement_no").alias("lo"))
     assert per_file.count() == 6
+
+
+def test_listing_select_parts_and_lines(spark):
+    from ledgerlake.sources.raw import listing, select_parts
+    root = scratch_path(spark, "t_zone")
+    n = 600
+    g = movements(index_range(spark, n, 6)).withColumn("shard", L.shard_of(F.col("mouvement_no") - 1, n, 3))
+    g.select("id_mouvement", "date_op", "produit", "type_op", "montant", "agence_id", "pays", "shard") \
+        .write.partitionBy("shard").option("header", True).csv(f"{root}/parts")
+    top = listing(spark, root, 2, glob="*.csv").collect()
+    assert len(top) == 2 and top[0].path < top[1].path
+    one = select_parts(read_raw(spark, f"{root}/parts"), "shard=1/")
+    assert one.count() == 200
+    line = L.csv_line(g, ["id_mouvement", "pays"])
+    assert g.select(line.alias("v")).orderBy("v").first().v.startswith("M0000001,")
+
+
+def test_table_format_falls_back(spark):
+    assert L.table_format(spark) in ("delta", "parquet")
+    assert L.table_format(spark, "no_such_format_xyz") == "parquet"
