@@ -63,6 +63,8 @@ DATE_RANGE_DAYS = 30
 SHARD_NAME_FORMAT = "mouvements-%05d-of-%05d.csv"
 BEAM_SHARD_NAME_FORMAT = "mouvements-%02d-of-%02d.csv"
 DEFAULT_SHARDS = 5
+# Rows per landed file at the reference's scale: 10 M rows in 5 files.
+ROWS_PER_SHARD = 2_000_000
 # Accent folding of labels: each character of the first string maps to the
 # character at the same position of the second.
 FOLD_FROM = "éèêàâîôûç"
@@ -71,6 +73,13 @@ FOLD_TO = "eeeaaiouc"
 
 AGENCIES = [AGENCY_FORMAT % n for n in range(1, AGENCY_COUNT + 1)]
 
+
+def shard_count(n_rows: int) -> int:
+    """Files of a landing: the reference's 5 up to 10 M rows, then one per
+    2 M rows, so writer tasks stay the same size as the data grows."""
+    return max(DEFAULT_SHARDS, -(-n_rows // ROWS_PER_SHARD))
+
+
 RAW_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in COLUMNS])
 
 STAGED_SCHEMA = T.StructType([

@@ -29,9 +29,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 SEED = 42
-SHARDS = model.DEFAULT_SHARDS
 MV_COLS = ["mouvement_no", "id_mouvement", "date_op", "produit", "type_op", "montant", "agence_id", "pays"]
 N_SQL = "(SELECT count(*) FROM orders)"
+# Shard count and chunk size follow the data (model.shard_count / chunk_rows).
+S_SQL = (f"(SELECT greatest({model.DEFAULT_SHARDS}, CAST(ceil(count(*) / {model.ROWS_PER_SHARD}.0) AS BIGINT)) "
+         "FROM orders)")
+CHUNK_MIN, CHUNK_TARGET = 1000, 16
+C_SQL = (f"(SELECT least({model.ROWS_PER_SHARD}, greatest({CHUNK_MIN}, CAST(ceil(count(*) / {CHUNK_TARGET}.0) AS BIGINT))) "
+         "FROM orders)")
+
+
+def chunk_rows(n: int) -> int:
+    """Rows per chunk task: at least 1000, about 16 chunks, at most one shard."""
+    return min(model.ROWS_PER_SHARD, max(CHUNK_MIN, -(-n // CHUNK_TARGET)))
 
 
 def register(name: str, sql: str | None = None):
@@ -68,20 +78,19 @@ def gen_movements(spark, sf):
 
 
 # --- S1 S3 F3 M3: chunked index ---------------------------------------------
-CHUNK = 1000
-
 
 @register("gen_index", f"""
-SELECT i // {CHUNK} AS chunk, min(i) + 1 AS first_no, max(i) + 1 AS last_no, count(*) AS n_rows,
-       least((i // {CHUNK} + 1) * {CHUNK}, {N_SQL}) AS end_row
-FROM (SELECT unnest(range(0, {N_SQL})) AS i) GROUP BY i // {CHUNK}""")
+SELECT i // {C_SQL} AS chunk, min(i) + 1 AS first_no, max(i) + 1 AS last_no, count(*) AS n_rows,
+       least((i // {C_SQL} + 1) * {C_SQL}, {N_SQL}) AS end_row
+FROM (SELECT unnest(range(0, {N_SQL})) AS i) GROUP BY i // {C_SQL}""")
 def gen_index(spark, sf):
     n = n_orders(spark, sf)
-    idx = chunked_index(spark, n, CHUNK)
-    chunk = F.floor(F.col("i") / CHUNK).cast("bigint")
+    k = chunk_rows(n)
+    idx = chunked_index(spark, n, k)
+    chunk = F.floor(F.col("i") / k).cast("bigint")
     return idx.groupBy(chunk.alias("chunk")).agg(
         (F.min("i") + 1).alias("first_no"), (F.max("i") + 1).alias("last_no"), F.count("*").alias("n_rows"),
-    ).withColumn("end_row", F.least((F.col("chunk") + 1) * CHUNK, F.lit(n)).cast("bigint"))
+    ).withColumn("end_row", F.least((F.col("chunk") + 1) * k, F.lit(n)).cast("bigint"))
 
 
 # --- S9 S10: dimensions joined to what was generated --------------------------
@@ -151,23 +160,24 @@ def id_boundary(spark, sf):
 # --- S2 P16 P17 M1 M2 M3: shard layout ---------------------------------------
 
 @register("shard_layout", f"""
-WITH s AS (SELECT o_orderkey AS i, ((o_orderkey + 1) * {SHARDS} - 1) // {N_SQL} AS shard FROM orders)
-SELECT shard, printf('mouvements-%05d-of-%05d.csv', shard, {SHARDS}) AS shard_name,
-       printf('mouvements-%02d-of-%02d.csv', shard, {SHARDS}) AS beam_name,
+WITH s AS (SELECT o_orderkey AS i, ((o_orderkey + 1) * {S_SQL} - 1) // {N_SQL} AS shard FROM orders)
+SELECT shard, printf('mouvements-%05d-of-%05d.csv', shard, {S_SQL}) AS shard_name,
+       printf('mouvements-%02d-of-%02d.csv', shard, {S_SQL}) AS beam_name,
        min(i) + 1 AS first_no, max(i) + 1 AS last_no, count(*) AS n_rows,
-       (min(i) % ({N_SQL} // {SHARDS})) = 0 AS starts_on_boundary,
-       least((shard + 1) * ({N_SQL} // {SHARDS}), {N_SQL}) - shard * ({N_SQL} // {SHARDS}) AS floor_div_rows
+       (min(i) % ({N_SQL} // {S_SQL})) = 0 AS starts_on_boundary,
+       least((shard + 1) * ({N_SQL} // {S_SQL}), {N_SQL}) - shard * ({N_SQL} // {S_SQL}) AS floor_div_rows
 FROM s GROUP BY shard""")
 def shard_layout(spark, sf):
     from ledgerlake.sinks.layout import shard_name, shard_of
     n = n_orders(spark, sf)
-    k = n // SHARDS
-    s = orders(spark, sf).select(F.col("o_orderkey").alias("i"), shard_of("o_orderkey", n, SHARDS).alias("shard"))
+    shards = model.shard_count(n)
+    k = n // shards
+    s = orders(spark, sf).select(F.col("o_orderkey").alias("i"), shard_of("o_orderkey", n, shards).alias("shard"))
     agg = s.groupBy("shard").agg((F.min("i") + 1).alias("first_no"), (F.max("i") + 1).alias("last_no"),
                                  F.count("*").alias("n_rows"), F.min("i").alias("first_i"))
     return agg.select(
-        "shard", shard_name(F.col("shard"), SHARDS).alias("shard_name"),
-        shard_name(F.col("shard"), SHARDS, beam=True).alias("beam_name"),
+        "shard", shard_name(F.col("shard"), shards).alias("shard_name"),
+        shard_name(F.col("shard"), shards, beam=True).alias("beam_name"),
         "first_no", "last_no", "n_rows",
         (F.pmod(F.col("first_i"), F.lit(k)) == 0).alias("starts_on_boundary"),
         (F.least((F.col("shard") + 1) * k, F.lit(n)) - F.col("shard") * k).cast("bigint").alias("floor_div_rows"),

@@ -19,7 +19,7 @@ from ledgerlake.operators.dedupe import keep_first, union_landings
 from ledgerlake.operators.incremental import new_files, read_manifest, record_manifest
 from ledgerlake.plans import oracle as O
 from ledgerlake.plans.catalogue import (
-    CHUNK, MV_COLS, N_SQL, SEED, SHARDS, _cols, mv, n_orders, orders, register,
+    MV_COLS, N_SQL, S_SQL, SEED, _cols, chunk_rows, mv, n_orders, orders, register,
 )
 from ledgerlake.session import scratch_path
 from ledgerlake.sinks import layout as L
@@ -40,7 +40,8 @@ def typed_out(df: DataFrame, *extra: str) -> DataFrame:
 
 def _land(spark, sf, name, **kw) -> str:
     path = scratch_path(spark, name)
-    L.land_movements(spark, path, n_orders(spark, sf), SHARDS, seed=kw.pop("seed", SEED), **kw)
+    n = n_orders(spark, sf)
+    L.land_movements(spark, path, n, model.shard_count(n), seed=kw.pop("seed", SEED), **kw)
     return path
 
 
@@ -70,7 +71,7 @@ SPOIL_K = 97  # kinds 0 bad date, 1 bad number, 2 short row; the rest are clean
     "FROM k GROUP BY 1"))
 def quarantine(spark, sf):
     n = n_orders(spark, sf)
-    g = movements(index_range(spark, n, SHARDS), seed=SEED, extra_draws=(D.C_SPOIL,))
+    g = movements(index_range(spark, n, model.shard_count(n)), seed=SEED, extra_draws=(D.C_SPOIL,))
     kind = D.pick("h7", SPOIL_K)
     date = F.when(kind == 0, F.lit("2025-06-31")).otherwise(F.date_format("date_op", "yyyy-MM-dd"))
     amount = F.when(kind == 1, F.lit("x")).otherwise(F.col("montant").cast("string"))
@@ -92,12 +93,13 @@ def header_filter(spark, sf):
     n = n_orders(spark, sf)
     chunks, merged = scratch_path(spark, "chunks"), scratch_path(spark, "merged_text")
     # One CSV per chunk, each with its own header (the superseded chunked writer).
-    L.write_csv(raw_columns(movements(chunked_index(spark, n, CHUNK), seed=SEED)), chunks)
-    n_chunks = max(1, -(-n // CHUNK))
+    k, shards = chunk_rows(n), model.shard_count(n)
+    L.write_csv(raw_columns(movements(chunked_index(spark, n, k), seed=SEED)), chunks)
+    n_chunks = max(1, -(-n // k))
     lines = read_lines(spark, chunks)
-    shard = F.floor(L.part_number(F.col("file_name")) * SHARDS / n_chunks).cast("int")
+    shard = F.floor(L.part_number(F.col("file_name")) * shards / n_chunks).cast("int")
     # Text-level consolidation: header lines of every chunk end up inside the shard body.
-    L.write_lines(lines.repartitionById(SHARDS, shard).select("value"), merged)
+    L.write_lines(lines.repartitionById(shards, shard).select("value"), merged)
     return I.split_line(I.drop_repeated_headers(read_lines(spark, merged)))
 
 
@@ -125,11 +127,11 @@ _ACCENTED_ROW = "(produit <> strip_accents(produit) OR type_op <> strip_accents(
 
 
 @register("encoding_guard", O.with_(O.orders_movements(labels="accented") + [
-    f"s AS (SELECT *, ((mouvement_no * {SHARDS} - 1) // {N_SQL}) AS shard, {_ACCENTED_ROW} AS acc FROM mv)",
+    f"s AS (SELECT *, ((mouvement_no * {S_SQL} - 1) // {N_SQL}) AS shard, {_ACCENTED_ROW} AS acc FROM mv)",
     f"l AS (SELECT 'utf8' AS landing, false AS bad FROM (SELECT 1) UNION ALL SELECT 'latin1', true)"],
-    f"""SELECT l.landing, CAST({SHARDS} AS BIGINT) AS n_files,
+    f"""SELECT l.landing, CAST({S_SQL} AS BIGINT) AS n_files,
        CAST(CASE WHEN bad THEN (SELECT count(DISTINCT shard) FROM s WHERE acc) ELSE 0 END AS BIGINT) AS n_invalid_files,
-       CAST((SELECT count(*) FROM s) + {SHARDS} AS BIGINT) AS n_lines,
+       CAST((SELECT count(*) FROM s) + {S_SQL} AS BIGINT) AS n_lines,
        CAST(CASE WHEN bad THEN (SELECT count(*) FROM s WHERE acc) ELSE 0 END AS BIGINT) AS n_invalid_lines,
        CAST((SELECT count(*) FROM s) AS BIGINT) AS n_rows,
        CAST(CASE WHEN bad THEN (SELECT count(*) FROM s WHERE acc) ELSE 0 END AS BIGINT) AS n_rows_fffd,
@@ -156,8 +158,8 @@ def _two_landings_sql() -> list[str]:
 def union_landings_dedupe(spark, sf):
     n = n_orders(spark, sf)
     a, b = scratch_path(spark, "raw_current"), scratch_path(spark, "raw_beam")
-    L.land_movements(spark, a, n, SHARDS, seed=1)
-    L.land_movements(spark, b, n, SHARDS, seed=2, labels="accented", start=n // 2)
+    L.land_movements(spark, a, n, model.shard_count(n), seed=1)
+    L.land_movements(spark, b, n, model.shard_count(n), seed=2, labels="accented", start=n // 2)
     ra = with_source_file(read_raw(spark, a)).withColumns({"landing": F.lit("current"), "prio": F.lit(1)})
     rb = with_source_file(read_raw(spark, b)).withColumns({"landing": F.lit("beam"), "prio": F.lit(2)})
     typed = I.type_movements(union_landings(ra, rb))
@@ -169,18 +171,20 @@ def union_landings_dedupe(spark, sf):
 # --- S6 F2 F4 K3 O2: compaction of chunk parts into one file per shard --------
 
 @register("compact_parts", O.with_(O.orders_movements() + [
-    f"s AS (SELECT *, ((mouvement_no * {SHARDS} - 1) // {N_SQL}) AS shard FROM mv)"],
+    f"s AS (SELECT *, ((mouvement_no * {S_SQL} - 1) // {N_SQL}) AS shard FROM mv)"],
     "SELECT shard, count(*) AS n_rows, CAST(sum(cents) AS BIGINT) AS sum_cents, min(mouvement_no) AS first_no, "
     "max(mouvement_no) AS last_no, CAST(1 AS BIGINT) AS n_files FROM s GROUP BY shard"))
 def compact_parts(spark, sf):
     from pyspark.sql import Observation
     n = n_orders(spark, sf)
     parts, out = scratch_path(spark, "parts"), scratch_path(spark, "compacted")
-    g = movements(chunked_index(spark, n, CHUNK), seed=SEED).withColumn("shard", L.shard_of(F.col("mouvement_no") - 1, n, SHARDS))
+    shards = model.shard_count(n)
+    g = movements(chunked_index(spark, n, chunk_rows(n)), seed=SEED).withColumn(
+        "shard", L.shard_of(F.col("mouvement_no") - 1, n, shards))
     g.select(*model.COLUMNS, "shard").write.partitionBy("shard").option("header", True).csv(parts)
     src = read_raw(spark, parts).withColumn("mouvement_no", parse_id("id_mouvement"))
     obs_in, obs_out = Observation("parts_in"), Observation("compacted_out")
-    merged = L.compact(src.observe(obs_in, F.count("*").alias("n")), "shard", SHARDS, "mouvement_no")
+    merged = L.compact(src.observe(obs_in, F.count("*").alias("n")), "shard", shards, "mouvement_no")
     L.write_csv(merged.observe(obs_out, F.count("*").alias("n")).select(*model.COLUMNS), out)
     if obs_in.get["n"] != obs_out.get["n"]:
         raise RuntimeError(f"compaction lost rows: {obs_in.get['n']} in, {obs_out.get['n']} out")
@@ -195,7 +199,7 @@ def compact_parts(spark, sf):
 # --- Q1 A1 A2: rows per file and in total ------------------------------------
 
 @register("rows_per_file", f"""
-WITH s AS (SELECT ((o_orderkey + 1) * {SHARDS} - 1) // {N_SQL} AS shard FROM orders)
+WITH s AS (SELECT ((o_orderkey + 1) * {S_SQL} - 1) // {N_SQL} AS shard FROM orders)
 SELECT shard, count(*) AS n_rows FROM s GROUP BY ROLLUP (shard)""")
 def rows_per_file(spark, sf):
     df = with_source_file(read_raw(spark, _land(spark, sf, "raw_counted")))
@@ -208,15 +212,15 @@ _HEADER_BYTES = len(",".join(model.COLUMNS)) + 1
 
 @register("zone_inventory", O.with_(O.orders_movements() + O.movements_ctes(
     "mb", "(SELECT o_orderkey AS i FROM orders)", seed=2, labels="accented"),
-    f"""SELECT zone, CAST({SHARDS} AS BIGINT) AS n_files, CAST(bytes + {SHARDS * _HEADER_BYTES} AS BIGINT) AS n_bytes FROM (
+    f"""SELECT zone, CAST({S_SQL} AS BIGINT) AS n_files, CAST(bytes + {S_SQL} * {_HEADER_BYTES} AS BIGINT) AS n_bytes FROM (
   SELECT 'raw_current' AS zone, sum(strlen(concat_ws(',', {_RAW_SQL.replace(' AS date_op', '').replace(' AS montant', '')})) + 1) AS bytes FROM mv
   UNION ALL
   SELECT 'raw_beam', sum(strlen(concat_ws(',', {_RAW_SQL.replace(' AS date_op', '').replace(' AS montant', '')})) + 1) FROM mb)"""))
 def zone_inventory(spark, sf):
     root = scratch_path(spark, "lake")
     n = n_orders(spark, sf)
-    L.land_movements(spark, f"{root}/raw_current", n, SHARDS, seed=SEED)
-    L.land_movements(spark, f"{root}/raw_beam", n, SHARDS, seed=2, labels="accented")
+    L.land_movements(spark, f"{root}/raw_current", n, model.shard_count(n), seed=SEED)
+    L.land_movements(spark, f"{root}/raw_beam", n, model.shard_count(n), seed=2, labels="accented")
     inv = inventory(spark, root, glob="*.csv")
     zone = F.regexp_extract("path", r"/(raw_[a-z]+)/", 1)
     return inv.groupBy(zone.alias("zone")).agg(F.count("*").alias("n_files"), F.sum("length").alias("n_bytes"))
@@ -226,14 +230,14 @@ def zone_inventory(spark, sf):
 
 @register("new_files_only", O.with_(O.movements_ctes("mb", f"(SELECT o_orderkey + {N_SQL} AS i FROM orders)",
                                                     seed=2, labels="accented"),
-    f"SELECT CAST({SHARDS} AS BIGINT) AS n_new_files, count(*) AS n_rows, CAST(sum(cents) AS BIGINT) AS sum_cents, "
+    f"SELECT CAST({S_SQL} AS BIGINT) AS n_new_files, count(*) AS n_rows, CAST(sum(cents) AS BIGINT) AS sum_cents, "
     "min(mouvement_no) AS min_no, max(mouvement_no) AS max_no FROM mb"))
 def new_files_only(spark, sf):
     n = n_orders(spark, sf)
     raw, manifest = scratch_path(spark, "raw_incr"), scratch_path(spark, "manifest")
-    L.land_movements(spark, raw, n, SHARDS, seed=1)
+    L.land_movements(spark, raw, n, model.shard_count(n), seed=1)
     record_manifest(spark, inventory(spark, raw, glob="*.csv"), manifest)
-    L.land_movements(spark, raw, n, SHARDS, seed=2, labels="accented", start=n, mode="append")
+    L.land_movements(spark, raw, n, model.shard_count(n), seed=2, labels="accented", start=n, mode="append")
     fresh = new_files(spark, raw, read_manifest(spark, manifest))
     # File paths only (one string per new file) reach the driver, as in any file listing.
     paths = [r.path for r in fresh.select("path").collect()]
@@ -326,9 +330,9 @@ def stream_landing(spark, sf):
     n = n_orders(spark, sf)
     raw, staging, ckpt = scratch_path(spark, "raw_stream"), scratch_path(spark, "staging"), scratch_path(spark, "ckpt")
     half = n // 2
-    L.land_movements(spark, raw, half, SHARDS, seed=SEED)
+    L.land_movements(spark, raw, half, model.shard_count(half), seed=SEED)
     ingest_available(spark, raw, staging, ckpt)
-    L.land_movements(spark, raw, n - half, SHARDS, seed=SEED, start=half, mode="append")
+    L.land_movements(spark, raw, n - half, model.shard_count(n - half), seed=SEED, start=half, mode="append")
     ingest_available(spark, raw, staging, ckpt)  # picks up only the second landing
     return typed_out(spark.read.parquet(staging))
 
@@ -348,5 +352,5 @@ def user_row_function(spark, sf):
 @register("run_metrics")
 def run_metrics(spark, sf):
     from ledgerlake.plans.run import JobConfig, run_job
-    cfg = JobConfig(base=scratch_path(spark, "lake_run"), n_rows=n_orders(spark, sf), n_shards=SHARDS, seed=SEED)
+    cfg = JobConfig(base=scratch_path(spark, "lake_run"), n_rows=n_orders(spark, sf), seed=SEED)
     return run_job(spark, cfg)

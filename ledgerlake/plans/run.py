@@ -35,13 +35,17 @@ def _run_label() -> str:
 class JobConfig:
     base: str
     n_rows: int
-    n_shards: int = model.DEFAULT_SHARDS
+    n_shards: int | None = None  # default: model.shard_count(n_rows)
     seed: int = 42
     labels: str = "ascii"
     start_date: str = model.START_DATE
     days: int = model.DATE_RANGE_DAYS
     run_id: str = field(default_factory=_run_label)
 
+    @property
+    def shards(self) -> int:
+        return self.n_shards or model.shard_count(self.n_rows)
+
     @property
     def paths(self) -> model.LakePaths:
         return model.LakePaths(self.base)
@@ -58,7 +62,7 @@ def run_job(spark: SparkSession, cfg: JobConfig) -> DataFrame:
     metrics: list[tuple[str, str, int, float]] = []
 
     # 1. generate and land (S1-S2, P1-P12, K1-K2, K4): no shuffle.
-    gen = movements(index_range(spark, cfg.n_rows, cfg.n_shards), seed=cfg.seed, labels=cfg.labels,
+    gen = movements(index_range(spark, cfg.n_rows, cfg.shards), seed=cfg.seed, labels=cfg.labels,
                     start_date=cfg.start_date, days=cfg.days)
     o1 = Observation("landed")
     secs = _timed(lambda: L.write_csv(raw_columns(gen).observe(o1, F.count("*").alias("n")), p.raw))
