@@ -104,7 +104,7 @@ def compact(df: DataFrame, shard_col: str, n_shards: int, order_col: str | None
 
 def publish_partitioned(df: DataFrame, path: str, partition_cols: list[str], fmt: str = "parquet",
                         dynamic: bool = True, sort_col: str | None = None,
-                        num_tasks: int | None = None) -> None:
+                        num_tasks: int | None = None, observation=None) -> None:
     """Published table (K5-K7): files partitioned by column values.
 
     Rows are range-partitioned on ``(partition_cols..., sort_col)`` with
@@ -112,13 +112,17 @@ def publish_partitioned(df: DataFrame, path: str, partition_cols: list[str], fmt
     value (one country holding a third of the table) spans many tasks and
     files instead of landing in one, and each task writes only the few
     partition values its range covers. With ``dynamic`` only the partitions
-    present in ``df`` are replaced (K10).
+    present in ``df`` are replaced (K10). ``observation`` counts the rows
+    written; it sits above the exchange, because the bound-sampling job
+    also runs everything below it.
     """
     keys = [F.col(c) for c in partition_cols] + ([F.col(sort_col)] if sort_col else [])
     n = num_tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     out = df.repartitionByRange(n, *keys)
     if sort_col:
         out = out.sortWithinPartitions(*keys)
+    if observation is not None:
+        out = out.observe(observation, F.count("*").alias("n"))
     (out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
         .partitionBy(*partition_cols)

@@ -47,3 +47,13 @@ def test_manifest_anti_join(spark):
     record_manifest(spark, inventory(spark, raw, glob="*.csv"), man)
     land_movements(spark, raw, 100, 2, start=100, mode="append")
     assert new_files(spark, raw, read_manifest(spark, man)).count() == 2
+
+
+def test_stream_dedupe_within_watermark(spark):
+    raw, staging, ckpt = (scratch_path(spark, n) for n in ("d_raw", "d_stg", "d_ckpt"))
+    land_movements(spark, raw, 300, 2, seed=1)
+    land_movements(spark, raw, 300, 2, seed=2, start=150, mode="append")  # ids 151..300 landed twice
+    ingest_available(spark, raw, staging, ckpt, dedupe_watermark="31 days")
+    back = spark.read.parquet(staging)
+    assert back.count() == 450
+    assert back.select("mouvement_no").distinct().count() == 450
