@@ -26,6 +26,9 @@ DEFAULT_CONF = {
     # coalesces small post-shuffle partitions and splits skewed ones.
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    # Streaming state (dedupe keyed on id) lives in RocksDB, not on the heap.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
