@@ -68,8 +68,3 @@ def pick_int(values: list[int], idx: Column) -> Column:
 def cents_to_amount(cents: Column | str) -> Column:
     """Integer cents → DOUBLE euros; ``-0.0`` cannot arise."""
     return _c(cents) / F.lit(100.0)
-
-
-def amount_to_cents(amount: Column | str) -> Column:
-    """Exact cents of a parsed amount text or decimal; NULL when it does not parse."""
-    return (_c(amount).try_cast("decimal(12,2)") * F.lit(100)).cast("bigint")

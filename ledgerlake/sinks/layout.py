@@ -25,12 +25,6 @@ def shard_of(i: Column | str, n_rows: int | Column, n_shards: int) -> Column:
     return F.floor(((i + 1) * F.lit(n_shards) - 1) / n).cast("bigint")
 
 
-def shard_start(shard: Column, n_rows: int | Column, n_shards: int) -> Column:
-    """First 0-based row of a shard: ``floor(shard * N / n)``."""
-    n = F.lit(n_rows) if isinstance(n_rows, int) else n_rows
-    return F.floor(shard * n / F.lit(n_shards)).cast("bigint")
-
-
 def shard_name(shard: Column, n_shards: int, beam: bool = False) -> Column:
     """Logical shard file name (P16; P17 when ``beam``)."""
     fmt = model.BEAM_SHARD_NAME_FORMAT if beam else model.SHARD_NAME_FORMAT
