@@ -26,7 +26,11 @@ LABEL_SETS = {
 def index_range(spark: SparkSession, n: int, num_partitions: int | None = None, start: int = 0) -> DataFrame:
     """Dense index ``start .. start+n-1`` (S1/S2). Partition ``p`` holds a
     contiguous interval; the remainder is spread, never dropped (H5)."""
-    num_partitions = num_partitions or max(1, spark.sparkContext.defaultParallelism)
+    if not num_partitions:
+        try:
+            num_partitions = max(1, spark.sparkContext.defaultParallelism)
+        except Exception:  # noqa: BLE001  (Spark Connect has no SparkContext)
+            num_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return spark.range(start, start + n, 1, num_partitions).withColumnRenamed("id", "i")
 
 
