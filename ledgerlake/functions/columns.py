@@ -35,20 +35,29 @@ def parse_id(id_col: Column | str) -> Column:
     return F.when(c.startswith(model.ID_PREFIX), c.substr(2, 64).try_cast("bigint"))
 
 
+def is_ascii(c: Column | str) -> Column:
+    """True when every character is one byte: no folding or repair needed."""
+    return F.octet_length(_c(c)) == F.length(_c(c))
+
+
 def fold_accents(c: Column | str) -> Column:
-    """Accent folding of labels (P15, R6): fixed one-to-one character map."""
-    return F.translate(_c(c), model.FOLD_FROM, model.FOLD_TO)
+    """Accent folding of labels (P15, R6): fixed one-to-one character map.
+
+    ASCII values (almost all of them) skip the translation.
+    """
+    c = _c(c)
+    return F.when(is_ascii(c), c).otherwise(F.translate(c, model.FOLD_FROM, model.FOLD_TO))
 
 
 def repair_mojibake(c: Column | str) -> Column:
     """UTF-8 text that was decoded as ISO-8859-1 (``santÃ©``) back to UTF-8.
 
-    Applied only where the text holds a character of the U+00C2..U+00C3 lead
-    range, so clean text is returned untouched.
+    Such text holds U+00C3 or U+00C2 (the UTF-8 lead bytes of Latin-1
+    letters read one byte at a time); anything else is returned untouched.
     """
     c = _c(c)
-    fixed = F.decode(F.encode(c, "ISO-8859-1"), "UTF-8")
-    return F.when(c.rlike("[ÂÃ][\u0080-¿]"), fixed).otherwise(c)
+    suspect = ~is_ascii(c) & ((F.instr(c, "Ã") > 0) | (F.instr(c, "Â") > 0))
+    return F.when(suspect, F.decode(F.encode(c, "ISO-8859-1"), "UTF-8")).otherwise(c)
 
 
 def has_replacement_char(c: Column | str) -> Column:
