@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 
 from ledgerlake import model
 from ledgerlake.functions.columns import fold_accents, parse_id, repair_mojibake
-from ledgerlake.sources.raw import CORRUPT
+from ledgerlake.sources.raw import EXTRA
 
 OK = "ok"
-REASONS = ("short_row", "bad_id", "bad_date", "bad_number")
+REASONS = ("short_row", "long_row", "bad_id", "bad_date", "bad_number")
 
 
 def normalise_labels(df: DataFrame, cols=("produit", "type_op")) -> DataFrame:
@@ -29,10 +29,10 @@ def type_movements(raw: DataFrame) -> DataFrame:
     the job under ANSI mode (H16). ``cents`` is the exact amount in cents;
     ``montant`` the staged DECIMAL(12,2).
     """
-    corrupt = F.col(CORRUPT).isNotNull() if CORRUPT in raw.columns else F.lit(False)
+    long_row = F.col(EXTRA).isNotNull() if EXTRA in raw.columns else F.lit(False)
     montant = F.col("montant").try_cast("decimal(12,2)")
     typed = normalise_labels(raw).select(
-        *[c for c in raw.columns if c not in model.COLUMNS and c != CORRUPT],
+        *[c for c in raw.columns if c not in model.COLUMNS and c != EXTRA],
         F.col("id_mouvement"),
         parse_id("id_mouvement").alias("mouvement_no"),
         F.try_to_date(F.col("date_op"), "yyyy-MM-dd").alias("date_op"),
@@ -42,16 +42,17 @@ def type_movements(raw: DataFrame) -> DataFrame:
         (montant * F.lit(100)).cast("bigint").alias("cents"),
         "agence_id",
         "pays",
-        corrupt.alias("__short"),
+        long_row.alias("__long"),
     )
     reason = (
-        F.when(F.col("__short") | F.col("pays").isNull(), F.lit("short_row"))
+        F.when(F.col("pays").isNull(), F.lit("short_row"))
+        .when(F.col("__long"), F.lit("long_row"))
         .when(F.col("mouvement_no").isNull(), F.lit("bad_id"))
         .when(F.col("date_op").isNull(), F.lit("bad_date"))
         .when(F.col("cents").isNull(), F.lit("bad_number"))
         .otherwise(F.lit(OK))
     )
-    return typed.withColumn("reason", reason).drop("__short")
+    return typed.withColumn("reason", reason).drop("__long")
 
 
 def split_quarantine(typed: DataFrame) -> tuple[DataFrame, DataFrame]:

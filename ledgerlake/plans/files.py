@@ -79,7 +79,7 @@ def quarantine(spark, sf):
     line = F.when(kind == 2, F.concat_ws(",", *fields)).otherwise(F.concat_ws(",", *fields, F.col("pays")))
     raw_path, out_path = scratch_path(spark, "raw_spoiled"), scratch_path(spark, "typed_by_reason")
     L.write_lines(g.select(line.alias("value")), raw_path)
-    typed = I.type_movements(read_raw(spark, raw_path, header=False, corrupt=True))
+    typed = I.type_movements(read_raw(spark, raw_path, header=False, shape=True))
     # One write splits good and quarantined rows (R2): partition by reason.
     typed.write.partitionBy("reason").parquet(out_path)
     back = spark.read.parquet(out_path)

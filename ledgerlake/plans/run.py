@@ -70,7 +70,7 @@ def run_job(spark: SparkSession, cfg: JobConfig) -> DataFrame:
 
     # 2. parse and type; good and quarantined rows in one write.
     parsed = f"{p.base}/parsed"
-    typed = I.type_movements(with_source_file(read_raw(spark, p.raw, corrupt=True)))
+    typed = I.type_movements(with_source_file(read_raw(spark, p.raw, shape=True)))
     o2 = Observation("parsed")
     secs = _timed(lambda: typed.observe(o2, F.count("*").alias("n"), F.count_if(F.col("reason") != "ok").alias("bad"))
                   .write.partitionBy("reason").parquet(parsed))

@@ -8,27 +8,28 @@ from pyspark.sql import types as T
 
 from ledgerlake import model
 
-CORRUPT = "_corrupt_record"
+EXTRA = "_extra_field"
 
 
 def read_raw(spark: SparkSession, paths: str | list[str], header: bool = True, encoding: str = "UTF-8",
-             corrupt: bool = False, glob: str | None = None, recursive: bool = False) -> DataFrame:
+             shape: bool = False, glob: str | None = None, recursive: bool = False) -> DataFrame:
     """All-string CSV read with the fixed 7-column schema.
 
-    ``header`` drops the first line of every file. With ``corrupt`` the
-    reader is PERMISSIVE and keeps short or long rows in ``_corrupt_record``
-    (R2). Spark readers skip names starting with ``.`` or ``_`` (``.gitkeep``,
-    ``_SUCCESS``) by themselves.
+    ``header`` drops the first line of every file. With ``shape`` an eighth
+    column ``_extra_field`` captures a token beyond the seventh, so rows with
+    too many fields can be quarantined (R2); rows with too few get NULLs. (With
+    an all-string schema nothing else can fail to parse, so this replaces the
+    corrupt-record column, which would flag every 7-field row against an
+    8-column schema.) Spark readers skip names starting with ``.`` or ``_``
+    (``.gitkeep``, ``_SUCCESS``) by themselves.
     """
     fields = list(model.RAW_SCHEMA.fields)
-    if corrupt:
-        fields.append(T.StructField(CORRUPT, T.StringType(), True))
+    if shape:
+        fields.append(T.StructField(EXTRA, T.StringType(), True))
     r = (spark.read.schema(T.StructType(fields))
          .option("header", header)
          .option("encoding", encoding)
          .option("mode", "PERMISSIVE"))
-    if corrupt:
-        r = r.option("columnNameOfCorruptRecord", CORRUPT)
     if glob:
         r = r.option("pathGlobFilter", glob)
     if recursive:

@@ -24,7 +24,7 @@ def write(path, name, text, mode="w", encoding="utf-8"):
 
 
 def typed(spark, d, **kw):
-    return I.type_movements(read_raw(spark, d, corrupt=True, **kw))
+    return I.type_movements(read_raw(spark, d, shape=True, **kw))
 
 
 def reasons(df):
@@ -151,3 +151,8 @@ def test_cut_lineage_reliable_checkpoint(spark):
     cut = cut_lineage(df)
     assert sorted(map(tuple, cut.collect())) == sorted(map(tuple, df.collect()))
     assert "Scan parquet" not in cut._jdf.queryExecution().executedPlan().toString()
+
+
+def test_long_row_quarantined(spark, tmp_path):
+    d = write(tmp_path / "z", "a.csv", "\n".join([HEADER, GOOD + ",EXTRA", GOOD.replace("M0000001", "M0000002")]) + "\n")
+    assert reasons(typed(spark, d)) == {"M0000001": "long_row", "M0000002": "ok"}
