@@ -35,6 +35,20 @@ def parse_id(id_col: Column | str) -> Column:
     return F.when(c.startswith(model.ID_PREFIX), c.substr(2, 64).try_cast("bigint"))
 
 
+def parse_date_strict(c: Column | str) -> Column:
+    """``yyyy-MM-dd`` text to DATE, NULL otherwise.
+
+    The shape test (10 characters, dashes at 5 and 8, leading digit) plus the
+    built-in string-to-date cast is as strict as a ``yyyy-MM-dd`` formatter
+    (``2025-06-31`` and ``2025-6-1`` are NULL) and avoids the per-row
+    formatter.
+    """
+    d = _c(c)
+    shape = ((F.length(d) == 10) & (F.substring(d, 5, 1) == "-") & (F.substring(d, 8, 1) == "-")
+             & F.substring(d, 1, 1).between("0", "9"))
+    return F.when(shape, d.try_cast("date"))
+
+
 def is_ascii(c: Column | str) -> Column:
     """True when every character is one byte: no folding or repair needed."""
     return F.octet_length(_c(c)) == F.length(_c(c))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake import model
-from ledgerlake.functions.columns import fold_accents, parse_id, repair_mojibake
+from ledgerlake.functions.columns import fold_accents, parse_date_strict, parse_id, repair_mojibake
 from ledgerlake.sources.raw import EXTRA
 
 OK = "ok"
@@ -35,7 +35,7 @@ def type_movements(raw: DataFrame) -> DataFrame:
         *[c for c in raw.columns if c not in model.COLUMNS and c != EXTRA],
         F.col("id_mouvement"),
         parse_id("id_mouvement").alias("mouvement_no"),
-        F.try_to_date(F.col("date_op"), "yyyy-MM-dd").alias("date_op"),
+        parse_date_strict("date_op").alias("date_op"),
         "produit",
         "type_op",
         montant.alias("montant"),

@@ -156,3 +156,14 @@ def test_cut_lineage_reliable_checkpoint(spark):
 def test_long_row_quarantined(spark, tmp_path):
     d = write(tmp_path / "z", "a.csv", "\n".join([HEADER, GOOD + ",EXTRA", GOOD.replace("M0000001", "M0000002")]) + "\n")
     assert reasons(typed(spark, d)) == {"M0000001": "long_row", "M0000002": "ok"}
+
+
+def test_strict_date_parse(spark):
+    from ledgerlake.functions.columns import parse_date_strict
+    vals = ["2025-06-01", "2025-06-31", "2025-6-01", "2025-06-1", "2025-06-01x", " 2025-06-1", "+025-06-01",
+            "2025-13-01", "2025/06/01", "", None]
+    df = spark.createDataFrame([(v,) for v in vals], "d string")
+    got = [r.p for r in df.select(parse_date_strict("d").alias("p")).collect()]
+    assert str(got[0]) == "2025-06-01" and all(g is None for g in got[1:])
+    ref = [r.p for r in df.select(F.try_to_date("d", "yyyy-MM-dd").alias("p")).collect()]
+    assert got == ref
