@@ -131,9 +131,10 @@ def profile(docs: DataFrame, window: int) -> DataFrame:
 
 def repeated(df: DataFrame, *key: str) -> DataFrame:
     """Rows whose key occurs in more than one document, with the smallest id that has
-    it. The counts are pre-aggregated, so a key of a third of all rows is no hot group."""
+    it. The ids are pre-aggregated and written, so that the join reads two plain
+    exchanges and a key of a third of all rows is split between tasks."""
     least = df.groupBy(*key).agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("least < most").drop("most")
-    return df.join(least, list(key))
+    return df.join(written(least, "substring-least"), list(key))
 
 
 def last_level(docs: DataFrame, survivors: DataFrame, window: int) -> DataFrame:
