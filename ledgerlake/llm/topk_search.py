@@ -51,7 +51,7 @@ def top_k(codes: DataFrame, queries: DataFrame, k: int = TOP) -> DataFrame:
     ids = smallest(rows, ["code"], ["id"], k)
     entries = written(ids.groupBy("code").agg(F.sort_array(F.collect_list("id")).alias("ids")), "topk-codes")
     index = written(entries.select("code", F.size("ids").alias("n"), F.explode(F.array(*[F.struct(F.lit(s).alias("seg"), segment(F.col("code"), s).alias("value")) for s in range(SEGMENTS)])).alias("p")).select("p.seg", "p.value", "code", "n"), "topk-index")
-    active = written(queries.select(F.col("code").alias("q")).dropna().distinct(), "topk-active")
+    active = written(queries.select(F.col("code").alias("q")).dropna().distinct().withColumn("most", F.lit(64)), "topk-active")
     found = None
     done = None
     left = active.count()
@@ -59,9 +59,13 @@ def top_k(codes: DataFrame, queries: DataFrame, k: int = TOP) -> DataFrame:
         if not left:
             break
         masks = F.expr(f"filter(sequence(0, {(1 << BITS) - 1}), x -> bit_count(x) = {radius})")
-        probes = active.select("q", F.explode(F.array(*[F.struct(F.lit(s).alias("seg"), segment(F.col("q"), s).alias("v")) for s in range(SEGMENTS)])).alias("p"))
-        probes = probes.select("q", F.col("p.seg").alias("seg"), F.explode(F.transform(masks, lambda m: m.bitwiseXOR(F.col("p.v")))).alias("value"))
-        hits = probes.join(index, ["seg", "value"]).select("q", "code", "n", F.bit_count(F.col("q").bitwiseXOR(F.col("code"))).alias("distance")).distinct()
+        probes = active.select("q", "most", F.explode(F.array(*[F.struct(F.lit(s).alias("seg"), segment(F.col("q"), s).alias("v")) for s in range(SEGMENTS)])).alias("p"))
+        probes = probes.select("q", "most", F.col("p.seg").alias("at"), F.explode(F.transform(masks, lambda m: m.bitwiseXOR(F.col("p.v")))).alias("v"))
+        # Nothing farther than the k-th distance verified so far can still be an answer. The
+        # probes grow only in their last step, which size estimates do not see: no broadcast.
+        distance = F.bit_count(F.col("q").bitwiseXOR(F.col("code")))
+        meet = (F.col("at") == F.col("seg")) & (F.col("v") == F.col("value")) & (distance <= F.col("most"))
+        hits = probes.hint("merge").join(index, meet).select("q", "code", "n", distance.alias("distance")).distinct()
         if found is not None:
             hits = hits.unionByName(found).distinct()
         # Enough codes to hold k rows: nearest first, up to the code that holds the k-th row.
@@ -73,7 +77,8 @@ def top_k(codes: DataFrame, queries: DataFrame, k: int = TOP) -> DataFrame:
         ready = kth.filter(covered).select("q") if radius < BITS else kth.select("q")
         finished = found.join(ready, "q", "left_semi")
         done = finished if done is None else done.unionByName(finished)
-        active = written(active.join(ready, "q", "left_anti"), "topk-active")
+        known = kth.select(F.col("q").alias("k_q"), F.when(F.col("n") >= k, F.col("d").cast("int")).otherwise(F.lit(64)).alias("bound"))
+        active = written(active.join(ready, "q", "left_anti").join(known, F.col("q") == F.col("k_q"), "left").select("q", F.coalesce("bound", "most").alias("most")), "topk-active")
         found = found.join(ready, "q", "left_anti")
         left = active.count()
     if done is None:
