@@ -162,9 +162,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, bucket: int = BUCKE
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """Rows of ``docs`` with one document kept of each group: the smallest id, and of
-    repeated rows of that id one (the same whichever task runs first). Rows without an
-    id are kept if their group has none with an id, one of each text."""
-    found = near_duplicates(docs, shingle).select("doc_id").where(F.col("doc_id").eqNullSafe(F.col("component_id"))).distinct()
-    kept = docs.join(found.withColumnRenamed("doc_id", "_kept"), F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "text"])
+    """Rows of ``docs`` (all columns) with one document kept of each group: the smallest
+    id, and of repeated rows of that id and text one. Rows without an id cannot be ranked
+    and stay, one of each text."""
+    found = near_duplicates(docs.filter("doc_id is not null"), shingle).filter("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
+    kept = docs.join(found, F.col("doc_id") == F.col("_kept"), "left_semi")
+    return kept.unionByName(docs.filter("doc_id is null")).dropDuplicates(["doc_id", "text"])
