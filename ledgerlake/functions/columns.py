@@ -32,7 +32,7 @@ def format_id(no: Column | str) -> Column:
 def parse_id(id_col: Column | str) -> Column:
     """Numeric id from the text id (R5, H2); NULL when it does not parse."""
     c = _c(id_col)
-    return F.when(c.startswith(model.ID_PREFIX), c.substr(2, 64).try_cast("bigint"))
+    return F.when(c.rlike(f"^{model.ID_PREFIX}[0-9]+\\z"), F.substring(c, F.lit(2), F.length(c)).try_cast("bigint"))
 
 
 def parse_date_strict(c: Column | str) -> Column:
@@ -70,8 +70,10 @@ def repair_mojibake(c: Column | str) -> Column:
     letters read one byte at a time); anything else is returned untouched.
     """
     c = _c(c)
-    suspect = ~is_ascii(c) & ((F.instr(c, "Ã") > 0) | (F.instr(c, "Â") > 0))
-    return F.when(suspect, F.decode(F.encode(c, "ISO-8859-1"), "UTF-8")).otherwise(c)
+    suspect = ~is_ascii(c) & ((F.instr(c, "Ã") > 0) | (F.instr(c, "Â") > 0)) & c.rlike(r"^[\x{0}-\x{FF}]*\z")
+    # Only bytes that are UTF-8 again were mojibake; ``SÃO`` is a name and stays.
+    back = F.when(suspect, F.encode(c, "ISO-8859-1")).cast("string")
+    return F.when(F.is_valid_utf8(back), back).otherwise(c)
 
 
 def has_replacement_char(c: Column | str) -> Column:

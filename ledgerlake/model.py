@@ -102,15 +102,15 @@ class LakePaths:
 
     @property
     def raw(self) -> str:
-        return f"{self.base}/raw"
+        return f"{self.base}/raw/mouvements"
 
     @property
     def staging(self) -> str:
-        return f"{self.base}/staging_parquet"
+        return f"{self.base}/staging/mouvements"
 
     @property
     def tables(self) -> str:
-        return f"{self.base}/delta_tables"
+        return f"{self.base}/delta/mouvements"
 
     @property
     def quarantine(self) -> str:

@@ -23,10 +23,11 @@ def keep_first(df: DataFrame, key: str, order_cols: list[str]) -> DataFrame:
     every key group is as small as the number of landings, so no task ever
     holds a large group.
     """
-    # Rows without a key are not duplicates of each other: each gets its own
-    # negative surrogate (ids are positive), so none is dropped and they do
-    # not pile up in one task.
-    surrogate = F.lit(-1) - F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(1 << 62))
-    part = F.coalesce(F.col(key).cast("bigint"), surrogate)
-    w = Window.partitionBy(part).orderBy(*[F.col(c).asc_nulls_last() for c in order_cols])
-    return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1).drop("__rn")
+    # Rows without a key are not duplicates of each other, equal ones included: each is
+    # a group of its own, so none is dropped and they do not pile up in one task.
+    alone = F.when(F.col(key).isNull(), F.monotonically_increasing_id()).otherwise(F.lit(-1))
+    # All columns break ties after the given order, so a rerun keeps an equal row.
+    order = [*order_cols, *[c for c in df.columns if c not in order_cols]]
+    w = Window.partitionBy(key, "__alone").orderBy(*[F.col(c).asc_nulls_last() for c in order])
+    return (df.withColumn("__alone", alone).withColumn("__rn", F.row_number().over(w))
+            .filter(F.col("__rn") == 1).drop("__rn", "__alone"))

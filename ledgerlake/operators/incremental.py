@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.sources.raw import inventory
+from ledgerlake.sources.raw import CSV_FILES, inventory
 
 
-def new_files(spark: SparkSession, root: str, manifest: DataFrame, glob: str = "*.csv") -> DataFrame:
+def new_files(spark: SparkSession, root: str, manifest: DataFrame, glob: str = CSV_FILES) -> DataFrame:
     """Inventory of ``root`` minus the files already in ``manifest`` (a ``path`` column).
 
     A left-anti join; the manifest grows with the number of files (not rows)
@@ -24,4 +25,10 @@ def record_manifest(spark: SparkSession, files: DataFrame, manifest_path: str) -
 
 
 def read_manifest(spark: SparkSession, manifest_path: str) -> DataFrame:
-    return spark.read.parquet(manifest_path)
+    """The recorded files; an empty frame before the first run has recorded any."""
+    try:
+        return spark.read.parquet(manifest_path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "path string, length long, modificationTime timestamp, ingested_at timestamp")

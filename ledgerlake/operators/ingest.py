@@ -30,8 +30,12 @@ def type_movements(raw: DataFrame) -> DataFrame:
     ``montant`` the staged DECIMAL(12,2).
     """
     long_row = F.col(EXTRA).isNotNull() if EXTRA in raw.columns else F.lit(False)
-    montant = F.col("montant").try_cast("decimal(12,2)")
-    typed = normalise_labels(raw).select(
+    exact = F.col("montant").try_cast("decimal(38,18)")
+    montant = F.when(exact == F.round(exact, 2), F.col("montant").try_cast("decimal(12,2)"))  # nothing is rounded silently
+    line = F.array_join(F.array(*[F.col(c) for c in (*model.COLUMNS, EXTRA) if c in raw.columns]), ",", "")
+    if EXTRA in raw.columns:
+        line = F.when(F.col(EXTRA).isNull(), F.regexp_replace(line, r",\z", "")).otherwise(line)
+    typed = normalise_labels(raw.withColumn("__line", line)).select(
         *[c for c in raw.columns if c not in model.COLUMNS and c != EXTRA],
         F.col("id_mouvement"),
         parse_id("id_mouvement").alias("mouvement_no"),
@@ -43,6 +47,7 @@ def type_movements(raw: DataFrame) -> DataFrame:
         "agence_id",
         "pays",
         long_row.alias("__long"),
+        "__line",
     )
     reason = (
         F.when(F.col("pays").isNull(), F.lit("short_row"))
@@ -52,7 +57,8 @@ def type_movements(raw: DataFrame) -> DataFrame:
         .when(F.col("cents").isNull(), F.lit("bad_number"))
         .otherwise(F.lit(OK))
     )
-    return typed.withColumn("reason", reason).drop("__long")
+    # Quarantined rows keep the text they came with.
+    return typed.withColumn("reason", reason).withColumn("raw_line", F.when(F.col("reason") != OK, F.col("__line"))).drop("__long", "__line")
 
 
 def split_quarantine(typed: DataFrame) -> tuple[DataFrame, DataFrame]:

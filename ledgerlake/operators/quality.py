@@ -47,7 +47,8 @@ def contract_report(df: DataFrame, start_date: str = model.START_DATE,
                     days: int = model.DATE_RANGE_DAYS) -> DataFrame:
     """One row per rule: ``rule, n_checked, n_breaches`` (Q6).
 
-    One shuffle (by id, partially aggregated) and one global aggregate.
+    The row rules are one global aggregate without a shuffle by key; a second, pruned
+    scan shuffles ids alone for uniqueness and gaps.
     Domain checks are ``IN`` lists of fixed domains, so no join at all.
     """
     end = F.date_add(F.to_date(F.lit(start_date)), days - 1)
@@ -60,22 +61,20 @@ def contract_report(df: DataFrame, start_date: str = model.START_DATE,
         "date_window": ~F.coalesce(c("date_op").between(F.to_date(F.lit(start_date)), end), F.lit(False)),
         "amount_bounds": ~F.coalesce(c("cents").between(rule_lo(c("type_op")), rule_hi(c("type_op"))), F.lit(False)),
     }
-    per_id = df.groupBy("mouvement_no").agg(
-        F.count("*").alias("n"),
-        *[F.count_if(v).alias(k) for k, v in flags.items()],
-    )
-    tot = per_id.agg(
+    rules = df.agg(F.count("*").alias("n_rows"), *[F.count_if(v).alias(k) for k, v in flags.items()])
+    per_id = df.groupBy("mouvement_no").agg(F.count("*").alias("n"))
+    ids = per_id.agg(
         F.sum("n").alias("n_rows"),
         F.sum(F.when(c("mouvement_no").isNull(), c("n")).otherwise(0)).alias("id_parse"),
         F.sum(F.when(c("mouvement_no").isNotNull(), c("n") - 1).otherwise(0)).alias("id_unique"),
         (F.max("mouvement_no") - F.min("mouvement_no") + 1 - F.count("mouvement_no")).alias("id_gaps"),
-        *[F.sum(k).alias(k) for k in flags],
-    )
-    rules = ["id_parse", "id_unique", "id_gaps", *flags]
-    stack = "stack({}, {}) AS (rule, n_breaches)".format(
-        len(rules), ", ".join(f"'{r}', CAST(coalesce({r}, 0) AS BIGINT)" for r in rules)
     )
-    return tot.selectExpr("CAST(n_rows AS BIGINT) AS n_checked", stack)
+
+    def stacked(one: DataFrame, names: list[str]) -> DataFrame:
+        pairs = ", ".join(f"'{r}', CAST(coalesce({r}, 0) AS BIGINT)" for r in names)
+        return one.selectExpr("CAST(coalesce(n_rows, 0) AS BIGINT) AS n_checked", f"stack({len(names)}, {pairs}) AS (rule, n_breaches)")
+
+    return stacked(ids, ["id_parse", "id_unique", "id_gaps"]).unionByName(stacked(rules, list(flags)))
 
 
 def exact_stats(df: DataFrame, key: Column | str, cents: str = "cents", extra: tuple[Column, ...] = ()) -> DataFrame:
@@ -87,7 +86,7 @@ def exact_stats(df: DataFrame, key: Column | str, cents: str = "cents", extra: t
         F.min(c).alias("min_cents"),
         F.max(c).alias("max_cents"),
         F.sum(c).alias("sum_cents"),
-        F.sum((c * c).cast("decimal(38,0)")).alias("sum_sq_cents"),
+        F.sum((c.cast("decimal(19,0)") * c.cast("decimal(19,0)")).cast("decimal(38,0)")).alias("sum_sq_cents"),
         *extra,
     )
 
@@ -140,7 +139,7 @@ def anomalies_zscore(df: DataFrame, threshold: float = 3.0) -> DataFrame:
 
 
 def anomalies_bounds(df: DataFrame) -> DataFrame:
-    """Rows whose amount breaks the rule bounds of its type (Q7, exact)."""
+    """Rows whose amount breaks the rule bounds of its type or is missing (Q7, exact)."""
     lo, hi = rule_lo(F.col("type_op")), rule_hi(F.col("type_op"))
     return (df.withColumns({"lo_cents": lo, "hi_cents": hi})
-              .filter(~F.col("cents").between(F.col("lo_cents"), F.col("hi_cents"))))
+              .filter(~F.coalesce(F.col("cents").between(F.col("lo_cents"), F.col("hi_cents")), F.lit(False))))

@@ -62,6 +62,15 @@ def n_orders(spark: SparkSession, sf: str) -> int:
     return orders(spark, sf).count()
 
 
+def dealt_index(spark: SparkSession, sf: str, n: int, parts: int, start: int = 0) -> DataFrame:
+    """Row counters ``start .. start+n-1`` from the keys of ``orders``, one contiguous
+    interval per partition as ``spark.range`` deals them."""
+    from ledgerlake.sinks.layout import shard_of
+    keys = orders(spark, sf).filter(F.col("o_orderkey") < n).select(F.col("o_orderkey").cast("bigint").alias("k"))
+    dealt = keys.repartitionById(parts, shard_of("k", n, parts).cast("int")).sortWithinPartitions("k")
+    return dealt.select((F.col("k") + start).alias("i"))
+
+
 def mv(spark: SparkSession, sf: str, **kw) -> DataFrame:
     return movements_from_orders(spark, sf, seed=kw.pop("seed", SEED), **kw)
 
@@ -86,7 +95,7 @@ FROM (SELECT unnest(range(0, {N_SQL})) AS i) GROUP BY i // {C_SQL}""")
 def gen_index(spark, sf):
     n = n_orders(spark, sf)
     k = chunk_rows(n)
-    idx = chunked_index(spark, n, k)
+    idx = index_from_table(orders(spark, sf), "o_orderkey")
     chunk = F.floor(F.col("i") / k).cast("bigint")
     return idx.groupBy(chunk.alias("chunk")).agg(
         (F.min("i") + 1).alias("first_no"), (F.max("i") + 1).alias("last_no"), F.count("*").alias("n_rows"),

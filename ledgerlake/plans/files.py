@@ -19,12 +19,12 @@ from ledgerlake.operators.dedupe import keep_first, union_landings
 from ledgerlake.operators.incremental import new_files, read_manifest, record_manifest
 from ledgerlake.plans import oracle as O
 from ledgerlake.plans.catalogue import (
-    MV_COLS, N_SQL, S_SQL, SEED, _cols, chunk_rows, mv, n_orders, orders, register,
+    MV_COLS, N_SQL, S_SQL, SEED, _cols, chunk_rows, dealt_index, mv, n_orders, orders, register,
 )
 from ledgerlake.session import scratch_path
 from ledgerlake.sinks import layout as L
-from ledgerlake.sources.generate import chunked_index, index_range, movements, raw_columns
-from ledgerlake.sources.raw import inventory, read_lines, read_raw, with_source_file
+from ledgerlake.sources.generate import movements, raw_columns
+from ledgerlake.sources.raw import CSV_FILES, inventory, read_lines, read_raw, with_source_file
 
 TYPED_COLS = ["id_mouvement", "mouvement_no", "date_op", "produit", "type_op", "montant", "cents",
               "agence_id", "pays"]
@@ -38,10 +38,15 @@ def typed_out(df: DataFrame, *extra: str) -> DataFrame:
     return df.select(*[F.col(c).cast("double").alias(c) if c == "montant" else F.col(c) for c in TYPED_COLS], *extra)
 
 
+def _land_rows(spark, sf, path, n, start=0, **kw) -> None:
+    shards = model.shard_count(n)
+    L.land_movements(spark, path, n, shards, index=dealt_index(spark, sf, n, shards, start), **kw)
+
+
 def _land(spark, sf, name, **kw) -> str:
     path = scratch_path(spark, name)
     n = n_orders(spark, sf)
-    L.land_movements(spark, path, n, model.shard_count(n), seed=kw.pop("seed", SEED), **kw)
+    _land_rows(spark, sf, path, n, seed=kw.pop("seed", SEED), **kw)
     return path
 
 
@@ -56,7 +61,7 @@ def csv_round_trip_raw(spark, sf):
 
 @register("csv_typed", O.with_(O.orders_movements(), f"SELECT {_TYPED_SQL}, 'ok' AS reason FROM mv"))
 def csv_typed(spark, sf):
-    typed = I.type_movements(read_raw(spark, _land(spark, sf, "raw_typed")))
+    typed = I.type_movements(read_raw(spark, _land(spark, sf, "raw_typed"), shape=True, recursive=True))
     return typed_out(typed, "reason")
 
 
@@ -71,7 +76,7 @@ SPOIL_K = 97  # kinds 0 bad date, 1 bad number, 2 short row; the rest are clean
     "FROM k GROUP BY 1"))
 def quarantine(spark, sf):
     n = n_orders(spark, sf)
-    g = movements(index_range(spark, n, model.shard_count(n)), seed=SEED, extra_draws=(D.C_SPOIL,))
+    g = movements(dealt_index(spark, sf, n, model.shard_count(n)), seed=SEED, extra_draws=(D.C_SPOIL,))
     kind = D.pick("h7", SPOIL_K)
     date = F.when(kind == 0, F.lit("2025-06-31")).otherwise(F.date_format("date_op", "yyyy-MM-dd"))
     amount = F.when(kind == 1, F.lit("x")).otherwise(F.col("montant").cast("string"))
@@ -79,13 +84,52 @@ def quarantine(spark, sf):
     line = F.when(kind == 2, F.concat_ws(",", *fields)).otherwise(F.concat_ws(",", *fields, F.col("pays")))
     raw_path, out_path = scratch_path(spark, "raw_spoiled"), scratch_path(spark, "typed_by_reason")
     L.write_lines(g.select(line.alias("value")), raw_path)
-    typed = I.type_movements(read_raw(spark, raw_path, header=False, shape=True))
+    typed = I.type_movements(read_raw(spark, raw_path, header=False, shape=True, recursive=True))
     # One write splits good and quarantined rows (R2): partition by reason.
     typed.write.partitionBy("reason").parquet(out_path)
     back = spark.read.parquet(out_path)
     return back.groupBy("reason").agg(F.count("*").alias("n_rows"), F.sum("cents").alias("sum_cents"))
 
 
+# --- R1 R2 R5 R9 F5 K9: dirty rows in two places, one of them compressed ---------
+# Kinds by key modulo 13: bad date, bad number, short row, long row, equal rows without an
+# id, an amount with three decimals, an id of 70 digits; the rest are clean.
+
+@register("dirty_ingest", O.with_(O.orders_movements() + [
+    """k AS (SELECT *, (mouvement_no - 1) % 13 AS kind, CAST(date_op AS VARCHAR) AS d, CAST(montant AS VARCHAR) AS m FROM mv)""",
+    """l AS (SELECT CASE kind WHEN 0 THEN 'bad_date' WHEN 1 THEN 'bad_number' WHEN 2 THEN 'short_row' WHEN 3 THEN 'long_row'
+              WHEN 4 THEN 'bad_id' WHEN 5 THEN 'bad_number' WHEN 6 THEN 'bad_id' ELSE 'ok' END AS reason,
+              CASE kind WHEN 0 THEN concat_ws(',', id_mouvement, '2025-06-31', produit, type_op, m, agence_id, pays)
+                        WHEN 1 THEN concat_ws(',', id_mouvement, d, produit, type_op, 'x', agence_id, pays)
+                        WHEN 2 THEN concat_ws(',', id_mouvement, d, produit, type_op, m, agence_id) || ','
+                        WHEN 3 THEN concat_ws(',', id_mouvement, d, produit, type_op, m, agence_id, pays, 'more')
+                        WHEN 4 THEN 'M-5,2025-06-01,auto,cotisation,60.5,AG_001,FR'
+                        WHEN 5 THEN concat_ws(',', id_mouvement, d, produit, type_op, '60.129', agence_id, pays)
+                        WHEN 6 THEN concat_ws(',', 'M' || repeat('9', 70), d, produit, type_op, m, agence_id, pays) END AS line,
+              CASE WHEN kind > 6 THEN cents END AS cents FROM k)"""],
+    "SELECT reason, count(*) AS n_rows, CAST(sum(length(line)) AS BIGINT) AS kept_chars, min(line) AS first_line, "
+    "max(line) AS last_line, CAST(sum(CASE WHEN reason = 'ok' THEN cents END) AS BIGINT) AS sum_cents FROM l GROUP BY reason"))
+def dirty_ingest(spark, sf):
+    g = mv(spark, sf)
+    kind = F.pmod(F.col("mouvement_no") - 1, F.lit(13))
+    at = lambda k, bad, good: F.when(kind == k, F.lit(bad)).otherwise(good)
+    fields = [at(6, "M" + "9" * 70, F.col("id_mouvement")), at(0, "2025-06-31", F.date_format("date_op", "yyyy-MM-dd")), F.col("produit"), F.col("type_op"),
+              at(5, "60.129", at(1, "x", F.col("montant").cast("string"))), F.col("agence_id")]
+    line = (F.when(kind == 2, F.concat_ws(",", *fields)).when(kind == 3, F.concat_ws(",", *fields, "pays", F.lit("more")))
+            .when(kind == 4, F.lit("M-5,2025-06-01,auto,cotisation,60.5,AG_001,FR")).otherwise(F.concat_ws(",", *fields, "pays")))
+    root = scratch_path(spark, "raw_dirty")
+    rows = g.select("mouvement_no", line.alias("value"))
+    even = F.pmod("mouvement_no", F.lit(2)) == 0
+    L.write_lines(rows.filter(even).select("value"), f"{root}/current")
+    L.write_lines(rows.filter(~even).select("value"), f"{root}/mouvements", "gzip")
+    typed = I.type_movements(read_raw(spark, root, header=False, shape=True, recursive=True))
+    one = keep_first(typed, "mouvement_no", ["reason"])
+    return one.groupBy("reason").agg(
+        F.count("*").alias("n_rows"), F.sum(F.length("raw_line")).cast("bigint").alias("kept_chars"),
+        F.min("raw_line").alias("first_line"), F.max("raw_line").alias("last_line"),
+        F.sum(F.when(F.col("reason") == I.OK, F.col("cents"))).alias("sum_cents"))
+
+
 # --- S7 F1 K3: headers met inside consolidated bodies --------------------------
 
 @register("header_filter", O.with_(O.orders_movements(), f"SELECT {_RAW_SQL} FROM mv"))
@@ -94,8 +138,8 @@ def header_filter(spark, sf):
     chunks, merged = scratch_path(spark, "chunks"), scratch_path(spark, "merged_text")
     # One CSV per chunk, each with its own header (the superseded chunked writer).
     k, shards = chunk_rows(n), model.shard_count(n)
-    L.write_csv(raw_columns(movements(chunked_index(spark, n, k), seed=SEED)), chunks)
     n_chunks = max(1, -(-n // k))
+    L.write_csv(raw_columns(movements(dealt_index(spark, sf, n, n_chunks), seed=SEED)), chunks)
     lines = read_lines(spark, chunks)
     shard = F.floor(L.part_number(F.col("file_name")) * shards / n_chunks).cast("int")
     # Text-level consolidation: header lines of every chunk end up inside the shard body.
@@ -158,12 +202,12 @@ def _two_landings_sql() -> list[str]:
 def union_landings_dedupe(spark, sf):
     n = n_orders(spark, sf)
     a, b = scratch_path(spark, "raw_current"), scratch_path(spark, "raw_beam")
-    L.land_movements(spark, a, n, model.shard_count(n), seed=1)
-    L.land_movements(spark, b, n, model.shard_count(n), seed=2, labels="accented", start=n // 2)
-    ra = with_source_file(read_raw(spark, a)).withColumns({"landing": F.lit("current"), "prio": F.lit(1)})
-    rb = with_source_file(read_raw(spark, b)).withColumns({"landing": F.lit("beam"), "prio": F.lit(2)})
+    _land_rows(spark, sf, a, n, seed=1)
+    _land_rows(spark, sf, b, n, seed=2, labels="accented", start=n // 2)
+    ra = with_source_file(read_raw(spark, a, shape=True, recursive=True)).withColumns({"landing": F.lit("current"), "prio": F.lit(1)})
+    rb = with_source_file(read_raw(spark, b, shape=True, recursive=True)).withColumns({"landing": F.lit("beam"), "prio": F.lit(2)})
     typed = I.type_movements(union_landings(ra, rb))
-    one = keep_first(typed, "mouvement_no", ["prio", "file_name"])
+    one = keep_first(typed.withColumn("bad", F.col("reason") != I.OK), "mouvement_no", ["bad", "prio", "landing"])
     return one.select("mouvement_no", "id_mouvement", "landing", "date_op", "produit", "type_op",
                       F.col("montant").cast("double").alias("montant"), "agence_id", "pays")
 
@@ -179,7 +223,7 @@ def compact_parts(spark, sf):
     n = n_orders(spark, sf)
     parts, out = scratch_path(spark, "parts"), scratch_path(spark, "compacted")
     shards = model.shard_count(n)
-    g = movements(chunked_index(spark, n, chunk_rows(n)), seed=SEED).withColumn(
+    g = movements(dealt_index(spark, sf, n, max(1, -(-n // chunk_rows(n)))), seed=SEED).withColumn(
         "shard", L.shard_of(F.col("mouvement_no") - 1, n, shards))
     g.select(*model.COLUMNS, "shard").write.partitionBy("shard").option("header", True).csv(parts)
     src = read_raw(spark, parts).withColumn("mouvement_no", parse_id("id_mouvement"))
@@ -219,9 +263,9 @@ _HEADER_BYTES = len(",".join(model.COLUMNS)) + 1
 def zone_inventory(spark, sf):
     root = scratch_path(spark, "lake")
     n = n_orders(spark, sf)
-    L.land_movements(spark, f"{root}/raw_current", n, model.shard_count(n), seed=SEED)
-    L.land_movements(spark, f"{root}/raw_beam", n, model.shard_count(n), seed=2, labels="accented")
-    inv = inventory(spark, root, glob="*.csv")
+    _land_rows(spark, sf, f"{root}/raw_current", n, seed=SEED)
+    _land_rows(spark, sf, f"{root}/raw_beam", n, seed=2, labels="accented")
+    inv = inventory(spark, root, glob=CSV_FILES)
     zone = F.regexp_extract("path", r"/(raw_[a-z]+)/", 1)
     return inv.groupBy(zone.alias("zone")).agg(F.count("*").alias("n_files"), F.sum("length").alias("n_bytes"))
 
@@ -235,13 +279,13 @@ def zone_inventory(spark, sf):
 def new_files_only(spark, sf):
     n = n_orders(spark, sf)
     raw, manifest = scratch_path(spark, "raw_incr"), scratch_path(spark, "manifest")
-    L.land_movements(spark, raw, n, model.shard_count(n), seed=1)
-    record_manifest(spark, inventory(spark, raw, glob="*.csv"), manifest)
-    L.land_movements(spark, raw, n, model.shard_count(n), seed=2, labels="accented", start=n, mode="append")
+    _land_rows(spark, sf, raw, n, seed=1)
+    record_manifest(spark, inventory(spark, raw, glob=CSV_FILES), manifest)
+    _land_rows(spark, sf, raw, n, seed=2, labels="accented", start=n, mode="append")
     fresh = new_files(spark, raw, read_manifest(spark, manifest))
     # File paths only (one string per new file) reach the driver, as in any file listing.
     paths = [r.path for r in fresh.select("path").collect()]
-    t = I.type_movements(read_raw(spark, paths))
+    t = I.type_movements(read_raw(spark, paths, shape=True))
     return t.agg(F.lit(len(paths)).cast("bigint").alias("n_new_files"), F.count("*").alias("n_rows"),
                  F.sum("cents").alias("sum_cents"), F.min("mouvement_no").alias("min_no"),
                  F.max("mouvement_no").alias("max_no"))
@@ -330,9 +374,9 @@ def stream_landing(spark, sf):
     n = n_orders(spark, sf)
     raw, staging, ckpt = scratch_path(spark, "raw_stream"), scratch_path(spark, "staging"), scratch_path(spark, "ckpt")
     half = n // 2
-    L.land_movements(spark, raw, half, model.shard_count(half), seed=SEED)
+    _land_rows(spark, sf, raw, half, seed=SEED)
     ingest_available(spark, raw, staging, ckpt)
-    L.land_movements(spark, raw, n - half, model.shard_count(n - half), seed=SEED, start=half, mode="append")
+    _land_rows(spark, sf, raw, n - half, seed=SEED, start=half, mode="append")
     ingest_available(spark, raw, staging, ckpt)  # picks up only the second landing
     return typed_out(spark.read.parquet(staging))
 
@@ -353,4 +397,4 @@ def user_row_function(spark, sf):
 def run_metrics(spark, sf):
     from ledgerlake.plans.run import JobConfig, run_job
     cfg = JobConfig(base=scratch_path(spark, "lake_run"), n_rows=n_orders(spark, sf), seed=SEED)
-    return run_job(spark, cfg)
+    return run_job(spark, cfg, dealt_index(spark, sf, cfg.n_rows, cfg.shards))

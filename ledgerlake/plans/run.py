@@ -57,37 +57,43 @@ def _timed(fn):
     return time.perf_counter() - t0
 
 
-def run_job(spark: SparkSession, cfg: JobConfig) -> DataFrame:
+def run_job(spark: SparkSession, cfg: JobConfig, index: DataFrame | None = None) -> DataFrame:
+    """Run all stages. Every run lands and stages in folders of its own ``run_id``, which a
+    retry of that run overwrites; the published table replaces the months it holds."""
     p = cfg.paths
+    raw = f"{p.raw}/{cfg.run_id}"
     metrics: list[tuple[str, str, int, float]] = []
 
     # 1. generate and land (S1-S2, P1-P12, K1-K2, K4): no shuffle.
-    gen = movements(index_range(spark, cfg.n_rows, cfg.shards), seed=cfg.seed, labels=cfg.labels,
+    gen = movements(index_range(spark, cfg.n_rows, cfg.shards) if index is None else index, seed=cfg.seed, labels=cfg.labels,
                     start_date=cfg.start_date, days=cfg.days)
     o1 = Observation("landed")
-    secs = _timed(lambda: L.write_csv(raw_columns(gen).observe(o1, F.count("*").alias("n")), p.raw))
-    metrics.append(("land_raw", p.raw, o1.get["n"], secs))
+    secs = _timed(lambda: L.write_csv(raw_columns(gen).observe(o1, F.count("*").alias("n")), raw, mode="overwrite"))
+    metrics.append(("land_raw", raw, o1.get["n"], secs))
 
     # 2. parse and type; good and quarantined rows in one write.
-    parsed = f"{p.base}/parsed"
-    typed = I.type_movements(with_source_file(read_raw(spark, p.raw, shape=True)))
+    parsed = f"{p.staging}/{cfg.run_id}"
+    typed = I.type_movements(with_source_file(read_raw(spark, raw, shape=True, recursive=True)))
     o2 = Observation("parsed")
     secs = _timed(lambda: typed.observe(o2, F.count("*").alias("n"), F.count_if(F.col("reason") != "ok").alias("bad"))
-                  .write.partitionBy("reason").parquet(parsed))
+                  .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("reason").parquet(parsed))
     metrics.append(("parse_typed", parsed, o2.get["n"], secs))
     metrics.append(("quarantined", f"{parsed}/reason=*", o2.get["bad"], 0.0))
 
     # 3. one row per id, published partitioned by country and product.
     good = spark.read.parquet(parsed).filter(F.col("reason") == "ok").drop("reason")
-    one = keep_first(good, "mouvement_no", ["file_name"]).select(*[f.name for f in model.STAGED_SCHEMA.fields])
+    one = keep_first(good, "mouvement_no", list(model.COLUMNS)).select(
+        F.date_format("date_op", "yyyy-MM").alias("mois"), *[f.name for f in model.STAGED_SCHEMA.fields])
     o3 = Observation("published")
     fmt = L.table_format(spark)
-    secs = _timed(lambda: L.publish_partitioned(one, p.tables, ["pays", "produit"], fmt=fmt,
+    secs = _timed(lambda: L.publish_partitioned(one, p.tables, ["mois", "pays", "produit"], fmt=fmt,
                                                 sort_col="mouvement_no", observation=o3))
     metrics.append(("publish", p.tables, o3.get["n"], secs))
 
     # 4. contract report over the published table, kept as a table (Q6, Q8).
-    table = spark.read.format(fmt).load(p.tables).withColumn("cents", (F.col("montant") * 100).cast("bigint"))
+    first = F.to_date(F.lit(cfg.start_date))
+    months = F.col("mois").between(F.date_format(first, "yyyy-MM"), F.date_format(F.date_add(first, cfg.days - 1), "yyyy-MM"))
+    table = spark.read.format(fmt).load(p.tables).filter(months).withColumn("cents", (F.col("montant") * 100).cast("bigint"))
     report = Q.contract_report(table, cfg.start_date, cfg.days).withColumn("run_id", F.lit(cfg.run_id))
     secs = _timed(lambda: report.write.mode("append").parquet(p.metrics))
     metrics.append(("contract_report", p.metrics, spark.read.parquet(p.metrics).filter(

@@ -9,6 +9,8 @@ contiguous id intervals and its plan has no Exchange.
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,14 +58,15 @@ def write_csv(df: DataFrame, path: str, header: bool = True, compression: str |
 def land_movements(spark: SparkSession, path: str, n_rows: int, n_shards: int = model.DEFAULT_SHARDS,
                    seed: int = 42, labels: str = "ascii", start: int = 0, id_offset: int = 0,
                    encoding: str | None = None, compression: str | None = None, header: bool = True,
-                   mode: str = "errorifexists") -> DataFrame:
+                   mode: str = "errorifexists", index: DataFrame | None = None) -> DataFrame:
     """Generate ``n_rows`` and land them as ``n_shards`` CSV files (K1, K2).
 
     The source is ``spark.range`` with one partition per shard, so each
-    writer task writes one contiguous id interval and nothing is shuffled.
+    writer task writes one contiguous id interval and nothing is shuffled;
+    ``index`` gives row counters of another table, dealt the same way, instead.
     Returns the generated frame (lazy) for callers that want metrics.
     """
-    gen = movements(index_range(spark, n_rows, n_shards, start), seed=seed, labels=labels, id_offset=id_offset)
+    gen = movements(index_range(spark, n_rows, n_shards, start) if index is None else index, seed=seed, labels=labels, id_offset=id_offset)
     write_csv(raw_columns(gen), path, header=header, compression=compression, encoding=encoding, mode=mode)
     return gen
 
@@ -131,12 +134,13 @@ def table_format(spark: SparkSession, preferred: str = "delta") -> str:
     """Format of the final table zone (K6): ``preferred`` when its data source
     is on the classpath, else partitioned Parquet."""
     try:
-        jvm = spark.sparkContext._jvm
-        jvm.org.apache.spark.sql.execution.datasources.DataSource.lookupDataSource(
-            preferred, spark._jsparkSession.sessionState().conf())
-        return preferred
-    except Exception:  # noqa: BLE001  (DATA_SOURCE_NOT_FOUND)
-        return "parquet"
+        spark.read.format(preferred).load("/")
+    except (AnalysisException, Py4JJavaError) as e:
+        if "DATA_SOURCE_NOT_FOUND" in str(e):
+            return "parquet"
+        if isinstance(e, Py4JJavaError):
+            raise
+    return preferred  # the source is there: it only found no table at the root
 
 
 def write_format(df: DataFrame, path: str, fmt: str, compression: str | None = None) -> None:

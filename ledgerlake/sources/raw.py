@@ -9,6 +9,8 @@ from pyspark.sql import types as T
 from ledgerlake import model
 
 EXTRA = "_extra_field"
+#: Landed CSV files, compressed or not.
+CSV_FILES = "*.csv*"
 
 
 def read_raw(spark: SparkSession, paths: str | list[str], header: bool = True, encoding: str = "UTF-8",
@@ -20,7 +22,8 @@ def read_raw(spark: SparkSession, paths: str | list[str], header: bool = True, e
     too many fields can be quarantined (R2); rows with too few get NULLs. (With
     an all-string schema nothing else can fail to parse, so this replaces the
     corrupt-record column, which would flag every 7-field row against an
-    8-column schema.) Spark readers skip names starting with ``.`` or ``_``
+    8-column schema.) ``recursive`` reads sub-folders too, as every raw zone
+    is ingested; without it a ``key=value`` layout gives its partition columns. Spark readers skip names starting with ``.`` or ``_``
     (``.gitkeep``, ``_SUCCESS``) by themselves.
     """
     fields = list(model.RAW_SCHEMA.fields)

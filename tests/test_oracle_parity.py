@@ -3,11 +3,12 @@
 import pytest
 
 import __spark_entry__ as E
+from ledgerlake.plans import catalogue
 from tests.conftest import SF0001
 from tools.check_oracle import duck, rows_of
 
-QUERIES = E.queries()
-ORACLES = E.oracle_sql()
+QUERIES = dict(catalogue.QUERIES)  # queries of optional subpackages are tested beside them
+ORACLES = dict(catalogue.ORACLES)
 
 
 @pytest.fixture(scope="module")
