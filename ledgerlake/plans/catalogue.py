@@ -115,6 +115,21 @@ def dim_agencies(spark, sf):
             .select("ordinal", "agence_id", F.coalesce("n_rows", F.lit(0)).alias("n_rows"), "sum_cents"))
 
 
+_DOMAINS = [("produit", [*enumerate(model.PRODUCTS)]), ("pays", [*enumerate(model.COUNTRIES)])]
+
+
+@register("dim_products_countries", O.with_(O.orders_movements() + [
+    "dim AS (SELECT * FROM (VALUES " + ", ".join(f"('{k}', {i}, '{v}')" for k, vs in _DOMAINS for i, v in vs) + ") AS t(kind, ordinal, label))",
+    "cnt AS (SELECT 'produit' AS kind, produit AS label, count(*) AS n FROM mv GROUP BY 2 UNION ALL SELECT 'pays', pays, count(*) FROM mv GROUP BY 2)",
+], "SELECT kind, CAST(ordinal AS BIGINT) AS ordinal, label, coalesce(n, 0) AS n_rows FROM dim LEFT JOIN cnt USING (kind, label)"))
+def dim_products_countries(spark, sf):
+    def counted(kind, dim):
+        cnt = mv(spark, sf).groupBy(F.col(kind).alias("label")).agg(F.count("*").alias("n"))
+        dim = dim.select("ordinal", F.col(kind).alias("label"))
+        return dim.join(cnt, "label", "left").select(F.lit(kind).alias("kind"), "ordinal", "label", F.coalesce("n", F.lit(0)).alias("n_rows"))
+    return counted("produit", model.products_df(spark)).unionByName(counted("pays", model.countries_df(spark)))
+
+
 @register("dim_rules", O.with_(O.orders_movements() + [O.rules_cte(),
     "st AS (SELECT type_op, count(*) AS n_rows, min(cents) AS min_cents, max(cents) AS max_cents FROM mv GROUP BY type_op)",
 ], "SELECT r.type_ord, r.type_op, r.type_op_accented, r.lo_cents, r.hi_cents, coalesce(st.n_rows, 0) AS n_rows, "

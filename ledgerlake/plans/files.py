@@ -7,7 +7,7 @@ what was written, so the source/sink pair is what gets verified.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake import model
@@ -24,7 +24,7 @@ from ledgerlake.plans.catalogue import (
 from ledgerlake.session import scratch_path
 from ledgerlake.sinks import layout as L
 from ledgerlake.sources.generate import movements, raw_columns
-from ledgerlake.sources.raw import CSV_FILES, inventory, read_lines, read_raw, with_source_file
+from ledgerlake.sources.raw import CSV_FILES, inventory, listing, read_lines, read_raw, select_parts, with_source_file
 
 TYPED_COLS = ["id_mouvement", "mouvement_no", "date_op", "produit", "type_op", "montant", "cents",
               "agence_id", "pays"]
@@ -311,6 +311,45 @@ def partition_read(spark, sf):
         F.min("mouvement_no").alias("min_no"), F.max("mouvement_no").alias("max_no"))
 
 
+@register("partition_filter", O.with_(O.orders_movements(),
+    "SELECT produit, count(*) AS n_rows, CAST(sum(cents) AS BIGINT) AS sum_cents FROM mv WHERE pays = 'FR' GROUP BY produit"))
+def partition_filter(spark, sf):
+    path = scratch_path(spark, "published_fr")
+    L.publish_partitioned(_staged(mv(spark, sf)), path, ["pays", "produit"], sort_col="mouvement_no")
+    t = spark.read.parquet(path).filter(F.col("pays") == "FR")  # prunes the other countries' folders
+    return t.groupBy("produit").agg(F.count("*").alias("n_rows"), (F.sum("montant") * 100).cast("bigint").alias("sum_cents"))
+
+
+# --- O1 O3 S6 F4: sorted, limited listing; parts selected by name ----------------
+
+@register("listed_parts", O.with_(O.orders_movements() + [
+    f"s AS (SELECT ((mouvement_no * {S_SQL} - 1) // {N_SQL}) AS shard FROM mv)"],
+    "SELECT shard, CASE WHEN shard = 1 THEN count(*) END AS n_rows FROM s WHERE shard < 3 GROUP BY shard"))
+def listed_parts(spark, sf):
+    raw = _land(spark, sf, "raw_listed")
+    names = listing(spark, raw, 3, glob=CSV_FILES).select(L.part_number(F.col("path")).alias("shard"))
+    rows = with_source_file(select_parts(read_raw(spark, raw), "part-00001")).groupBy(L.part_number(F.col("file_name")).alias("shard"))
+    return names.join(rows.agg(F.count("*").alias("n_rows")), "shard", "left")
+
+
+# --- O2 P14: rows in id order inside each file, lines joined without quoting ------
+
+@register("order_in_files", O.with_(O.orders_movements() + [
+    f"s AS (SELECT ((mouvement_no * {S_SQL} - 1) // {N_SQL}) AS shard FROM mv)"],
+    "SELECT shard, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_descents FROM s GROUP BY shard"))
+def order_in_files(spark, sf):
+    n, out = n_orders(spark, sf), scratch_path(spark, "ordered")
+    shards = model.shard_count(n)
+    g = mv(spark, sf).withColumn("shard", L.shard_of(F.col("mouvement_no") - 1, n, shards))
+    merged = L.compact(g, "shard", shards, "mouvement_no")
+    L.write_lines(merged.select(L.csv_line(merged, list(model.COLUMNS)).alias("value")), out)
+    lines = read_lines(spark, out).withColumn("at", F.monotonically_increasing_id())
+    rows = lines.select("file_name", "at", parse_id(F.substring_index("value", ",", 1)).alias("no"))
+    before = F.lag("no").over(Window.partitionBy("file_name").orderBy("at"))
+    return (rows.withColumn("down", before > F.col("no")).groupBy(L.part_number(F.col("file_name")).alias("shard"))
+            .agg(F.count("*").alias("n_rows"), F.count_if("down").alias("n_descents")))
+
+
 # --- K10 K6 fallback: replace one month, keep the others -----------------------
 
 @register("replace_month", O.with_(
@@ -398,3 +437,11 @@ def run_metrics(spark, sf):
     from ledgerlake.plans.run import JobConfig, run_job
     cfg = JobConfig(base=scratch_path(spark, "lake_run"), n_rows=n_orders(spark, sf), seed=SEED)
     return run_job(spark, cfg, dealt_index(spark, sf, cfg.n_rows, cfg.shards))
+
+
+@register("run_counts", f"""SELECT stage, n_rows, timed FROM (VALUES
+  ('land_raw', {N_SQL}, true), ('parse_typed', {N_SQL}, true), ('quarantined', 0, false), ('publish', {N_SQL}, true), ('contract_report', 9, true)
+) AS t(stage, n_rows, timed)""")
+def run_counts(spark, sf):
+    """The job's counts, and whether each stage has a throughput (clock values stay in its table)."""
+    return run_metrics(spark, sf).select("stage", "n_rows", F.coalesce(F.col("rows_per_sec") > 0, F.lit(False)).alias("timed"))
