@@ -4,7 +4,7 @@ the last returns the packed pieces.
 
 Null text passes as empty text through every stage; rows without an id are kept by
 the filters as their operators define it; an empty table packs to no rows. Documents
-may have further columns: they are carried along up to the last stage.
+may have further columns, of whatever names: they are carried along up to the last stage.
 """
 
 from __future__ import annotations
@@ -13,14 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import decontaminate, packing, simhash, substring, toxicity
-from ledgerlake.llm.common import bucket, table, written
+from ledgerlake.llm.common import aside, bucket, table, written
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model rejects (score of 0.5 or more) go."""
     fold = bucket(F.col("doc_id"), 5) != 0
     model = toxicity.fit(toxicity.labelled_rows(docs, table(spark, sf_dir, "labels"), fold))
-    return model.score(docs, tuple(docs.columns)).filter(F.col("score") < 0.5).select(*docs.columns)
+    rows, back = aside(docs, "doc_id", "text")
+    return back(model.score(rows, tuple(rows.columns)).filter(F.col("score") < 0.5))
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,11 +31,12 @@ def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated passages go; texts without any stay as they are, others are their kept words."""
-    cut = substring.remove_repeats(docs)
+    rows, back = aside(docs, "doc_id", "text", "n_chars")
     changed = F.col("n_removed") > 0
-    text = F.when(changed, F.col("kept")).otherwise(F.col("text"))
-    out = {"text": text, "n_chars": F.when(changed, F.length("kept").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))} if "n_chars" in docs.columns else {"text": text}
-    return cut.withColumns(out).select(*docs.columns)
+    new = {"text": F.when(changed, F.col("kept")).otherwise(F.col("text"))}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.when(changed, F.length("kept").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    return back(substring.remove_repeats(rows), **new)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +23,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def aside(df: DataFrame, *used: str) -> tuple[DataFrame, Callable[..., DataFrame]]:
+    """``df`` with all columns but ``used`` under names that no operator takes, and a
+    function that gives them their names back (``new``: columns that replace some or come after)."""
+    names = {c: c if c in used else f"_aside_{k}" for k, c in enumerate(df.columns)}
+
+    def back(out: DataFrame, **new) -> DataFrame:
+        kept = {c: F.col(n) for c, n in names.items()} | new
+        return out.select(*[v.alias(c) for c, v in kept.items()])
+
+    return df.toDF(*names.values()), back
+
+
 def bucket(doc_id, n: int):
     """crc32 of the id as text, modulo ``n``: the folds of the contracts."""
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(n))

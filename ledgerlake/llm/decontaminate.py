@@ -12,12 +12,12 @@ at least m - q + 1 - kq q-grams with it, on diagonals at most k apart:
    of twice k + 1 diagonals; bands under the bound go;
 3. a banded semi-global alignment verifies what is left.
 
-The benchmark is the query set: it is taken in blocks of a bounded number of items,
-each broadcast and held against every row of every whole text.
+The benchmark is the query set: it is taken in blocks of about ``block_bytes`` of text
+(an item is never cut), each broadcast and held against every row of every whole text.
 
 Null and empty texts match nothing, nor do items of fewer than ``q`` bytes. Repeated
-rows give equal rows of the result each; extra columns are ignored; empty tables give
-no rows.
+rows give equal rows of the result each; extra columns are ignored (``clean`` keeps
+them); a row without an id is judged by its own text; empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -29,10 +29,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import batches
+from ledgerlake.llm.common import aside, batches
 from ledgerlake.llm.token_counts import _arrow
 
-Q, LENGTH, RATE, BLOCK_ITEMS = 8, 80, 0.075, 20_000
+Q, LENGTH, RATE, BLOCK_BYTES = 8, 80, 0.075, 2 << 20
 #: ASCII bytes that are neither letters nor digits become spaces.
 TABLE = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 PART = 1 << 22
@@ -162,12 +162,12 @@ def align(buf: np.ndarray, p: Patterns, own: np.ndarray, first: np.ndarray) -> t
     return best, end
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, q: int = Q, length: int = LENGTH, rate: float = RATE, block_items: int = BLOCK_ITEMS) -> DataFrame:
+def matches(docs: DataFrame, benchmark: DataFrame, q: int = Q, length: int = LENGTH, rate: float = RATE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, item_id, n_patterns, min_edits, first_byte, end_byte (in the normalised
     text): a row per row of ``docs`` and item of which a pattern matches."""
     spark = docs.sparkSession
     known = benchmark.select("item_id", "text").where(F.col("text").isNotNull()).distinct()
-    blocks = max(1, -(-known.count() // block_items))
+    blocks = max(1, -(-(known.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // block_bytes))
     out = None
     for b in range(blocks):
         some = [tuple(r) for r in known.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).collect()]
@@ -223,6 +223,9 @@ def _block(docs: DataFrame, shared, benchmark: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Rows of ``docs`` in which no benchmark pattern matches (all columns)."""
-    hit = matches(docs, benchmark).select(F.col("doc_id").alias("_hit")).distinct()
-    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("_hit")), "left_anti")
+    """Rows of ``docs`` in which no benchmark pattern matches (all columns). Rows that
+    share an id, or have none, are judged each by its own text."""
+    rows, back = aside(docs, "doc_id", "text")
+    key = F.struct("doc_id", F.xxhash64("text").alias("h"))
+    hit = matches(rows.select(key.alias("doc_id"), "text"), benchmark).select(F.col("doc_id.doc_id").alias("_hit"), F.col("doc_id.h").alias("_hash")).distinct()
+    return back(rows.join(hit, F.col("doc_id").eqNullSafe(F.col("_hit")) & (F.xxhash64("text") == F.col("_hash")), "left_anti"))

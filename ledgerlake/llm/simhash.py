@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import batches, words_of, written
+from ledgerlake.llm.common import aside, batches, words_of, written
 from ledgerlake.llm.token_counts import _arrow
 
 SHINGLE, MAX_BITS, BUCKET = 4, 4, 512
@@ -165,6 +165,7 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """Rows of ``docs`` (all columns) with one document kept of each group: the smallest
     id, and of repeated rows of that id and text one. Rows without an id cannot be ranked
     and stay, one of each text."""
-    found = near_duplicates(docs.filter("doc_id is not null"), shingle).filter("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    kept = docs.join(found, F.col("doc_id") == F.col("_kept"), "left_semi")
-    return kept.unionByName(docs.filter("doc_id is null")).dropDuplicates(["doc_id", "text"])
+    rows, back = aside(docs, "doc_id", "text")
+    found = near_duplicates(rows.filter("doc_id is not null"), shingle).filter("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
+    kept = rows.join(found, F.col("doc_id") == F.col("_kept"), "left_semi").dropDuplicates(["doc_id", "text"])
+    return back(kept.unionByName(rows.filter("doc_id is null").dropDuplicates(["text"])))

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import batches, words_of, written
+from ledgerlake.llm.common import aside, batches, words_of, written
 from ledgerlake.llm.token_counts import _arrow
 
 WINDOW = 50
@@ -186,7 +186,10 @@ def removals(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFram
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``docs`` (all columns) plus n_words, n_removed, kept (kept words joined by one space)."""
+    """``docs`` (all columns) plus n_words, n_removed, kept (kept words joined by one space),
+    which replace columns of these names."""
+    own = ("n_words", "n_removed", "kept")
+    docs, back = aside(docs.drop(*own), "doc_id", "text")
     facts, starts = removals(docs, window)
     todo = facts.join(starts, ["doc_id", "text_hash"], "left").withColumnRenamed("doc_id", "_id").withColumnRenamed("text_hash", "_hash").select("_id", "_hash", "n_words", "whole", "starts")
     joined = docs.join(todo, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))).drop("_id", "_hash")
@@ -211,4 +214,5 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                 out.append((0, b" ".join(words).decode("utf-8", "surrogatepass")))
         return pd.DataFrame(out, columns=["n", "kept"])
 
-    return joined.withColumn("_cut", cut("text", "whole", "starts")).withColumn("n_removed", F.col("_cut.n")).withColumn("kept", F.col("_cut.kept")).drop("_cut", "whole", "starts")
+    done = joined.withColumn("_cut", cut("text", "whole", "starts"))
+    return back(done, n_words=F.col("n_words"), n_removed=F.col("_cut.n"), kept=F.col("_cut.kept"))

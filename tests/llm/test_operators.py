@@ -205,8 +205,8 @@ def test_decontamination_equals_brute_force(spark, none):
     rows = [*enumerate(texts), (100, None), (101, ""), (102, words(6000, 7)), (3, texts[3])]
     docs = spark.createDataFrame([(d, t, "en", 1, 1, 1) for d, t in rows], SCHEMA)
     bench = spark.createDataFrame([(i, t, 7) for i, t in items], "item_id long, text string, doc_id long")
-    for block in (20_000, 2):
-        got = sorted((x.doc_id, x.item_id, x.min_edits) for x in decontaminate.matches(docs, bench, block_items=block).collect())
+    for block in (2 << 20, 300):
+        got = sorted((x.doc_id, x.item_id, x.min_edits) for x in decontaminate.matches(docs, bench, block_bytes=block).collect())
         p = decontaminate.patterns([i for i in items if i[1]])
         want = {}
         for n, (d, t) in enumerate(rows):
@@ -221,6 +221,9 @@ def test_decontamination_equals_brute_force(spark, none):
     clean = decontaminate.clean(docs, bench)
     assert clean.columns == docs.columns and {r.doc_id for r in clean.collect()} == {d for d, _ in rows} - {d for d, _, _ in got}
     assert decontaminate.matches(none, bench).count() == 0 and decontaminate.matches(docs, bench.limit(0)).count() == 0
+    # Rows without an id, or with an id that another row has, are judged by their own text.
+    shared = spark.createDataFrame([(None, items[0][1], "dirty"), (None, words(50, 900), "clean"), (7, items[1][1], "dirty"), (7, words(50, 901), "clean"), (None, None, "clean")], "doc_id long, text string, _hit string")
+    assert [r["_hit"] for r in decontaminate.clean(shared, bench).collect()] == ["clean"] * 3
 
 
 def test_top_k_equals_brute_force(spark):
