@@ -169,7 +169,8 @@ def removals(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFram
     rows = written(profile(docs, window), "substring-profile")
     first = rows.filter((F.col("n_words") >= window) & F.col("doc_id").isNotNull()).groupBy("digest").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
     first = written(first.filter("least < most").drop("most"), "substring-copies")
-    facts = rows.select("doc_id", "text_hash", "n_words", "digest").join(first, "digest", "left")
+    # A merge join, which splits the rows of a large group of copies between tasks.
+    facts = rows.select("doc_id", "text_hash", "n_words", "digest").join(first.hint("merge"), "digest", "left")
     whole = F.coalesce((F.col("least") < F.col("doc_id")) & (F.col("n_words") >= window), F.lit(False))
     facts = written(facts.select("doc_id", "text_hash", "n_words", "digest", whole.alias("whole")).distinct(), "substring-facts")
     firsts = rows.filter((F.col("n_words") >= window) & F.col("doc_id").isNotNull()).join(facts.filter("whole").select("doc_id", "text_hash"), ["doc_id", "text_hash"], "left_anti")
