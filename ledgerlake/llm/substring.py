@@ -169,10 +169,11 @@ def removals(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFram
     rows = written(profile(docs, window), "substring-profile")
     first = rows.filter((F.col("n_words") >= window) & F.col("doc_id").isNotNull()).groupBy("digest").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
     first = written(first.filter("least < most").drop("most"), "substring-copies")
-    # A merge join, which splits the rows of a large group of copies between tasks.
+    # A merge join, whose rows AQE splits where a group of copies is large: the digest
+    # is not among the columns made distinct next, which therefore has its own exchange.
     facts = rows.select("doc_id", "text_hash", "n_words", "digest").join(first.hint("merge"), "digest", "left")
     whole = F.coalesce((F.col("least") < F.col("doc_id")) & (F.col("n_words") >= window), F.lit(False))
-    facts = written(facts.select("doc_id", "text_hash", "n_words", "digest", whole.alias("whole")).distinct(), "substring-facts")
+    facts = written(facts.select("doc_id", "text_hash", "n_words", whole.alias("whole")).distinct(), "substring-facts")
     firsts = rows.filter((F.col("n_words") >= window) & F.col("doc_id").isNotNull()).join(facts.filter("whole").select("doc_id", "text_hash"), ["doc_id", "text_hash"], "left_anti")
     seeds = firsts.select("doc_id", "text_hash", F.explode(F.arrays_zip("seeds", "right", "left", "at")).alias("s")).select("doc_id", "text_hash", F.col("s.seeds").alias("h"), F.col("s.right").alias("right"), F.col("s.left").alias("left"), F.col("s.at").alias("at"))
     kept = repeated(seeds, "h")
