@@ -6,7 +6,7 @@ partial hash aggregates keyed by file.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake import model
@@ -78,14 +78,16 @@ def split_line(lines: DataFrame) -> DataFrame:
     return lines.select(*[parts[k].alias(c) for k, c in enumerate(model.COLUMNS)])
 
 
-def utf8_report(lines: DataFrame) -> DataFrame:
+def utf8_report(lines: DataFrame, key: tuple[str, ...] = ("file_name",), **counts: Column) -> DataFrame:
     """Per-file encoding guard (R7) over a *text* scan.
 
     The text source keeps the raw bytes of each line, so ``is_valid_utf8``
     sees bad bytes (the CSV reader would already have replaced them by
-    U+FFFD). One partial aggregate per file; scales with split files.
+    U+FFFD). One partial aggregate per file; scales with split files. ``counts``
+    are further conditions on a line, counted in the same pass.
     """
-    return lines.groupBy("file_name").agg(
+    return lines.groupBy(*key).agg(
         F.count("*").alias("n_lines"),
         F.count_if(~F.is_valid_utf8(F.col("value"))).alias("n_invalid_lines"),
+        *[F.count_if(c).alias(name) for name, c in counts.items()],
     )

@@ -149,22 +149,21 @@ def header_filter(spark, sf):
 
 # --- R7: encoding guard, mojibake repair ---------------------------------------
 
-def _landing_report(spark, path: str, landing: str) -> DataFrame:
-    files = I.utf8_report(read_lines(spark, path)).agg(
-        F.count("*").alias("n_files"),
-        F.count_if(F.col("n_invalid_lines") > 0).alias("n_invalid_files"),
-        F.sum("n_lines").alias("n_lines"),
-        F.sum("n_invalid_lines").alias("n_invalid_lines"),
-    ).withColumn("landing", F.lit(landing))
-    rows = read_raw(spark, path).agg(
-        F.count("*").alias("n_rows"),
-        F.count_if(has_replacement_char("produit") | has_replacement_char("type_op")).alias("n_rows_fffd"),
-    ).withColumn("landing", F.lit(landing))
-    repaired = I.normalise_labels(read_raw(spark, path, encoding="ISO-8859-1")).agg(
-        F.count_if(F.col("produit").isin(*model.PRODUCTS) & F.col("type_op").isin(*model.OPERATION_TYPES))
-        .alias("n_rows_ok_after_repair")
-    ).withColumn("landing", F.lit(landing))
-    return files.join(rows, "landing").join(repaired, "landing")
+def _landing_report(lines: DataFrame) -> DataFrame:
+    """Counters per landing from one text scan: each line is judged as its bytes, as the
+    UTF-8 reader shows it and as the ISO-8859-1 reader shows it after repair."""
+    produit, type_op = model.COLUMNS.index("produit"), model.COLUMNS.index("type_op")
+    seen = F.split(F.make_valid_utf8("value"), ",", -1)
+    other = F.split(F.decode(F.col("value").cast("binary"), "ISO-8859-1"), ",", -1)
+    lines = lines.select("landing", "file_name", "value", (~F.col("value").startswith(model.COLUMNS[0])).alias("row"),
+                         has_replacement_char(seen[produit]).alias("lost_produit"), has_replacement_char(seen[type_op]).alias("lost_type"),
+                         other[produit].alias("produit"), other[type_op].alias("type_op"))
+    lines = I.normalise_labels(lines)
+    known = F.col("produit").isin(*model.PRODUCTS) & F.col("type_op").isin(*model.OPERATION_TYPES)
+    row = F.col("row")
+    files = I.utf8_report(lines, ("landing", "file_name"), n_rows=row, n_rows_fffd=row & (F.col("lost_produit") | F.col("lost_type")), n_rows_ok_after_repair=row & known)
+    sums = [F.sum(c).alias(c) for c in ("n_lines", "n_invalid_lines", "n_rows", "n_rows_fffd", "n_rows_ok_after_repair")]
+    return files.groupBy("landing").agg(F.count("*").alias("n_files"), F.count_if(F.col("n_invalid_lines") > 0).alias("n_invalid_files"), *sums)
 
 
 _ACCENTED_ROW = "(produit <> strip_accents(produit) OR type_op <> strip_accents(type_op))"
@@ -184,7 +183,8 @@ FROM l"""))
 def encoding_guard(spark, sf):
     utf8 = _land(spark, sf, "raw_utf8", labels="accented")
     latin1 = _land(spark, sf, "raw_latin1", labels="accented", encoding="ISO-8859-1")
-    return _landing_report(spark, utf8, "utf8").unionByName(_landing_report(spark, latin1, "latin1"))
+    lines = [read_lines(spark, path).withColumn("landing", F.lit(name)) for name, path in (("utf8", utf8), ("latin1", latin1))]
+    return _landing_report(lines[0].unionByName(lines[1]))
 
 
 # --- R4 R9 H12: two overlapping landings, one row per id ----------------------
