@@ -6,7 +6,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.sources.raw import CSV_FILES, inventory
+from ledgerlake.operators.ingest import type_movements
+from ledgerlake.sources.raw import CSV_FILES, inventory, read_raw, with_source_file
 
 
 def new_files(spark: SparkSession, root: str, manifest: DataFrame, glob: str = CSV_FILES) -> DataFrame:
@@ -32,3 +33,25 @@ def read_manifest(spark: SparkSession, manifest_path: str) -> DataFrame:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], "path string, length long, modificationTime timestamp, ingested_at timestamp")
+
+
+def ingest_new(spark: SparkSession, root: str, manifest_path: str, out_path: str, glob: str = CSV_FILES) -> bool:
+    """One run of the loop: list what is new under ``root``, type its rows into
+    ``out_path/rows``, then record the files. False if nothing is new.
+
+    The listing is written first (``out_path/files``) and rows of other files are
+    left out, so what lands during the run waits for the next one. Files are recorded
+    only after their rows are committed: a run that fails is repeated as it was. The
+    driver gets folders (one per landing), never file paths.
+    """
+    listed = f"{out_path}/files"
+    new_files(spark, root, read_manifest(spark, manifest_path), glob).write.mode("overwrite").parquet(listed)
+    files = spark.read.parquet(listed)
+    folders = [r[0] for r in files.select(F.regexp_replace("path", r"/[^/]*\z", "")).distinct().collect()]
+    if not folders:
+        return False
+    rows = with_source_file(read_raw(spark, folders, shape=True, glob=glob))
+    mine = rows.join(files.select(F.col("file_uri").alias("file_path")), "file_path", "left_semi")
+    type_movements(mine).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{out_path}/rows")
+    record_manifest(spark, files, manifest_path)
+    return True

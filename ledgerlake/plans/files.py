@@ -16,7 +16,7 @@ from ledgerlake.functions.columns import has_replacement_char, parse_id
 from ledgerlake.operators import ingest as I
 from ledgerlake.operators import quality as Q
 from ledgerlake.operators.dedupe import keep_first, union_landings
-from ledgerlake.operators.incremental import new_files, read_manifest, record_manifest
+from ledgerlake.operators.incremental import ingest_new
 from ledgerlake.plans import oracle as O
 from ledgerlake.plans.catalogue import (
     MV_COLS, N_SQL, S_SQL, SEED, _cols, chunk_rows, dealt_index, mv, n_orders, orders, register,
@@ -272,23 +272,33 @@ def zone_inventory(spark, sf):
 
 # --- R8: only files not yet ingested ------------------------------------------
 
-@register("new_files_only", O.with_(O.movements_ctes("mb", f"(SELECT o_orderkey + {N_SQL} AS i FROM orders)",
-                                                    seed=2, labels="accented"),
-    f"SELECT CAST({S_SQL} AS BIGINT) AS n_new_files, count(*) AS n_rows, CAST(sum(cents) AS BIGINT) AS sum_cents, "
-    "min(mouvement_no) AS min_no, max(mouvement_no) AS max_no FROM mb"))
+_RUN_SQL = (f"CAST({S_SQL} AS BIGINT) AS n_new_files, count(*) AS n_rows, CAST(sum(cents) AS BIGINT) AS sum_cents, "
+            "min(mouvement_no) AS min_no, max(mouvement_no) AS max_no")
+
+
+@register("new_files_only", O.with_(
+    O.movements_ctes("ma", "(SELECT o_orderkey AS i FROM orders)", seed=1)
+    + O.movements_ctes("mb", f"(SELECT o_orderkey + {N_SQL} AS i FROM orders)", seed=2, labels="accented"),
+    f"SELECT CAST(1 AS BIGINT) AS run, {_RUN_SQL} FROM ma UNION ALL SELECT CAST(2 AS BIGINT), {_RUN_SQL} FROM mb "
+    "UNION ALL SELECT CAST(3 AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS BIGINT)"))
 def new_files_only(spark, sf):
+    """Three runs: no manifest yet, a second landing, nothing new."""
     n = n_orders(spark, sf)
     raw, manifest = scratch_path(spark, "raw_incr"), scratch_path(spark, "manifest")
-    _land_rows(spark, sf, raw, n, seed=1)
-    record_manifest(spark, inventory(spark, raw, glob=CSV_FILES), manifest)
-    _land_rows(spark, sf, raw, n, seed=2, labels="accented", start=n, mode="append")
-    fresh = new_files(spark, raw, read_manifest(spark, manifest))
-    # File paths only (one string per new file) reach the driver, as in any file listing.
-    paths = [r.path for r in fresh.select("path").collect()]
-    t = I.type_movements(read_raw(spark, paths, shape=True))
-    return t.agg(F.lit(len(paths)).cast("bigint").alias("n_new_files"), F.count("*").alias("n_rows"),
-                 F.sum("cents").alias("sum_cents"), F.min("mouvement_no").alias("min_no"),
-                 F.max("mouvement_no").alias("max_no"))
+    landings = {1: {"seed": 1}, 2: {"seed": 2, "labels": "accented", "start": n}}
+    runs = None
+    for run in (1, 2, 3):
+        if run in landings:
+            _land_rows(spark, sf, f"{raw}/landing_{run}", n, **landings[run])
+        out = scratch_path(spark, f"ingested_{run}")
+        is_new = ingest_new(spark, raw, manifest, out)
+        files = spark.read.parquet(f"{out}/files")
+        typed = spark.read.parquet(f"{out}/rows") if is_new else files.select(F.lit(0).cast("bigint").alias("cents"), F.lit(0).cast("bigint").alias("mouvement_no"))
+        zero = lambda c: F.coalesce(c, F.lit(0).cast("bigint"))
+        got = typed.agg(F.count("*").alias("n_rows"), zero(F.sum("cents")).alias("sum_cents"), zero(F.min("mouvement_no")).alias("min_no"), zero(F.max("mouvement_no")).alias("max_no"))
+        got = got.select(F.lit(run).cast("bigint").alias("run"), F.lit(files.count()).cast("bigint").alias("n_new_files"), "*")
+        runs = got if runs is None else runs.unionByName(got)
+    return runs
 
 
 # --- K5 K7: partitioned published table ---------------------------------------

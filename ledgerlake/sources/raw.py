@@ -58,14 +58,15 @@ def inventory(spark: SparkSession, root: str, glob: str | None = None, content:
     """Recursive file listing of a zone (S5): path, size, modification time.
 
     The ``content`` column is pruned unless asked for, so a listing reads
-    no file bytes. ``glob`` filters names (F5).
+    no file bytes. ``glob`` filters names (F5). ``file_uri`` is the path as the
+    rows' own metadata spell it.
     """
     r = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if glob:
         r = r.option("pathGlobFilter", glob)
     df = r.load(root)
     cols = ["path", "length", "modificationTime"] + (["content"] if content else [])
-    return df.select(*cols)
+    return df.select(*cols, F.col("_metadata.file_path").alias("file_uri"))
 
 
 def listing(spark: SparkSession, root: str, n: int = 20, glob: str | None = None) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ledgerlake.operators.incremental import new_files, read_manifest, record_manifest
+from ledgerlake.operators.incremental import ingest_new, new_files, read_manifest, record_manifest
 from ledgerlake.session import scratch_path
 from ledgerlake.sinks.layout import land_movements
 from ledgerlake.sources.raw import inventory
@@ -57,3 +57,24 @@ def test_stream_dedupe_within_watermark(spark):
     back = spark.read.parquet(staging)
     assert back.count() == 450
     assert back.select("mouvement_no").distinct().count() == 450
+
+
+def test_incremental_loop_reads_each_file_once(spark, tmp_path):
+    raw, man = str(tmp_path / "raw"), str(tmp_path / "manifest")
+    counts = []
+    land_movements(spark, f"{raw}/a b", 300, 3)
+    for k in range(4):
+        if k == 2:  # into a folder that holds known files, and a new one
+            land_movements(spark, f"{raw}/a b", 50, 1, start=300, mode="append")
+            land_movements(spark, f"{raw}/c", 70, 2, start=350, compression="gzip")
+        out = str(tmp_path / f"run{k}")
+        counts.append(spark.read.parquet(f"{out}/rows").count() if ingest_new(spark, raw, man, out) else 0)
+    assert counts == [300, 0, 120, 0] and read_manifest(spark, man).count() == 6
+
+
+def test_backlog_in_batches_of_bytes(spark, tmp_path):
+    raw, out = str(tmp_path / "raw"), str(tmp_path / "out")
+    land_movements(spark, raw, 400, 4)
+    ingest_available(spark, raw, out, str(tmp_path / "ckpt"), max_bytes_per_trigger=1)
+    t = spark.read.parquet(out)
+    assert t.count() == 400 and t.select("epoch").distinct().count() == 4
