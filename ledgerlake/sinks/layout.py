@@ -104,18 +104,17 @@ def publish_partitioned(df: DataFrame, path: str, partition_cols: list[str], fmt
                         num_tasks: int | None = None, observation=None) -> None:
     """Published table (K5-K7): files partitioned by column values.
 
-    Rows are range-partitioned on ``(partition_cols..., sort_col)`` with
-    sampled bounds, so every writer task gets a similar share of rows: a hot
-    value (one country holding a third of the table) spans many tasks and
-    files instead of landing in one, and each task writes only the few
-    partition values its range covers. With ``dynamic`` only the partitions
-    present in ``df`` are replaced (K10). ``observation`` counts the rows
-    written; it sits above the exchange, because the bound-sampling job
-    also runs everything below it.
+    A rebalance on ``partition_cols`` leaves the number of writer tasks to AQE, which
+    sizes them by the bytes that were shuffled: a hot value (one country holding a third
+    of the table) is split over many tasks and files, small ones share a task. Rows are
+    in ``sort_col`` order inside each file. With ``num_tasks`` given, rows are
+    range-partitioned into that many tasks instead, by bounds that a sampling job finds.
+    With ``dynamic`` only the partitions present in ``df`` are replaced (K10).
+    ``observation`` counts the rows written; it sits above the exchange, because the
+    sampling job also runs everything below it.
     """
     keys = [F.col(c) for c in partition_cols] + ([F.col(sort_col)] if sort_col else [])
-    n = num_tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    out = df.repartitionByRange(n, *keys)
+    out = df.repartitionByRange(num_tasks, *keys) if num_tasks else df.hint("rebalance", *keys[:len(partition_cols)])
     if sort_col:
         out = out.sortWithinPartitions(*keys)
     if observation is not None:

@@ -67,6 +67,20 @@ def test_dynamic_overwrite_replaces_one_partition(spark):
     assert back.filter("pays = 'ES'").agg(F.sum("cents")).first()[0] == g.filter("pays = 'ES'").agg(F.sum("cents")).first()[0]
 
 
+def test_hot_partition_is_split_between_writers(spark):
+    p = scratch_path(spark, "t_hot")
+    g = movements(index_range(spark, 60_000, 6)).withColumn("pays", F.when(F.col("mouvement_no") % 3 > 0, F.lit("FR")).otherwise(F.col("pays")))
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        L.publish_partitioned(g.select("mouvement_no", "cents", "date_op", "pays"), p, ["pays"], sort_col="mouvement_no")
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    back = spark.read.parquet(p)
+    assert back.count() == 60_000 and back.select("mouvement_no").distinct().count() == 60_000
+    assert back.filter("pays = 'FR'").select(F.input_file_name()).distinct().count() > 3
+
+
 def test_unsupported_format_is_clear(spark):
     with pytest.raises(ValueError, match="avro"):
         L.write_format(movements(index_range(spark, 1, 1)), scratch_path(spark, "t_avro"), "avro")
