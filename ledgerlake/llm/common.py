@@ -47,6 +47,13 @@ def words_of(text: str | None, lower: bool = False) -> list[bytes]:
     return (raw.lower() if lower else raw).split()
 
 
+def slices(frames: Iterator[pa.RecordBatch], size: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of few rows, so that few texts are Python objects at a time."""
+    for b in frames:
+        for k in range(0, b.num_rows, size):
+            yield b.slice(k, size)
+
+
 def batches(rows: Iterator[tuple], schema: pa.Schema, size: int = 2000, max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Group row tuples into Arrow batches bounded by rows and by bytes of binary values."""
     buf: list[tuple] = []

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import aside, batches, words_of, written
+from ledgerlake.llm.common import aside, batches, slices, words_of, written
 from ledgerlake.llm.token_counts import _arrow
 
 SHINGLE, MAX_BITS, BUCKET = 4, 4, 512
@@ -63,7 +63,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     schema = pa.schema([("doc_id", _arrow(docs, "doc_id")), ("fp", pa.int64())])
 
     def run(frames):
-        for b in frames:
+        for b in slices(frames):
             rows = zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True)
             yield from batches(((d, _signed(fingerprint(words_of(t, lower=True), shingle))) for d, t in rows), schema)
 

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import aside, batches, words_of, written
+from ledgerlake.llm.common import aside, batches, slices, words_of, written
 from ledgerlake.llm.token_counts import _arrow
 
 WINDOW = 50
@@ -122,7 +122,7 @@ def profile(docs: DataFrame, window: int) -> DataFrame:
             yield d, key, len(words), digest, small[at].view(np.int64), right.view(np.int64), left.view(np.int64), at.astype(np.int32)
 
     def run(frames):
-        for b in frames:
+        for b in slices(frames):
             yield from batches(rows(b), schema, size=200)
 
     return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
@@ -146,7 +146,7 @@ def last_level(docs: DataFrame, survivors: DataFrame, window: int) -> DataFrame:
     spots = survivors.groupBy("doc_id", "text_hash").agg(F.collect_set("at").alias("spots"))
 
     def run(frames):
-        for b in frames:
+        for b in slices(frames):
             for d, k, t, spots in zip(*(b.column(c).to_pylist() for c in ("doc_id", "text_hash", "text", "spots")), strict=True):
                 h = word_hashes(words_of(t))
                 h1, h2 = rolling(h, window), rolling(h, window, 1)
