@@ -226,6 +226,46 @@ def test_decontamination_equals_brute_force(spark, none):
     assert [r["_hit"] for r in decontaminate.clean(shared, bench).collect()] == ["clean"] * 3
 
 
+def test_short_leaks_are_found_at_every_offset(spark):
+    r = random.Random(11)
+    items = [(k, words(40, 300 + k)) for k in range(6)]
+    leaks = []
+    for k, text in items:
+        ws, plain = text.split(), decontaminate.normal(text).decode()
+        for s in range(len(ws) - 12):  # 13 words from each word on, as they are and with the edits allowed
+            run = " ".join(ws[s:s + 13])
+            changed = list(run)
+            for at in r.sample([j for j, c in enumerate(run) if c != " "], int(min(len(run), 80) * 0.075)):
+                changed[at] = r.choice("kmqvw")
+            leaks += [(k, run), (k, "".join(changed))]
+        leaks += [(k, plain[s:s + 80]) for s in range(len(plain) - 79)]
+    rows = [(n, f"{words(30, 2000 + n)} {leak} {words(30, 5000 + n)}") for n, (_, leak) in enumerate(leaks)]
+    rows += [(len(leaks) + n, words(70, 9000 + n)) for n in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(x.doc_id, x.item_id) for x in decontaminate.matches(docs, bench).collect()}
+    assert got == {(n, k) for n, (k, _) in enumerate(leaks)}
+    assert {x.doc_id for x in decontaminate.clean(docs, bench).collect()} == {n for n, _ in rows[len(leaks):]}
+
+
+def test_matches_do_not_depend_on_stretches(monkeypatch):
+    items = [(k, words(40, 300 + k)) for k in range(3)]
+    p = decontaminate.patterns(items)
+    gap = bytes(4 * p.span)
+    whole = gap + gap.join(decontaminate.normal(t + " " + words(9, 70 + k) + " " + t[20:130]) for k, t in items) + gap
+    found = []
+    for stretch in (1 << 15, 64, 1000):
+        monkeypatch.setattr(decontaminate, "STRETCH", stretch)
+        some = []
+        for own, first in decontaminate.candidates(np.frombuffer(whole, dtype=np.uint8), p):
+            best, end = decontaminate.verify(whole, p, own, first)
+            slow = decontaminate.align(np.frombuffer(whole, dtype=np.uint8), p, own, first)
+            assert (best == slow[0]).all()
+            some += list(zip(own.tolist(), first.tolist(), best.tolist(), end.tolist(), strict=True))
+        found.append(sorted(some))
+    assert found[0] == found[1] == found[2] and {x[0] for x in found[0]} == set(range(len(p.m)))
+
+
 def test_top_k_equals_brute_force(spark):
     r = random.Random(2)
     codes = [(k, r.getrandbits(64) - (1 << 63)) for k in range(300)] + [(400 + k, 77) for k in range(40)] + [(5, 77), (None, 3), (6, None)]
