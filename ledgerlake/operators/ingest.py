@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake import model
 from ledgerlake.functions.columns import fold_accents, parse_date_strict, parse_id, repair_mojibake
-from ledgerlake.sources.raw import EXTRA
+from ledgerlake.sources.raw import EXTRA, LINE
 
 OK = "ok"
 REASONS = ("short_row", "long_row", "bad_id", "bad_date", "bad_number")
@@ -27,16 +27,19 @@ def type_movements(raw: DataFrame) -> DataFrame:
 
     Uses the ``try_`` forms so a bad value becomes NULL instead of failing
     the job under ANSI mode (H16). ``cents`` is the exact amount in cents;
-    ``montant`` the staged DECIMAL(12,2).
+    ``montant`` the staged DECIMAL(12,2). ``raw_line`` of a bad row is the line as
+    read (``_line``); rows that come without one have their fields joined.
     """
     long_row = F.col(EXTRA).isNotNull() if EXTRA in raw.columns else F.lit(False)
     exact = F.col("montant").try_cast("decimal(38,18)")
     montant = F.when(exact == F.round(exact, 2), F.col("montant").try_cast("decimal(12,2)"))  # nothing is rounded silently
     line = F.array_join(F.array(*[F.col(c) for c in (*model.COLUMNS, EXTRA) if c in raw.columns]), ",", "")
-    if EXTRA in raw.columns:
+    if LINE in raw.columns:
+        line = F.col(LINE)
+    elif EXTRA in raw.columns:
         line = F.when(F.col(EXTRA).isNull(), F.regexp_replace(line, r",\z", "")).otherwise(line)
     typed = normalise_labels(raw.withColumn("__line", line)).select(
-        *[c for c in raw.columns if c not in model.COLUMNS and c != EXTRA],
+        *[c for c in raw.columns if c not in (*model.COLUMNS, EXTRA, LINE)],
         F.col("id_mouvement"),
         parse_id("id_mouvement").alias("mouvement_no"),
         parse_date_strict("date_op").alias("date_op"),

@@ -124,12 +124,43 @@ def dirty_ingest(spark, sf):
     L.write_lines(rows.filter(~even).select("value"), f"{root}/mouvements", "gzip")
     typed = I.type_movements(read_raw(spark, root, header=False, shape=True, recursive=True))
     one = keep_first(typed, "mouvement_no", ["reason"])
+    # The SQL spells short rows with the commas of seven fields; quarantined_text holds lines as they are.
+    lacking = F.repeat(F.lit(","), F.lit(len(model.COLUMNS)) - F.size(F.split("raw_line", ",", -1)))
+    one = one.withColumn("raw_line", F.when(F.col("reason") == "short_row", F.concat("raw_line", lacking)).otherwise(F.col("raw_line")))
     return one.groupBy("reason").agg(
         F.count("*").alias("n_rows"), F.sum(F.length("raw_line")).cast("bigint").alias("kept_chars"),
         F.min("raw_line").alias("first_line"), F.max("raw_line").alias("last_line"),
         F.sum(F.when(F.col("reason") == I.OK, F.col("cents"))).alias("sum_cents"))
 
 
+# --- R2: the text of quarantined rows, as it was written --------------------------
+# Kinds by key modulo 9: rows of 9, 11, 3 and 6 fields, one with quoted fields, one of quoted
+# and too many fields, one of 8 fields with blanks; the rest are clean.
+
+@register("quarantined_text", O.with_(O.orders_movements() + [
+    """k AS (SELECT *, (mouvement_no - 1) % 9 AS kind, concat_ws(',', id_mouvement, CAST(date_op AS VARCHAR), produit, type_op, CAST(montant AS VARCHAR), agence_id, pays) AS whole FROM mv)"""],
+    """SELECT id_mouvement, CASE WHEN kind IN (0, 1, 5, 6) THEN 'long_row' WHEN kind IN (2, 3) THEN 'short_row' WHEN kind = 4 THEN 'bad_date' ELSE 'ok' END AS reason,
+       CASE kind WHEN 0 THEN whole || ',eight,nine' WHEN 1 THEN whole || ',8,,10,"11"' WHEN 2 THEN concat_ws(',', id_mouvement, '2025-06-01', 'auto')
+                 WHEN 3 THEN concat_ws(',', id_mouvement, '2025-06-01', 'auto', 'cotisation', '60.5', 'AG_001')
+                 WHEN 4 THEN concat_ws(',', id_mouvement, '"1 June, 2025"', '"auto"', 'cotisation', '60.5', 'AG_001', 'FR')
+                 WHEN 5 THEN '"' || id_mouvement || '"' || substr(whole, length(id_mouvement) + 1) || ',"a ""b"", c",d,e' WHEN 6 THEN whole || ', 8 ' END AS raw_line FROM k"""))
+def quarantined_text(spark, sf):
+    g = mv(spark, sf)
+    kind = F.pmod(F.col("mouvement_no") - 1, F.lit(9))
+    no = F.col("id_mouvement")
+    rest = F.concat_ws(",", F.date_format("date_op", "yyyy-MM-dd"), "produit", "type_op", F.col("montant").cast("string"), "agence_id", "pays")
+    whole = F.concat_ws(",", no, rest)
+    line = (F.when(kind == 0, F.concat(whole, F.lit(",eight,nine"))).when(kind == 1, F.concat(whole, F.lit(',8,,10,"11"')))
+            .when(kind == 2, F.concat(no, F.lit(",2025-06-01,auto"))).when(kind == 3, F.concat(no, F.lit(",2025-06-01,auto,cotisation,60.5,AG_001")))
+            .when(kind == 4, F.concat(no, F.lit(',"1 June, 2025","auto",cotisation,60.5,AG_001,FR')))
+            .when(kind == 5, F.concat(F.lit('"'), no, F.lit('",'), rest, F.lit(',"a ""b"", c",d,e')))
+            .when(kind == 6, F.concat(whole, F.lit(", 8 "))).otherwise(whole))
+    root = scratch_path(spark, "raw_kept_text")
+    L.write_lines(g.select(line.alias("value")), root)
+    typed = I.type_movements(read_raw(spark, root, header=False, shape=True, recursive=True))
+    return typed.select("id_mouvement", "reason", "raw_line")
+
+
 # --- S7 F1 K3: headers met inside consolidated bodies --------------------------
 
 @register("header_filter", O.with_(O.orders_movements(), f"SELECT {_RAW_SQL} FROM mv"))

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ledgerlake import model
 
 EXTRA = "_extra_field"
+#: The line of a row as it was read.
+LINE = "_line"
+_MORE = "_line_with_separator"
 #: Landed CSV files, compressed or not.
 CSV_FILES = "*.csv*"
 
@@ -19,25 +21,42 @@ def read_raw(spark: SparkSession, paths: str | list[str], header: bool = True, e
 
     ``header`` drops the first line of every file. With ``shape`` an eighth
     column ``_extra_field`` captures a token beyond the seventh, so rows with
-    too many fields can be quarantined (R2); rows with too few get NULLs. (With
-    an all-string schema nothing else can fail to parse, so this replaces the
-    corrupt-record column, which would flag every 7-field row against an
-    8-column schema.) ``recursive`` reads sub-folders too, as every raw zone
+    too many fields can be quarantined (R2), and ``_line`` holds the line as it
+    was read; rows with too few fields get NULLs. ``recursive`` reads sub-folders too, as every raw zone
     is ingested; without it a ``key=value`` layout gives its partition columns. Spark readers skip names starting with ``.`` or ``_``
     (``.gitkeep``, ``_SUCCESS``) by themselves.
     """
-    fields = list(model.RAW_SCHEMA.fields)
-    if shape:
-        fields.append(T.StructField(EXTRA, T.StringType(), True))
-    r = (spark.read.schema(T.StructType(fields))
-         .option("header", header)
+    r = whole_lines(spark.read) if shape else spark.read.schema(model.RAW_SCHEMA)
+    r = (r.option("header", header)
          .option("encoding", encoding)
          .option("mode", "PERMISSIVE"))
     if glob:
         r = r.option("pathGlobFilter", glob)
     if recursive:
         r = r.option("recursiveFileLookup", True)
-    return r.csv(paths)
+    return split_fields(r.csv(paths)) if shape else r.csv(paths)
+
+
+def whole_lines(reader):
+    """A batch or stream reader whose ``csv`` gives each line as one value: header, encoding
+    and empty lines as the CSV source treats them, nothing split and no quote taken off. The
+    separator is a control character; a line that holds it comes whole as the corrupt record."""
+    return (reader.schema(f"{LINE} string, {_MORE} string").option("sep", "\x01").option("quote", "")
+            .option("columnNameOfCorruptRecord", _MORE))
+
+
+def split_fields(lines: DataFrame) -> DataFrame:
+    """The seven columns, ``_extra_field`` and ``_line`` of lines read by ``whole_lines``."""
+    names = (*model.COLUMNS, EXTRA)
+    parse = lambda *cols: F.from_csv(LINE, ", ".join(f"{c} string" for c in cols), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+    parsed = lines.withColumn(LINE, F.coalesce(_MORE, LINE)).withColumn(_MORE, parse(*names))
+    # An empty eighth field may have others behind it; such lines, with neither 7 nor 8 fields, are parsed again.
+    commas = F.length(LINE) - F.length(F.replace(LINE, F.lit(","), F.lit("")))
+    others = lambda n: parse(*names[:n], "_bad")["_bad"].isNotNull()
+    hidden = F.col(_MORE)["pays"].isNotNull() & (commas > len(model.COLUMNS)) & others(7) & others(8)
+    extra = F.when(F.col(_MORE)[EXTRA].isNotNull(), F.col(_MORE)[EXTRA]).when(hidden, F.lit(""))
+    kept = [c for c in lines.columns if c not in (LINE, _MORE)]
+    return parsed.select(*[F.col(_MORE)[c].alias(c) for c in model.COLUMNS], extra.alias(EXTRA), LINE, *kept)
 
 
 def with_source_file(df: DataFrame) -> DataFrame:

@@ -158,6 +158,23 @@ def test_long_row_quarantined(spark, tmp_path):
     assert reasons(typed(spark, d)) == {"M0000001": "long_row", "M0000002": "ok"}
 
 
+def test_quarantine_keeps_the_line_as_read(spark, tmp_path):
+    from ledgerlake.streaming.landing import ingest_available
+    bad = [GOOD + ",8,9,10", GOOD + ",,9", "M0000001,2025-06-06,auto", "M0000001", "M0000001,2025-06-06,auto,cotisation", "M0000001,2025-06-06,auto,cotisation,1.0",
+           'M0000001,"6 June, 2025","au""to",cotisation,1.0,AG_001,FR', '"M0000001",2025-06-06,"a,b",cotisation, x ,AG_001,FR', GOOD + ',"8, ""q""",9',
+           "M0000001,2025-06-06,a\x01b,cotisation,x,AG_001,FR", "M0000001,2025-06-06,santé,cotisation,x,AG_001,FR"]
+    good = ['"M0000002",2025-06-06,"auto",cotisation,1.0,"AG,,,,,,,_001",FR,', GOOD]
+    d = write(tmp_path / "z", "a.csv", "\r\n".join([HEADER, *bad[:5], "", *good, *bad[5:]]) + "\r\n")
+    latin = write(tmp_path / "l", "a.csv", "\n".join([HEADER, *bad, *good]).encode("latin-1"))
+    for df in (typed(spark, d), typed(spark, d, recursive=True), typed(spark, latin, encoding="ISO-8859-1")):
+        rows = df.collect()
+        assert sorted(r.raw_line for r in rows if r.reason != "ok") == sorted(bad)
+        assert [(r.mouvement_no, r.produit, r.pays, r.raw_line) for r in sorted((r for r in rows if r.reason == "ok"), key=lambda r: r.mouvement_no)] == [(1, "auto", "FR", None), (2, "auto", "FR", None)]
+    staging = str(tmp_path / "staging")
+    ingest_available(spark, d, staging, str(tmp_path / "ckpt"))
+    assert sorted(r.raw_line for r in spark.read.parquet(staging + "_quarantine").collect()) == sorted(bad)
+
+
 def test_strict_date_parse(spark):
     from ledgerlake.functions.columns import parse_date_strict
     vals = ["2025-06-01", "2025-06-31", "2025-6-01", "2025-06-1", "2025-06-01x", " 2025-06-1", "+025-06-01",
