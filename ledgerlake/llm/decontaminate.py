@@ -33,14 +33,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import aside, batches
+from ledgerlake.llm.common import aside, batches, slices
 from ledgerlake.llm.token_counts import _arrow
 
 Q, LENGTH, RATE, BLOCK_BYTES = 8, 80, 0.075, 2 << 20
 WORDS, STEP = 13, 5
 #: ASCII bytes that are neither letters nor digits become spaces.
 TABLE = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
-PART = 1 << 22
+PART = 1 << 20
 #: Bytes of text whose hits are counted per pattern at a time.
 STRETCH = 1 << 15
 
@@ -283,7 +283,7 @@ def _block(docs: DataFrame, shared, benchmark: DataFrame) -> DataFrame:
             yield from part(ids, texts)
 
     def run(frames):
-        for b in frames:
+        for b in slices(frames):
             yield from batches(rows(b), schema)
 
     kinds = docs.schema["doc_id"].dataType.simpleString(), benchmark.schema["item_id"].dataType.simpleString()
