@@ -3,8 +3,8 @@
 Each language has an additively smoothed model of byte 4-grams of lower-cased text
 (hashed to a fixed number of buckets). A text is cut into blocks of bytes; a block's
 log-likelihood under every language comes from its n-grams. Expectation-maximisation
-over the blocks estimates the document's language proportions; for one, two and
-three languages (nested by proportion) the set with the best penalised likelihood
+over the blocks estimates the document's language proportions; of the sets of one
+language up to all (nested by proportion) the one with the best penalised likelihood
 wins, and its largest language is the prediction.
 
 Models are fitted on at most ``per_language`` documents of each language (an even
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from ledgerlake.llm.common import batches
 from ledgerlake.llm.token_counts import _arrow
 
-PER_LANGUAGE, BUCKETS, BLOCK, SETS, ROUNDS = 2000, 16, 64, 3, 15
+PER_LANGUAGE, BUCKETS, BLOCK, ROUNDS = 2000, 16, 64, 15
 LETTER = re.compile(r"[^\W\d_]")
 PART = 1 << 21
 
@@ -93,7 +93,7 @@ def mixtures(texts: list[bytes], table: np.ndarray, penalty: float = 6.0) -> tup
     order = np.argsort(-share, axis=1, kind="stable")
     best = np.full(len(texts), -np.inf)
     out, size = np.zeros_like(share), np.zeros(len(texts), dtype=np.int64)
-    for k in range(1, min(SETS, langs) + 1):
+    for k in range(1, langs + 1):
         allowed = np.zeros_like(share)
         np.put_along_axis(allowed, order[:, :k], 1.0, axis=1)
         got, fit = proportions(like, doc, first, allowed)

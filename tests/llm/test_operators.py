@@ -347,6 +347,15 @@ def test_language_id(spark, none):
     assert {x.lang_pred for x in language_id.identify(odd, none).collect()} == {"und"}
 
 
+def test_a_text_in_every_language_gets_them_all(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    langs, table = language_id.learn(docs)
+    one = {r["lang"]: r["text"] for r in docs.filter("length(text) > 4000").groupBy("lang").agg(F.min("text").alias("text")).collect()}
+    assert len(langs) == 4 and sorted(one) == langs
+    share, size = language_id.mixtures([language_id.raw(" ".join(one[k][:3000] for k in langs[:n])) for n in (1, 2, 3, 4)], table)
+    assert size.tolist() == [1, 2, 3, 4] and share[3].min() > 0.15 and share[3].max() < 0.35
+
+
 def test_toxicity(spark, none):
     sf = "/root/testdata/sf0.1"
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
