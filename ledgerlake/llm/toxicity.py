@@ -1,45 +1,54 @@
 """Toxicity: gradient-boosted trees over dense features, calibrated isotonically.
 
-Features per whole text: densities of a fixed and of a learned lexicon (plain and
-after undoing letter-like digits and signs), closeness of lexicon words to
-second-person words, capitals, punctuation, obfuscation and length. The learned
-lexicon takes words whose share among toxic training texts stands out. Trees and
-calibration come from Spark ML; the calibration is fitted on training rows that the
-trees have not seen.
+Features per whole text: density and distinct weight of a lexicon, closeness of lexicon
+words to second-person words, capitals, punctuation, obfuscation and length. The lexicon
+has a small fixed part and a learned part without a fixed size, in whatever languages the
+labelled texts have: words (plain, and after undoing letter-like digits and signs) and word
+starts whose share among toxic training texts stands out by more than ``BAR`` standard
+errors, each with its smoothed log-odds. It is cross-fitted: the trees learn from features
+whose weights were counted on the other parts of the training rows, so a word's fit to its
+own rows is not taken for evidence. Near copies (texts with the same least hash of their
+five-word shingles) count once and lie in one part. Trees and calibration come from Spark
+ML; the calibration is fitted on training rows that the trees have not seen.
 
 The model is fitted on at most ``sample`` labelled rows (an even hash sample; the
 bound is a parameter); every row is scored. Texts, not ids, sources, languages or
 labels, are the input of a score. Null text is empty text; empty texts are scored.
 Without labels of both kinds the score is the share of toxic labels (0 if none).
-Rows with several labels count once per label. Repeated rows get equal scores;
-extra columns are ignored; an empty table gives no rows.
+Rows with several labels count once per label (labels of near copies: once per group).
+Repeated rows get equal scores; extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
+from functools import lru_cache
+from heapq import nlargest
 
 import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import batches, written
+from ledgerlake.llm.common import batches, slices, written
 from ledgerlake.llm.token_counts import _arrow
 
-SAMPLE, LEXICON = 20_000, 64
+#: Rows to fit on, parts of the cross-fit, standard errors that a learned form must exceed.
+SAMPLE, PARTS, BAR = 20_000, 4, 4.0
+#: Lengths of the word starts that are forms of a longer word.
+STARTS = (4, 5, 6, 7)
 #: A plain seed lexicon of insults.
 INSULTS = frozenset("idiot idiots moron stupid dumb loser losers trash scum clown pathetic worthless disgusting garbage fool jerk hate shut ugly imbecile filth vermin bastard shit damn crap".split())
 SECOND = frozenset("you your yours yourself u ur du dein deine dich dir tu te toi ton ta tes vous votre usted ti tus eres".split())
 LEET = str.maketrans("013457@$!|", "oieastasil")
-WORD = re.compile(r"[^\W_][^\s]*|[^\s\w]+\w[^\s]*")
 EDGE = ".,;:!?\"'()[]{}*%&#|<>~^_-"
-NAMES = ("seed", "learned", "seed_rate", "learned_rate", "undone", "near", "capitals", "shouted", "exclaims", "punctuation", "signs", "mixed", "repeats", "size")
+NAMES = ("seed", "learned_sum", "learned_top", "learned_words", "seed_rate", "learned_rate", "undone", "near", "capitals", "shouted", "exclaims", "punctuation", "signs", "mixed", "repeats", "size")
 
 
 def plain(word: str) -> str:
@@ -52,74 +61,150 @@ def undo(word: str) -> str:
     return re.sub(r"(.)\1{2,}", r"\1", re.sub(r"[^\w]|_", "", w))
 
 
-def features(text: str, learned: frozenset) -> tuple[float, ...]:
+def forms(word: str) -> set[str]:
+    """What a word of a text may be known as: itself, undone, and the starts of that."""
+    w = plain(word)
+    if not w:
+        return set()
+    out = {w}
+    if not w.isalpha():
+        w = undo(word)
+        if w:
+            out.add(w)
+    out.update(w[:k] + "-" for k in STARTS if len(w) > k)
+    return out
+
+
+def copy_key(text: str) -> int:
+    """Least hash of the five-word shingles (of the whole text, if shorter)."""
+    words = text.encode("utf-8", "surrogatepass").split()
+    return min(zlib.crc32(b" ".join(words[k:k + 5])) for k in range(max(1, len(words) - 4)))
+
+
+def reader(weights: dict[str, float]):
+    """A function from a raw word to (plain, seed, undone, mixed, second person, learned weight), remembered for frequent words."""
+
+    @lru_cache(maxsize=1 << 17)
+    def read(raw: str):
+        w = plain(raw)
+        seed, undone, mixed = w in INSULTS, False, False
+        known = forms(raw)
+        if w and not w.isalpha():
+            mixed = any(c.isalpha() for c in w)
+            u = undo(raw)
+            undone = u in INSULTS or u in weights
+        weight = max((weights[f] for f in known if f in weights), default=0.0)
+        return w, seed, undone, mixed, w in SECOND, weight
+
+    return read
+
+
+def features(text: str, read) -> tuple[float, ...]:
+    """One value per ``NAMES``, from the whole text; ``read`` is a ``reader``."""
     raw = text.split()
-    words = [plain(w) for w in raw]
-    n = len(words)
+    n = len(raw)
     per = 1.0 / max(n, 1)
-    seed = [k for k, w in enumerate(words) if w in INSULTS]
-    known = sum(w in learned for w in words)
-    mixed = undone = 0
-    hits = list(seed)
-    for k, (r, w) in enumerate(zip(raw, words, strict=True)):
-        if w and not w.isalpha():
-            mixed += any(c.isalpha() for c in w)
-            u = undo(r)
-            if u in INSULTS or u in learned:
-                undone += 1
-                hits.append(k)
-    second = [k for k, w in enumerate(words) if w in SECOND]
-    near = 0
-    if second and hits:
-        marks = set(second)
-        near = sum(any(k + d in marks for d in range(-5, 6)) for k in hits)
+    seeds = undones = mixes = learned = 0
+    best: dict[str, float] = {}
+    hits, second = [], set()
+    for k, r in enumerate(raw):
+        w, seed, undone, mixed, you, weight = read(r)
+        seeds += seed
+        undones += undone
+        mixes += mixed
+        if weight:
+            learned += 1
+            best[w] = weight
+        if seed or undone or weight:
+            hits.append(k)
+        if you:
+            second.add(k)
+    near = sum(any(k + d in second for d in range(-5, 6)) for k in hits) if second else 0
     m = max(len(text), 1)
     letters = sum(map(str.isalpha, text)) if m < 4000 else len(re.findall(r"[^\W\d_]", text))
     upper = len(re.findall(r"[A-ZÀ-ÖØ-Þ]", text))
-    return (float(min(len(seed), 20)), float(min(known, 40)), len(seed) * per, known * per, float(min(undone, 20)), float(min(near, 20)),
+    return (float(seeds), float(sum(nlargest(10, best.values()))), float(max(best.values(), default=0.0)), float(len(best)), seeds * per, learned * per, float(undones), float(near),
             upper / max(letters, 1), sum(map(str.isupper, raw)) * per, text.count("!") / m, len(re.findall(r"[.,;:?]", text)) / m,
-            len(re.findall(r"[@#$%&*|<>~^]", text)) / m, mixed * per, len(re.findall(r"(.)\1\1", text)) / m, math.log1p(n))
+            len(re.findall(r"[@#$%&*|<>~^]", text)) / m, mixes * per, len(re.findall(r"(.)\1\1", text)) / m, math.log1p(n))
 
 
-def featured(docs: DataFrame, learned: frozenset, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The ``keep`` columns and one column per feature, for every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(learned)
+def featured(docs: DataFrame, weights: list[dict[str, float]], keep: tuple[str, ...] = ("doc_id",), part: str | None = None) -> DataFrame:
+    """The ``keep`` columns and one column per feature, for every row. ``weights`` has those
+    of all training rows last; with ``part`` a row's own are at the place that column names."""
+    shared = docs.sparkSession.sparkContext.broadcast(weights)
     schema = pa.schema([*((k, _arrow(docs, k)) for k in keep), *((n, pa.float64()) for n in NAMES)])
 
     def run(frames):
-        lex = shared.value
-        for b in frames:
+        readers = [reader(w) for w in (shared.value if part else shared.value[-1:])]
+
+        def rows(b):
+            own = b.column(part).to_pylist() if part else [-1] * b.num_rows
             cols = [b.column(k).to_pylist() for k in keep]
-            texts = b.column("text").to_pylist()
-            yield from batches(((*rest, *features(t or "", lex)) for t, *rest in zip(texts, *cols, strict=True)), schema)
+            for t, k, *rest in zip(b.column("text").to_pylist(), own, *cols, strict=True):
+                yield (*rest, *features(t or "", readers[k]))
+
+        for b in slices(frames):
+            yield from batches(rows(b), schema)
 
     kinds = ", ".join([f"{k} {docs.schema[k].dataType.simpleString()}" for k in keep] + [f"{n} double" for n in NAMES])
-    return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(run, kinds)
+    return docs.select(*dict.fromkeys([*keep, *([part] if part else []), "text"])).mapInArrow(run, kinds)
+
+
+def grouped(rows: DataFrame) -> DataFrame:
+    """One row (the least id) of each group of near copies and label, with the group's ``part``."""
+    schema = pa.schema([("doc_id", _arrow(rows, "doc_id")), ("text", pa.string()), ("toxic", pa.int32()), ("key", pa.int64())])
+
+    def run(frames):
+        for b in slices(frames):
+            t = [x or "" for x in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(t, pa.string()), b.column("toxic"), pa.array([copy_key(x) for x in t], pa.int64())], schema=schema)
+
+    keyed = rows.select("doc_id", "text", "toxic").mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text string, toxic int, key long")
+    first = F.row_number().over(Window.partitionBy("key", "toxic").orderBy("doc_id", "text"))
+    return (keyed.withColumn("_rn", first).filter("_rn = 1").drop("_rn")
+            .withColumn("part", F.pmod(F.xxhash64("key", F.lit("part")), F.lit(PARTS)).cast("int")))
+
+
+def learn_weights(train: DataFrame, bar: float = BAR) -> list[dict[str, float]]:
+    """Weights of forms: for each part those learned from the other parts, then those of all
+    ``train(text, toxic, part)``. The texts that hold a form are counted once per batch, then
+    added up by Spark; forms above the bar reach the driver, bounded by the fitting sample."""
+    schema = pa.schema([("form", pa.string()), ("toxic", pa.int32()), ("part", pa.int32()), ("n", pa.int64())])
+
+    def run(frames):
+        for b in slices(frames):
+            seen: Counter = Counter()
+            for t, x, k in zip(b.column("text").to_pylist(), b.column("toxic").to_pylist(), b.column("part").to_pylist(), strict=True):
+                seen.update((f, x, k) for f in set().union(*map(forms, set((t or "").split()))))
+            yield from batches(((*key, n) for key, n in seen.items()), schema, size=50_000)
+
+    count = lambda x, k: F.sum(F.when((F.col("toxic") == x) & ((F.col("part") != k) if k < PARTS else F.lit(True)), F.col("n")).otherwise(0))
+    sides = [(k, f"x{k}", f"y{k}") for k in range(PARTS + 1)]
+    sums = [c for k, x, y in sides for c in (count(1, k).alias(x), count(0, k).alias(y))]
+    totals = train.withColumn("n", F.lit(1)).agg(*sums).first()
+    counts = train.select("text", "toxic", "part").mapInArrow(run, "form string, toxic int, part int, n long").groupBy("form").agg(*sums)
+
+    def odds(x, y):
+        return F.log((F.col(x) + 0.5) / (totals[x] + 1.0)) - F.log((F.col(y) + 0.5) / (totals[y] + 1.0))
 
+    def kept(x, y):
+        o = odds(x, y)
+        return F.when(o / F.sqrt(1 / (F.col(x) + 0.5) + 1 / (F.col(y) + 0.5)) > bar, o)
 
-def learn_lexicon(train: DataFrame, size: int) -> frozenset:
-    """Words whose document share is far higher among toxic training texts: the
-    counts are Spark aggregates over the bounded training rows."""
-    totals = {r["toxic"]: r["n"] for r in train.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    if len(totals) < 2:
-        return frozenset()
-    words = F.array_distinct(F.transform(F.split(F.lower(F.coalesce("text", F.lit(""))), r"\s+"), lambda w: F.btrim(w, F.lit(EDGE))))
-    a, b = totals[1], totals[0]
-    counts = train.select("toxic", F.explode(words).alias("w")).filter(F.length("w").between(3, 24)).groupBy("w").agg(F.sum("toxic").alias("x"), F.sum(1 - F.col("toxic")).alias("y"))
-    odds = F.log((F.col("x") + 0.5) / (a + 1.0)) - F.log((F.col("y") + 0.5) / (b + 1.0))
-    z = odds / F.sqrt(1 / (F.col("x") + 0.5) + 1 / (F.col("y") + 0.5))
-    return frozenset(r["w"] for r in counts.filter(F.col("x") >= 5).withColumn("z", z).filter("z > 6").orderBy(F.desc("z"), "w").limit(size).collect())
+    weights = counts.filter(F.greatest(*[F.col(x) for _, x, _ in sides]) > 0).select("form", *[kept(x, y).alias(f"w{k}") for k, x, y in sides])
+    found = weights.filter(F.coalesce(*[F.col(f"w{k}") for k, _, _ in sides]).isNotNull()).collect()
+    return [{r["form"]: r[f"w{k}"] for r in found if r[f"w{k}"] is not None} for k, _, _ in sides]
 
 
 class Model:
-    def __init__(self, learned, trees=None, curve=None, rate=0.0):
-        self.learned, self.trees, self.curve, self.rate = learned, trees, curve, rate
+    def __init__(self, weights, trees=None, curve=None, rate=0.0):
+        self.weights, self.trees, self.curve, self.rate = weights, trees, curve, rate
 
     def score(self, docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
         """The ``keep`` columns with ``score``, for every row."""
         if self.trees is None:
             return docs.select(*keep, F.lit(float(self.rate)).alias("score"))
-        rows = assembled(featured(docs, self.learned, keep))
+        rows = assembled(featured(docs, self.weights[-1:], keep))
         rows = margins(self.trees, rows)
         scored = self.curve.transform(rows)
         return scored.select(*keep, F.least(F.greatest(F.col("prediction"), F.lit(0.0)), F.lit(1.0)).alias("score"))
@@ -134,27 +219,27 @@ def margins(trees, df: DataFrame) -> DataFrame:
     return out.withColumn("margin", vector_to_array("probability")[1])
 
 
-def fit(labelled: DataFrame, sample: int = SAMPLE, lexicon: int = LEXICON, rounds: int = 20, depth: int = 4) -> Model:
+def fit(labelled: DataFrame, sample: int = SAMPLE, bar: float = BAR, rounds: int = 20, depth: int = 4) -> Model:
     """Fit on ``labelled(doc_id, text, toxic)``, at most ``sample`` rows of it."""
     rows = labelled.filter(F.col("toxic").isin(0, 1)).select("doc_id", "text", F.col("toxic").cast("int").alias("toxic"))
     n = rows.count()
     share = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
     if n > sample:
         rows = rows.filter(share < sample / n)
-    train = written(rows.repartition(4, F.xxhash64("doc_id", "text")), "toxic-train")
+    train = written(grouped(rows.repartition(16, F.xxhash64("doc_id", "text"))), "toxic-train")
     counts = {r["toxic"]: r["n"] for r in train.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(counts) < 2:
-        return Model(frozenset(), rate=float(next(iter(counts), 0)))
-    held = F.pmod(F.xxhash64("doc_id", F.lit("calibrate")), F.lit(4)) == 0
-    learned = learn_lexicon(train.filter(~held), lexicon)
-    table = written(featured(train, learned, ("doc_id", "toxic")), "toxic-features")
+        return Model([{}], rate=float(next(iter(counts), 0)))
+    weights = learn_weights(train, bar)
+    table = written(featured(train, weights, ("doc_id", "toxic", "key"), "part"), "toxic-features")
     table = assembled(table.withColumn("label", F.col("toxic").cast("double")))
+    held = F.pmod(F.xxhash64("key", F.lit("calibrate")), F.lit(4)) == 0
     parts = table.filter(~held), table.filter(held)
     if any(p.select("toxic").distinct().count() < 2 for p in parts):
         parts = table, table  # too few rows to set some aside
     trees = GBTClassifier(featuresCol="_features", labelCol="label", maxIter=rounds, maxDepth=depth, stepSize=0.2, minInstancesPerNode=5, seed=7).fit(parts[0])
     curve = IsotonicRegression(featuresCol="margin", labelCol="label").fit(margins(trees, parts[1]).select("margin", "label"))
-    return Model(learned, trees, curve)
+    return Model(weights, trees, curve)
 
 
 def labelled_rows(docs: DataFrame, labels: DataFrame, fold) -> DataFrame:

@@ -360,11 +360,13 @@ def test_toxicity(spark, none):
     sf = "/root/testdata/sf0.1"
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
     fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0
-    model = toxicity.fit(toxicity.labelled_rows(docs, labels, ~fold), sample=3000)
-    scored = model.score(docs.filter(fold)).join(labels, "doc_id").select("score", "toxic").toPandas()
+    model = toxicity.fit(toxicity.labelled_rows(docs, labels, ~fold))
+    scored = model.score(docs.filter(fold)).join(labels, "doc_id").join(docs.select("doc_id", "lang"), "doc_id").select("score", "toxic", "lang").toPandas()
     rank, y = scored["score"].rank(), scored["toxic"] == 1
     auc = (rank[y].sum() - y.sum() * (y.sum() + 1) / 2) / (y.sum() * (~y).sum())
-    assert auc > 0.75 and scored["score"].between(0, 1).all()
+    assert auc > 0.93 and scored["score"].between(0, 1).all()
+    caught = scored[y].groupby("lang")["score"].apply(lambda s: (s >= 0.5).mean())
+    assert len(caught) == 4 and caught.min() >= 0.8 and (scored[~y]["score"] < 0.5).mean() >= 0.98
     odd = spark.createDataFrame([(1, None), (2, ""), (3, "x" * 200_000), (None, "you idiot moron you are worthless scum " * 5), (3, "x" * 200_000)], "doc_id long, text string")
     r = model.score(odd).collect()
     assert len(r) == 5 and all(0 <= x.score <= 1 for x in r) and max(r, key=lambda x: x.score).doc_id is None
@@ -372,3 +374,17 @@ def test_toxicity(spark, none):
     flat = toxicity.fit(toxicity.labelled_rows(docs, labels.filter("toxic = 0"), ~fold))
     assert {x.score for x in flat.score(odd).collect()} == {0.0}
     assert toxicity.fit(toxicity.labelled_rows(docs, labels.limit(0), ~fold)).score(odd).count() == 5
+
+
+def test_toxicity_weights_are_cross_fitted(spark):
+    """A word that only one part's toxic rows hold has no weight there; copies count once; a row under two labels counts under each."""
+    texts = [(k, f"{words(30, 500 + k)} {'grobian' if k % 2 else ''}", k % 2) for k in range(2400)]
+    texts += [(10_000 + k, words(30, 7) + " einzelfall", 1) for k in range(200)]  # one text, many copies
+    rows = toxicity.grouped(spark.createDataFrame(texts + [(50_000, words(30, 8), 0), (50_000, words(30, 8), 1)], "doc_id long, text string, toxic int"))
+    assert rows.filter("doc_id between 10000 and 10199").count() == 1 and rows.filter("doc_id = 50000").count() == 2
+    weights = toxicity.learn_weights(rows)
+    assert len(weights) == toxicity.PARTS + 1 and all(w["grobian"] > 0 and "einzelfall" not in w for w in weights)
+    only = rows.withColumn("text", F.when(F.col("part") == 0, F.col("text")).otherwise(F.replace("text", F.lit("grobian"), F.lit("x"))))
+    own = toxicity.learn_weights(only)
+    assert "grobian" not in own[0] and "grobian" in own[-1]
+    assert toxicity.learn_weights(rows.limit(0)) == [{}] * (toxicity.PARTS + 1)
