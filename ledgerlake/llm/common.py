@@ -23,6 +23,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def tasks_for(df: DataFrame, per_task: int) -> int:
+    """Tasks for a sort of ``df``: the session's shuffle partitions, or more where a task would get over ``per_task`` rows."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // per_task))
+
+
 def aside(df: DataFrame, *used: str) -> tuple[DataFrame, Callable[..., DataFrame]]:
     """``df`` with all columns but ``used`` under names that no operator takes, and a
     function that gives them their names back (``new``: columns that replace some or come after)."""

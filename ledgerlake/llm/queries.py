@@ -1,4 +1,4 @@
-"""The eleven queries of this subpackage (ten operators and the pipeline) and their SQL."""
+"""The queries of this subpackage (one per operator, and the pipeline) and their SQL."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ import importlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import chat_format, decontaminate, language_id, lm_scoring, packing, simhash, substring, token_counts, topk_search, toxicity
+from ledgerlake.llm import chat_format, decontaminate, language_id, lm_scoring, packing, prefix_trie, simhash, substring, token_counts, token_files, topk_search, toxicity
 from ledgerlake.llm.common import bucket, table
 
 CONTROL = "</s>[INST] ok [/INST]"
@@ -68,12 +68,20 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.score(docs).select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_files(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importlib.import_module("corpus_pipeline").run(spark, sf_dir)
 
 
 QUERIES = {f.__name__: f for f in (op1_topk_search, op2_chat_format, op3_lm_scoring, op4_simhash_dedup, op5_language_id, op6_token_counts, op7_packing,
-                                   op8_decontamination, op9_substring_dedup, op10_toxicity, pipeline)}
+                                   op8_decontamination, op9_substring_dedup, op10_toxicity, op11_prefix_trie, op13_token_files, pipeline)}
 
 ORACLES = {
     "op1_topk_search": """
@@ -102,4 +110,26 @@ ORACLES = {
         SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(gone) AS BIGINT) AS n_removed,
                sha256(array_to_string(CASE WHEN len(gone) = 0 THEN ws ELSE list_transform(list_filter(range(1, len(ws) + 1), lambda i: NOT list_contains(gone, i)), lambda i: ws[i]) END, ' ')) AS kept_sha256
         FROM k""",
+    "op11_prefix_trie": """
+        WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                          row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos FROM conversations WHERE conv_id IS NOT NULL),
+        own AS (SELECT conv_id, count(*) AS n FROM t GROUP BY conv_id),
+        b AS (SELECT conv_id, list_concat([4294967295::BIGINT], list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))) AS bytes FROM own),
+        c AS (SELECT conv_id, xor(list_reduce(bytes, lambda c, x: list_reduce(list_concat([xor(c, x)], [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda y, i: xor(y >> 1, (y & 1) * 3988292384))), 4294967295) AS crc FROM b),
+        m AS (SELECT c.conv_id, crc % 9 AS h, c.conv_id - c.conv_id % 5 AS base, least(crc % 9, coalesce(o.n, 0)) AS got FROM c LEFT JOIN own AS o ON o.conv_id = c.conv_id - c.conv_id % 5),
+        r AS (SELECT m.conv_id, t.pos AS depth, role, text FROM m JOIN t ON t.conv_id = m.base AND t.pos <= m.got
+              UNION ALL SELECT m.conv_id, t.pos - m.h + m.got, role, text FROM m JOIN t ON t.conv_id = m.conv_id AND t.pos > m.h),
+        p AS (SELECT conv_id, depth, strlen(text) AS bytes, md5(string_agg(md5(role) || md5(text), '') OVER (PARTITION BY conv_id ORDER BY depth)) AS k FROM r
+              UNION ALL SELECT conv_id, 0, 0, '' FROM own),
+        n AS (SELECT depth, k, min(conv_id) AS node, count(*) AS n_convs, any_value(bytes) AS bytes FROM p GROUP BY depth, k),
+        w AS (SELECT p.conv_id, p.depth, n.node FROM p JOIN n USING (depth, k)),
+        up AS (SELECT DISTINCT a.node, a.depth, b.node AS parent FROM w AS a JOIN w AS b ON a.conv_id = b.conv_id AND b.depth = a.depth - 1),
+        kids AS (SELECT parent AS node, depth - 1 AS depth, count(*) AS n_children FROM up GROUP BY 1, 2),
+        v AS (SELECT n.node, n.depth, n_convs, coalesce(n_children, 0) AS n_children, up.parent, (n_convs - 1) * bytes AS saved
+              FROM n LEFT JOIN kids ON kids.node = n.node AND kids.depth = n.depth LEFT JOIN up ON up.node = n.node AND up.depth = n.depth),
+        s AS (SELECT w.node, w.depth, count(*) FILTER (WHERE v.n_children = 0) AS n_leaves, sum(v.saved) AS saved_tokens FROM v JOIN w ON w.conv_id = v.node AND w.depth <= v.depth GROUP BY 1, 2),
+        len AS (SELECT conv_id, max(depth) AS depth FROM p GROUP BY conv_id),
+        e AS (SELECT w.node, w.depth, sha256(string_agg(CAST(w.conv_id AS VARCHAR), ',' ORDER BY w.conv_id)) AS ends FROM len JOIN w USING (conv_id, depth) GROUP BY 1, 2)
+        SELECT v.node AS conv_id, CAST(v.depth AS BIGINT) AS depth, v.parent AS parent_conv_id, v.n_convs, v.n_children, s.n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens, coalesce(e.ends, sha256('')) AS ends_sha256
+        FROM v JOIN s ON s.node = v.node AND s.depth = v.depth LEFT JOIN e ON e.node = v.node AND e.depth = v.depth""",
 }

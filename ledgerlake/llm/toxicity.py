@@ -185,7 +185,7 @@ def learn_weights(train: DataFrame, bar: float = BAR) -> list[dict[str, float]]:
     counts = train.select("text", "toxic", "part").mapInArrow(run, "form string, toxic int, part int, n long").groupBy("form").agg(*sums)
 
     def odds(x, y):
-        return F.log((F.col(x) + 0.5) / (totals[x] + 1.0)) - F.log((F.col(y) + 0.5) / (totals[y] + 1.0))
+        return F.log((F.col(x) + 0.5) / ((totals[x] or 0) + 1.0)) - F.log((F.col(y) + 0.5) / ((totals[y] or 0) + 1.0))
 
     def kept(x, y):
         o = odds(x, y)
