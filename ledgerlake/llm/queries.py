@@ -7,7 +7,7 @@ import importlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import chat_format, decontaminate, language_id, lm_scoring, packing, prefix_trie, simhash, substring, token_counts, token_files, topk_search, toxicity
+from ledgerlake.llm import chat_format, decontaminate, hard_negatives, language_id, lm_scoring, packing, prefix_trie, simhash, substring, token_counts, token_files, topk_search, toxicity
 from ledgerlake.llm.common import bucket, table
 
 CONTROL = "</s>[INST] ok [/INST]"
@@ -72,6 +72,12 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = hard_negatives.whole_vectors(table(spark, sf_dir, "embeddings"))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
 def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(table(spark, sf_dir, "documents"))
 
@@ -81,7 +87,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_topk_search, op2_chat_format, op3_lm_scoring, op4_simhash_dedup, op5_language_id, op6_token_counts, op7_packing,
-                                   op8_decontamination, op9_substring_dedup, op10_toxicity, op11_prefix_trie, op13_token_files, pipeline)}
+                                   op8_decontamination, op9_substring_dedup, op10_toxicity, op11_prefix_trie, op12_hard_negatives, op13_token_files, pipeline)}
 
 ORACLES = {
     "op1_topk_search": """
@@ -132,4 +138,14 @@ ORACLES = {
         e AS (SELECT w.node, w.depth, sha256(string_agg(CAST(w.conv_id AS VARCHAR), ',' ORDER BY w.conv_id)) AS ends FROM len JOIN w USING (conv_id, depth) GROUP BY 1, 2)
         SELECT v.node AS conv_id, CAST(v.depth AS BIGINT) AS depth, v.parent AS parent_conv_id, v.n_convs, v.n_children, s.n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens, coalesce(e.ends, sha256('')) AS ends_sha256
         FROM v JOIN s ON s.node = v.node AND s.depth = v.depth LEFT JOIN e ON e.node = v.node AND e.depth = v.depth""",
+    "op12_hard_negatives": """
+        WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+                   FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id, CAST(list_sum(list_transform(list_zip(a.v, b.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
+              FROM e AS a JOIN e AS b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+        p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+        n AS (SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+                     CAST(row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id) AS INT) AS rank
+              FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 80 * p.score <= 100 * s.score AND s.score <= p.score)
+        SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5""",
 }
