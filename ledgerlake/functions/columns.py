@@ -81,6 +81,13 @@ def has_replacement_char(c: Column | str) -> Column:
     return F.instr(_c(c), "�") > 0
 
 
+def field_count(line: Column | str) -> Column:
+    """Fields of a CSV line: commas outside quoted fields (quotes in them doubled or escaped), and one."""
+    line = _c(line)
+    bare = F.when(F.instr(line, '"') > 0, F.regexp_replace(line, r'(^|,)"(?:[^"\\]|\\.|"")*"(?=,|\z)', "$1")).otherwise(line)
+    return F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+
+
 def pick_from(values: list[str], idx: Column) -> Column:
     """``values[idx]`` for a 0-based integer index column."""
     return F.array(*[F.lit(v) for v in values])[idx.cast("int")]

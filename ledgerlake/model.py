@@ -112,10 +112,6 @@ class LakePaths:
     def tables(self) -> str:
         return f"{self.base}/delta/mouvements"
 
-    @property
-    def quarantine(self) -> str:
-        return f"{self.base}/quarantine"
-
     @property
     def metrics(self) -> str:
         return f"{self.base}/quality_metrics"
@@ -124,6 +120,10 @@ class LakePaths:
     def manifest(self) -> str:
         return f"{self.base}/manifest"
 
+    @property
+    def ledger(self) -> str:
+        return f"{self.base}/_ledger"
+
     @property
     def checkpoints(self) -> str:
         return f"{self.base}/_checkpoints"

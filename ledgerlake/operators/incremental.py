@@ -7,16 +7,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.operators.ingest import type_movements
-from ledgerlake.sources.raw import CSV_FILES, inventory, read_raw, with_source_file
+from ledgerlake.sources.headers import read_by_header
+from ledgerlake.sources.raw import CSV_FILES, inventory
 
 
 def new_files(spark: SparkSession, root: str, manifest: DataFrame, glob: str = CSV_FILES) -> DataFrame:
-    """Inventory of ``root`` minus the files already in ``manifest`` (a ``path`` column).
+    """Inventory of ``root`` minus the files in ``manifest`` (path, length, modificationTime).
 
-    A left-anti join; the manifest grows with the number of files (not rows)
+    A file that was replaced under its name has another length or time, so it is new. A
+    left-anti join; the manifest grows with the number of files (not rows)
     and AQE picks a broadcast only once its real size is known.
     """
-    return inventory(spark, root, glob=glob).join(manifest.select("path"), "path", "left_anti")
+    seen = ["path", "length", "modificationTime"]
+    return inventory(spark, root, glob=glob).join(manifest.select(*seen), seen, "left_anti")
 
 
 def record_manifest(spark: SparkSession, files: DataFrame, manifest_path: str) -> None:
@@ -50,7 +53,7 @@ def ingest_new(spark: SparkSession, root: str, manifest_path: str, out_path: str
     folders = [r[0] for r in files.select(F.regexp_replace("path", r"/[^/]*\z", "")).distinct().collect()]
     if not folders:
         return False
-    rows = with_source_file(read_raw(spark, folders, shape=True, glob=glob))
+    rows = read_by_header(spark, folders, glob=glob, recursive=False)
     mine = rows.join(files.select(F.col("file_uri").alias("file_path")), "file_path", "left_semi")
     type_movements(mine).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{out_path}/rows")
     record_manifest(spark, files, manifest_path)

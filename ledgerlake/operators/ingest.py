@@ -10,11 +10,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake import model
-from ledgerlake.functions.columns import fold_accents, parse_date_strict, parse_id, repair_mojibake
-from ledgerlake.sources.raw import EXTRA, LINE
+from ledgerlake.functions.columns import field_count, fold_accents, parse_date_strict, parse_id, repair_mojibake
+from ledgerlake.sources.headers import REFUSED
+from ledgerlake.sources.raw import EXTRA, LINE, SHAPE
 
 OK = "ok"
-REASONS = ("short_row", "long_row", "bad_id", "bad_date", "bad_number")
+REASONS = ("foreign_header", "short_row", "long_row", "bad_id", "bad_date", "bad_number", "empty_field")
 
 
 def normalise_labels(df: DataFrame, cols=("produit", "type_op")) -> DataFrame:
@@ -31,6 +32,14 @@ def type_movements(raw: DataFrame) -> DataFrame:
     read (``_line``); rows that come without one have their fields joined.
     """
     long_row = F.col(EXTRA).isNotNull() if EXTRA in raw.columns else F.lit(False)
+    # An empty country is not a missing one: the line tells, where there is one.
+    short_row = F.col("pays").isNull()
+    if SHAPE in raw.columns:
+        short_row, long_row = F.col(SHAPE) < 0, F.col(SHAPE) > 0
+    elif LINE in raw.columns:
+        short_row = short_row & (field_count(LINE) < len(model.COLUMNS))
+    empty = F.col("produit").isNull() | F.col("type_op").isNull() | F.col("agence_id").isNull() | F.col("pays").isNull()
+    refused = F.col(REFUSED) if REFUSED in raw.columns else F.lit(False)
     exact = F.col("montant").try_cast("decimal(38,18)")
     montant = F.when(exact == F.round(exact, 2), F.col("montant").try_cast("decimal(12,2)"))  # nothing is rounded silently
     line = F.array_join(F.array(*[F.col(c) for c in (*model.COLUMNS, EXTRA) if c in raw.columns]), ",", "")
@@ -38,8 +47,8 @@ def type_movements(raw: DataFrame) -> DataFrame:
         line = F.col(LINE)
     elif EXTRA in raw.columns:
         line = F.when(F.col(EXTRA).isNull(), F.regexp_replace(line, r",\z", "")).otherwise(line)
-    typed = normalise_labels(raw.withColumn("__line", line)).select(
-        *[c for c in raw.columns if c not in (*model.COLUMNS, EXTRA, LINE)],
+    typed = normalise_labels(raw.withColumns({"__line": line, "__empty": empty})).select(
+        *[c for c in raw.columns if c not in (*model.COLUMNS, EXTRA, LINE, SHAPE, REFUSED)],
         F.col("id_mouvement"),
         parse_id("id_mouvement").alias("mouvement_no"),
         parse_date_strict("date_op").alias("date_op"),
@@ -49,19 +58,24 @@ def type_movements(raw: DataFrame) -> DataFrame:
         (montant * F.lit(100)).cast("bigint").alias("cents"),
         "agence_id",
         "pays",
+        short_row.alias("__short"),
         long_row.alias("__long"),
+        refused.alias("__refused"),
+        "__empty",
         "__line",
     )
     reason = (
-        F.when(F.col("pays").isNull(), F.lit("short_row"))
+        F.when(F.col("__refused"), F.lit("foreign_header"))
+        .when(F.col("__short"), F.lit("short_row"))
         .when(F.col("__long"), F.lit("long_row"))
         .when(F.col("mouvement_no").isNull(), F.lit("bad_id"))
         .when(F.col("date_op").isNull(), F.lit("bad_date"))
         .when(F.col("cents").isNull(), F.lit("bad_number"))
+        .when(F.col("__empty"), F.lit("empty_field"))
         .otherwise(F.lit(OK))
     )
     # Quarantined rows keep the text they came with.
-    return typed.withColumn("reason", reason).withColumn("raw_line", F.when(F.col("reason") != OK, F.col("__line"))).drop("__long", "__line")
+    return typed.withColumn("reason", reason).withColumn("raw_line", F.when(F.col("reason") != OK, F.col("__line"))).drop("__short", "__long", "__refused", "__empty", "__line")
 
 
 def split_quarantine(typed: DataFrame) -> tuple[DataFrame, DataFrame]:

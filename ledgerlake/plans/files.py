@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlake import files as small
 from ledgerlake import model
 from ledgerlake.functions import draws as D
 from ledgerlake.functions.columns import has_replacement_char, parse_id
@@ -24,6 +25,7 @@ from ledgerlake.plans.catalogue import (
 from ledgerlake.session import scratch_path
 from ledgerlake.sinks import layout as L
 from ledgerlake.sources.generate import movements, raw_columns
+from ledgerlake.sources.headers import read_by_header
 from ledgerlake.sources.raw import CSV_FILES, inventory, listing, read_lines, read_raw, select_parts, with_source_file
 
 TYPED_COLS = ["id_mouvement", "mouvement_no", "date_op", "produit", "type_op", "montant", "cents",
@@ -93,20 +95,21 @@ def quarantine(spark, sf):
 
 # --- R1 R2 R5 R9 F5 K9: dirty rows in two places, one of them compressed ---------
 # Kinds by key modulo 13: bad date, bad number, short row, long row, equal rows without an
-# id, an amount with three decimals, an id of 70 digits; the rest are clean.
+# id, an amount with three decimals, an id of 70 digits, an empty country; the rest are clean.
 
 @register("dirty_ingest", O.with_(O.orders_movements() + [
     """k AS (SELECT *, (mouvement_no - 1) % 13 AS kind, CAST(date_op AS VARCHAR) AS d, CAST(montant AS VARCHAR) AS m FROM mv)""",
     """l AS (SELECT CASE kind WHEN 0 THEN 'bad_date' WHEN 1 THEN 'bad_number' WHEN 2 THEN 'short_row' WHEN 3 THEN 'long_row'
-              WHEN 4 THEN 'bad_id' WHEN 5 THEN 'bad_number' WHEN 6 THEN 'bad_id' ELSE 'ok' END AS reason,
+              WHEN 4 THEN 'bad_id' WHEN 5 THEN 'bad_number' WHEN 6 THEN 'bad_id' WHEN 7 THEN 'empty_field' ELSE 'ok' END AS reason,
               CASE kind WHEN 0 THEN concat_ws(',', id_mouvement, '2025-06-31', produit, type_op, m, agence_id, pays)
                         WHEN 1 THEN concat_ws(',', id_mouvement, d, produit, type_op, 'x', agence_id, pays)
                         WHEN 2 THEN concat_ws(',', id_mouvement, d, produit, type_op, m, agence_id) || ','
                         WHEN 3 THEN concat_ws(',', id_mouvement, d, produit, type_op, m, agence_id, pays, 'more')
                         WHEN 4 THEN 'M-5,2025-06-01,auto,cotisation,60.5,AG_001,FR'
                         WHEN 5 THEN concat_ws(',', id_mouvement, d, produit, type_op, '60.129', agence_id, pays)
-                        WHEN 6 THEN concat_ws(',', 'M' || repeat('9', 70), d, produit, type_op, m, agence_id, pays) END AS line,
-              CASE WHEN kind > 6 THEN cents END AS cents FROM k)"""],
+                        WHEN 6 THEN concat_ws(',', 'M' || repeat('9', 70), d, produit, type_op, m, agence_id, pays)
+                        WHEN 7 THEN concat_ws(',', id_mouvement, d, produit, type_op, m, agence_id) || ',' END AS line,
+              CASE WHEN kind > 7 THEN cents END AS cents FROM k)"""],
     "SELECT reason, count(*) AS n_rows, CAST(sum(length(line)) AS BIGINT) AS kept_chars, min(line) AS first_line, "
     "max(line) AS last_line, CAST(sum(CASE WHEN reason = 'ok' THEN cents END) AS BIGINT) AS sum_cents FROM l GROUP BY reason"))
 def dirty_ingest(spark, sf):
@@ -116,6 +119,7 @@ def dirty_ingest(spark, sf):
     fields = [at(6, "M" + "9" * 70, F.col("id_mouvement")), at(0, "2025-06-31", F.date_format("date_op", "yyyy-MM-dd")), F.col("produit"), F.col("type_op"),
               at(5, "60.129", at(1, "x", F.col("montant").cast("string"))), F.col("agence_id")]
     line = (F.when(kind == 2, F.concat_ws(",", *fields)).when(kind == 3, F.concat_ws(",", *fields, "pays", F.lit("more")))
+            .when(kind == 7, F.concat_ws(",", *fields, F.lit("")))
             .when(kind == 4, F.lit("M-5,2025-06-01,auto,cotisation,60.5,AG_001,FR")).otherwise(F.concat_ws(",", *fields, "pays")))
     root = scratch_path(spark, "raw_dirty")
     rows = g.select("mouvement_no", line.alias("value"))
@@ -309,18 +313,22 @@ _RUN_SQL = (f"CAST({S_SQL} AS BIGINT) AS n_new_files, count(*) AS n_rows, CAST(s
 
 @register("new_files_only", O.with_(
     O.movements_ctes("ma", "(SELECT o_orderkey AS i FROM orders)", seed=1)
-    + O.movements_ctes("mb", f"(SELECT o_orderkey + {N_SQL} AS i FROM orders)", seed=2, labels="accented"),
+    + O.movements_ctes("mb", f"(SELECT o_orderkey + {N_SQL} AS i FROM orders)", seed=2, labels="accented")
+    + O.movements_ctes("mc", f"(SELECT o_orderkey AS i FROM orders WHERE ((o_orderkey + 1) * {S_SQL} - 1) // {N_SQL} = 0)", seed=3),
     f"SELECT CAST(1 AS BIGINT) AS run, {_RUN_SQL} FROM ma UNION ALL SELECT CAST(2 AS BIGINT), {_RUN_SQL} FROM mb "
-    "UNION ALL SELECT CAST(3 AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS BIGINT)"))
+    "UNION ALL SELECT CAST(3 AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS BIGINT) "
+    f"UNION ALL SELECT CAST(4 AS BIGINT), {_RUN_SQL.replace(S_SQL, '1', 1)} FROM mc"))
 def new_files_only(spark, sf):
-    """Three runs: no manifest yet, a second landing, nothing new."""
+    """Four runs: no manifest yet, a second landing, nothing new, one file replaced under its name."""
     n = n_orders(spark, sf)
     raw, manifest = scratch_path(spark, "raw_incr"), scratch_path(spark, "manifest")
     landings = {1: {"seed": 1}, 2: {"seed": 2, "labels": "accented", "start": n}}
     runs = None
-    for run in (1, 2, 3):
+    for run in (1, 2, 3, 4):
         if run in landings:
             _land_rows(spark, sf, f"{raw}/landing_{run}", n, **landings[run])
+        if run == 4:
+            _replace_first_file(spark, sf, n, f"{raw}/landing_1")
         out = scratch_path(spark, f"ingested_{run}")
         is_new = ingest_new(spark, raw, manifest, out)
         files = spark.read.parquet(f"{out}/files")
@@ -332,6 +340,43 @@ def new_files_only(spark, sf):
     return runs
 
 
+def _replace_first_file(spark, sf, n: int, folder: str) -> None:
+    """The same shard of another draw, under the name of the folder's first file."""
+    other, shards = scratch_path(spark, "raw_other"), model.shard_count(n)
+    _land_rows(spark, sf, other, n, seed=3)
+    first = lambda path: next(x for x in small.names(spark, path) if x.startswith("part-00000"))
+    small.move(spark, f"{other}/{first(other)}", f"{folder}/{first(folder)}")
+
+
+# --- R3 S4: every file by its own header ------------------------------------------
+# Four landings by key modulo 4: the documented header; columns turned round, with one more; no
+# header; the header of something else, which is refused as a whole (its header lines too).
+
+@register("mixed_headers", O.with_(O.orders_movements() + [
+    f"k AS (SELECT *, (mouvement_no - 1) % 4 AS kind, ((mouvement_no * {S_SQL} - 1) // {N_SQL}) AS shard FROM mv)"],
+    "SELECT CASE kind WHEN 0 THEN 'documented' WHEN 1 THEN 'turned' WHEN 2 THEN 'bare' ELSE 'foreign' END AS landing, CASE WHEN kind = 3 THEN 'foreign_header' ELSE 'ok' END AS reason, "
+    "count(*) + CASE WHEN kind = 3 THEN count(DISTINCT shard) ELSE 0 END AS n_rows, CAST(sum(CASE WHEN kind < 3 THEN cents END) AS BIGINT) AS sum_cents, "
+    "min(CASE WHEN kind < 3 THEN mouvement_no END) AS min_no, max(CASE WHEN kind < 3 THEN mouvement_no END) AS max_no, "
+    "CAST(sum(CASE WHEN kind = 3 THEN length(concat_ws(',', id_mouvement, CAST(date_op AS VARCHAR), produit, type_op, CAST(montant AS VARCHAR), agence_id, pays)) END) "
+    f"+ CASE WHEN kind = 3 THEN count(DISTINCT shard) * {len('ref,jour,gamme,code,valeur,bureau,zone')} ELSE 0 END AS BIGINT) AS kept_chars FROM k GROUP BY kind"))
+def mixed_headers(spark, sf):
+    n, root = n_orders(spark, sf), scratch_path(spark, "raw_mixed")
+    g = movements(dealt_index(spark, sf, n, model.shard_count(n)), seed=SEED)
+    kind = F.pmod(F.col("mouvement_no") - 1, F.lit(4))
+    part = lambda k: raw_columns(g.filter(kind == k))
+    L.write_csv(part(0), f"{root}/documented")
+    turned = part(1)
+    L.write_csv(turned.select("pays", *[c for c in reversed(turned.columns) if c != "pays"]).withColumn("commentaire", F.lit('vu, "ok"')), f"{root}/turned")
+    L.write_csv(part(2), f"{root}/bare", header=False)
+    L.write_csv(part(3).toDF("ref", "jour", "gamme", "code", "valeur", "bureau", "zone"), f"{root}/foreign")
+    typed = I.type_movements(read_by_header(spark, root))
+    landing = F.regexp_extract("file_path", r"/([a-z]+)/[^/]*\z", 1)
+    good = lambda c: F.when(F.col("reason") == I.OK, F.col(c))
+    return typed.groupBy(landing.alias("landing"), "reason").agg(
+        F.count("*").alias("n_rows"), F.sum(good("cents")).alias("sum_cents"), F.min(good("mouvement_no")).alias("min_no"),
+        F.max(good("mouvement_no")).alias("max_no"), F.sum(F.length("raw_line")).cast("bigint").alias("kept_chars"))
+
+
 # --- K5 K7: partitioned published table ---------------------------------------
 
 def _staged(g: DataFrame) -> DataFrame:
@@ -480,9 +525,12 @@ def run_metrics(spark, sf):
     return run_job(spark, cfg, dealt_index(spark, sf, cfg.n_rows, cfg.shards))
 
 
-@register("run_counts", f"""SELECT stage, n_rows, timed FROM (VALUES
-  ('land_raw', {N_SQL}, true), ('parse_typed', {N_SQL}, true), ('quarantined', 0, false), ('publish', {N_SQL}, true), ('contract_report', 9, true)
-) AS t(stage, n_rows, timed)""")
+@register("run_counts", f"""SELECT stage, n_rows, timed, zone, true AS labelled FROM (VALUES
+  ('land_raw', {N_SQL}, true, 'raw/mouvements/<run>'), ('parse_typed', {N_SQL}, true, 'staging/mouvements/<run>'), ('quarantined', 0, false, 'staging/mouvements/<run>/reason=*'),
+  ('publish', {N_SQL}, true, 'delta/mouvements'), ('contract_report', 9, true, 'quality_metrics/run_id=<run>')
+) AS t(stage, n_rows, timed, zone)""")
 def run_counts(spark, sf):
-    """The job's counts, and whether each stage has a throughput (clock values stay in its table)."""
-    return run_metrics(spark, sf).select("stage", "n_rows", F.coalesce(F.col("rows_per_sec") > 0, F.lit(False)).alias("timed"))
+    """The job's counts, zones and label, and whether each stage has a throughput (clock values stay in its table)."""
+    zone = F.regexp_replace(F.replace("zone", F.col("run_id"), F.lit("<run>")), r"^.*/lake_run-[0-9a-f]+/", "")
+    return run_metrics(spark, sf).select("stage", "n_rows", F.coalesce(F.col("rows_per_sec") > 0, F.lit(False)).alias("timed"), zone.alias("zone"),
+                                         F.col("run_id").rlike(r"^mouvements-[0-9]{8}-[0-9]{6}\z").alias("labelled"))

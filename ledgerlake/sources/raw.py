@@ -11,8 +11,10 @@ EXTRA = "_extra_field"
 #: The line of a row as it was read.
 LINE = "_line"
 _MORE = "_line_with_separator"
-#: Landed CSV files, compressed or not.
-CSV_FILES = "*.csv*"
+#: Fields of a row beyond those of its file's header (fewer: below 0), where the reader knows.
+SHAPE = "_shape"
+#: Landed CSV files, plain or in a compression that Spark reads; not copies such as ``x.csv.bak``.
+CSV_FILES = "*.{csv,csv.gz,csv.bz2,csv.deflate,csv.lz4,csv.snappy,csv.zst}"
 
 
 def read_raw(spark: SparkSession, paths: str | list[str], header: bool = True, encoding: str = "UTF-8",

@@ -11,6 +11,8 @@ from ledgerlake.operators import quality as Q
 from ledgerlake.operators.dedupe import keep_first
 from ledgerlake.operators.incremental import new_files, read_manifest, record_manifest
 from ledgerlake.plans.run import JobConfig, run_job
+from ledgerlake.sinks import versions as V
+from ledgerlake.sources.generate import index_range, movements
 from ledgerlake.session import scratch_path
 from ledgerlake.sinks import layout as L
 from ledgerlake.sources.raw import CSV_FILES, inventory
@@ -79,9 +81,15 @@ def test_manifest_loop_from_the_first_run(spark):
 def test_job_runs_month_after_month_and_again(spark):
     base = scratch_path(spark, "lake")
     june = JobConfig(base=base, n_rows=400, n_shards=2, run_id="june")
+    months = lambda: {r.mois: r.n for r in V.read_months(spark, june.paths.tables).groupBy("mois").agg(F.count("*").alias("n")).collect()}
     run_job(spark, june)
     run_job(spark, JobConfig(base=base, n_rows=300, n_shards=2, start_date="2025-07-01", days=31, run_id="july"))
     run_job(spark, june)
-    run_job(spark, JobConfig(base=base, n_rows=400, n_shards=2, seed=1, run_id="june-again"))
-    got = {r.mois: r.n for r in spark.read.parquet(june.paths.tables).groupBy("mois").agg(F.count("*").alias("n")).collect()}
-    assert got == {"2025-06": 400, "2025-07": 300}
+    assert months() == {"2025-06": 400, "2025-07": 300}
+    run_job(spark, JobConfig(base=base, n_rows=3, n_shards=2, seed=1, run_id="small-june"))
+    assert months() == {"2025-06": 3, "2025-07": 300}
+    run_job(spark, JobConfig(base=base, n_rows=500, n_shards=2, seed=1, start_date="2025-06-20", run_id="half-june"))
+    table = V.read_months(spark, june.paths.tables)
+    assert table.filter("date_op >= '2025-06-20' and date_op <= '2025-07-19'").count() == 500
+    assert table.filter("date_op < '2025-06-20'").count() == movements(index_range(spark, 3), seed=1).filter("date_op < '2025-06-20'").count()
+    assert table.filter("date_op > '2025-07-19'").count() == movements(index_range(spark, 300), start_date="2025-07-01", days=31).filter("date_op > '2025-07-19'").count()
