@@ -74,10 +74,10 @@ FOLD_TO = "eeeaaiouc"
 AGENCIES = [AGENCY_FORMAT % n for n in range(1, AGENCY_COUNT + 1)]
 
 
-def shard_count(n_rows: int) -> int:
-    """Files of a landing: the reference's 5 up to 10 M rows, then one per
-    2 M rows, so writer tasks stay the same size as the data grows."""
-    return max(DEFAULT_SHARDS, -(-n_rows // ROWS_PER_SHARD))
+def shard_count(n_rows: int, rows_per_file: int = ROWS_PER_SHARD) -> int:
+    """Files of a landing of ``n_rows``: one per ``rows_per_file`` (the reference's 10 M rows make
+    its 5 files), so writer tasks stay the same size as the data grows."""
+    return max(1, -(-n_rows // rows_per_file))
 
 
 RAW_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in COLUMNS])

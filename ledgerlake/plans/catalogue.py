@@ -31,17 +31,14 @@ ORACLES: dict[str, str] = {}
 SEED = 42
 MV_COLS = ["mouvement_no", "id_mouvement", "date_op", "produit", "type_op", "montant", "agence_id", "pays"]
 N_SQL = "(SELECT count(*) FROM orders)"
-# Shard count and chunk size follow the data (model.shard_count / chunk_rows).
-S_SQL = (f"(SELECT greatest({model.DEFAULT_SHARDS}, CAST(ceil(count(*) / {model.ROWS_PER_SHARD}.0) AS BIGINT)) "
-         "FROM orders)")
-CHUNK_MIN, CHUNK_TARGET = 1000, 16
-C_SQL = (f"(SELECT least({model.ROWS_PER_SHARD}, greatest({CHUNK_MIN}, CAST(ceil(count(*) / {CHUNK_TARGET}.0) AS BIGINT))) "
-         "FROM orders)")
+# The catalogue's landings: rows per file and per chunk task, whatever the table's size.
+ROWS_PER_FILE, ROWS_PER_CHUNK = 2000, 1000
+S_SQL = f"(SELECT greatest(1, CAST(ceil(count(*) / {ROWS_PER_FILE}.0) AS BIGINT)) FROM orders)"
+C_SQL = f"{ROWS_PER_CHUNK}"
 
 
-def chunk_rows(n: int) -> int:
-    """Rows per chunk task: at least 1000, about 16 chunks, at most one shard."""
-    return min(model.ROWS_PER_SHARD, max(CHUNK_MIN, -(-n // CHUNK_TARGET)))
+def shards_of(n: int) -> int:
+    return model.shard_count(n, ROWS_PER_FILE)
 
 
 def register(name: str, sql: str | None = None):
@@ -62,12 +59,17 @@ def n_orders(spark: SparkSession, sf: str) -> int:
     return orders(spark, sf).count()
 
 
-def dealt_index(spark: SparkSession, sf: str, n: int, parts: int, start: int = 0) -> DataFrame:
-    """Row counters ``start .. start+n-1`` from the keys of ``orders``, one contiguous
-    interval per partition as ``spark.range`` deals them."""
+def dealt_index(spark: SparkSession, sf: str, n: int, parts: int, start: int = 0, lo: int | None = None, hi: int | None = None) -> DataFrame:
+    """Row counters from all keys of ``orders`` (or those from ``lo`` to below ``hi``), shifted by ``start``: about ``n``
+    of them, dealt in contiguous intervals to partitions as ``spark.range`` deals dense ones. Keys beyond those go to the last."""
     from ledgerlake.sinks.layout import shard_of
-    keys = orders(spark, sf).filter(F.col("o_orderkey") < n).select(F.col("o_orderkey").cast("bigint").alias("k"))
-    dealt = keys.repartitionById(parts, shard_of("k", n, parts).cast("int")).sortWithinPartitions("k")
+    keys = orders(spark, sf).select(F.col("o_orderkey").cast("bigint").alias("k"))
+    if lo is not None:
+        keys = keys.filter(F.col("k") >= lo)
+    if hi is not None:
+        keys = keys.filter(F.col("k") < hi)
+    shard = F.least(shard_of(F.col("k") - (lo or 0), max(n, 1), parts), F.lit(parts - 1)).cast("int")
+    dealt = keys.repartitionById(parts, shard).sortWithinPartitions("k")
     return dealt.select((F.col("k") + start).alias("i"))
 
 
@@ -94,7 +96,7 @@ SELECT i // {C_SQL} AS chunk, min(i) + 1 AS first_no, max(i) + 1 AS last_no, cou
 FROM (SELECT unnest(range(0, {N_SQL})) AS i) GROUP BY i // {C_SQL}""")
 def gen_index(spark, sf):
     n = n_orders(spark, sf)
-    k = chunk_rows(n)
+    k = ROWS_PER_CHUNK
     idx = index_from_table(orders(spark, sf), "o_orderkey")
     chunk = F.floor(F.col("i") / k).cast("bigint")
     return idx.groupBy(chunk.alias("chunk")).agg(
@@ -194,7 +196,7 @@ FROM s GROUP BY shard""")
 def shard_layout(spark, sf):
     from ledgerlake.sinks.layout import shard_name, shard_of
     n = n_orders(spark, sf)
-    shards = model.shard_count(n)
+    shards = shards_of(n)
     k = n // shards
     s = orders(spark, sf).select(F.col("o_orderkey").alias("i"), shard_of("o_orderkey", n, shards).alias("shard"))
     agg = s.groupBy("shard").agg((F.min("i") + 1).alias("first_no"), (F.max("i") + 1).alias("last_no"),

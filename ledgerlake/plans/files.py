@@ -20,7 +20,7 @@ from ledgerlake.operators.dedupe import keep_first, union_landings
 from ledgerlake.operators.incremental import ingest_new
 from ledgerlake.plans import oracle as O
 from ledgerlake.plans.catalogue import (
-    MV_COLS, N_SQL, S_SQL, SEED, _cols, chunk_rows, dealt_index, mv, n_orders, orders, register,
+    MV_COLS, N_SQL, S_SQL, ROWS_PER_CHUNK, ROWS_PER_FILE, SEED, _cols, dealt_index, mv, n_orders, orders, register, shards_of,
 )
 from ledgerlake.session import scratch_path
 from ledgerlake.sinks import layout as L
@@ -40,9 +40,9 @@ def typed_out(df: DataFrame, *extra: str) -> DataFrame:
     return df.select(*[F.col(c).cast("double").alias(c) if c == "montant" else F.col(c) for c in TYPED_COLS], *extra)
 
 
-def _land_rows(spark, sf, path, n, start=0, **kw) -> None:
-    shards = model.shard_count(n)
-    L.land_movements(spark, path, n, shards, index=dealt_index(spark, sf, n, shards, start), **kw)
+def _land_rows(spark, sf, path, n, start=0, lo=None, hi=None, **kw) -> None:
+    shards = shards_of(n)
+    L.land_movements(spark, path, n, shards, index=dealt_index(spark, sf, n, shards, start, lo, hi), **kw)
 
 
 def _land(spark, sf, name, **kw) -> str:
@@ -78,7 +78,7 @@ SPOIL_K = 97  # kinds 0 bad date, 1 bad number, 2 short row; the rest are clean
     "FROM k GROUP BY 1"))
 def quarantine(spark, sf):
     n = n_orders(spark, sf)
-    g = movements(dealt_index(spark, sf, n, model.shard_count(n)), seed=SEED, extra_draws=(D.C_SPOIL,))
+    g = movements(dealt_index(spark, sf, n, shards_of(n)), seed=SEED, extra_draws=(D.C_SPOIL,))
     kind = D.pick("h7", SPOIL_K)
     date = F.when(kind == 0, F.lit("2025-06-31")).otherwise(F.date_format("date_op", "yyyy-MM-dd"))
     amount = F.when(kind == 1, F.lit("x")).otherwise(F.col("montant").cast("string"))
@@ -172,7 +172,7 @@ def header_filter(spark, sf):
     n = n_orders(spark, sf)
     chunks, merged = scratch_path(spark, "chunks"), scratch_path(spark, "merged_text")
     # One CSV per chunk, each with its own header (the superseded chunked writer).
-    k, shards = chunk_rows(n), model.shard_count(n)
+    k, shards = ROWS_PER_CHUNK, shards_of(n)
     n_chunks = max(1, -(-n // k))
     L.write_csv(raw_columns(movements(dealt_index(spark, sf, n, n_chunks), seed=SEED)), chunks)
     lines = read_lines(spark, chunks)
@@ -257,8 +257,8 @@ def compact_parts(spark, sf):
     from pyspark.sql import Observation
     n = n_orders(spark, sf)
     parts, out = scratch_path(spark, "parts"), scratch_path(spark, "compacted")
-    shards = model.shard_count(n)
-    g = movements(dealt_index(spark, sf, n, max(1, -(-n // chunk_rows(n)))), seed=SEED).withColumn(
+    shards = shards_of(n)
+    g = movements(dealt_index(spark, sf, n, max(1, -(-n // ROWS_PER_CHUNK))), seed=SEED).withColumn(
         "shard", L.shard_of(F.col("mouvement_no") - 1, n, shards))
     g.select(*model.COLUMNS, "shard").write.partitionBy("shard").option("header", True).csv(parts)
     src = read_raw(spark, parts).withColumn("mouvement_no", parse_id("id_mouvement"))
@@ -342,7 +342,7 @@ def new_files_only(spark, sf):
 
 def _replace_first_file(spark, sf, n: int, folder: str) -> None:
     """The same shard of another draw, under the name of the folder's first file."""
-    other, shards = scratch_path(spark, "raw_other"), model.shard_count(n)
+    other = scratch_path(spark, "raw_other")
     _land_rows(spark, sf, other, n, seed=3)
     first = lambda path: next(x for x in small.names(spark, path) if x.startswith("part-00000"))
     small.move(spark, f"{other}/{first(other)}", f"{folder}/{first(folder)}")
@@ -361,7 +361,7 @@ def _replace_first_file(spark, sf, n: int, folder: str) -> None:
     f"+ CASE WHEN kind = 3 THEN count(DISTINCT shard) * {len('ref,jour,gamme,code,valeur,bureau,zone')} ELSE 0 END AS BIGINT) AS kept_chars FROM k GROUP BY kind"))
 def mixed_headers(spark, sf):
     n, root = n_orders(spark, sf), scratch_path(spark, "raw_mixed")
-    g = movements(dealt_index(spark, sf, n, model.shard_count(n)), seed=SEED)
+    g = movements(dealt_index(spark, sf, n, shards_of(n)), seed=SEED)
     kind = F.pmod(F.col("mouvement_no") - 1, F.lit(4))
     part = lambda k: raw_columns(g.filter(kind == k))
     L.write_csv(part(0), f"{root}/documented")
@@ -425,7 +425,7 @@ def listed_parts(spark, sf):
     "SELECT shard, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_descents FROM s GROUP BY shard"))
 def order_in_files(spark, sf):
     n, out = n_orders(spark, sf), scratch_path(spark, "ordered")
-    shards = model.shard_count(n)
+    shards = shards_of(n)
     g = mv(spark, sf).withColumn("shard", L.shard_of(F.col("mouvement_no") - 1, n, shards))
     merged = L.compact(g, "shard", shards, "mouvement_no")
     L.write_lines(merged.select(L.csv_line(merged, list(model.COLUMNS)).alias("value")), out)
@@ -495,15 +495,38 @@ def format_round_trip(spark, sf):
 
 @register("stream_landing", O.with_(O.orders_movements(), f"SELECT {_TYPED_SQL} FROM mv"))
 def stream_landing(spark, sf):
-    from ledgerlake.streaming.landing import ingest_available
+    from ledgerlake.streaming.landing import good_rows, ingest_available
     n = n_orders(spark, sf)
     raw, staging, ckpt = scratch_path(spark, "raw_stream"), scratch_path(spark, "staging"), scratch_path(spark, "ckpt")
     half = n // 2
-    _land_rows(spark, sf, raw, half, seed=SEED)
+    _land_rows(spark, sf, raw, half, seed=SEED, hi=half)
     ingest_available(spark, raw, staging, ckpt)
-    _land_rows(spark, sf, raw, n - half, seed=SEED, start=half, mode="append")
+    _land_rows(spark, sf, raw, n - half, seed=SEED, lo=half, mode="append")
     ingest_available(spark, raw, staging, ckpt)  # picks up only the second landing
-    return typed_out(spark.read.parquet(staging))
+    return typed_out(good_rows(spark, staging))
+
+
+# --- X4 R9: one row per id inside the stream ------------------------------------
+# The older landing is there first; the current one, which has priority, comes in parts and late.
+
+@register("stream_dedupe", O.with_(_two_landings_sql() + [
+    "u AS (SELECT *, 'current' AS landing, 1 AS prio FROM ma UNION ALL "
+    "SELECT * REPLACE (strip_accents(produit) AS produit, strip_accents(type_op) AS type_op), 'beam', 2 FROM mb)",
+    "r AS (SELECT *, row_number() OVER (PARTITION BY mouvement_no ORDER BY prio) AS rn FROM u)"],
+    "SELECT mouvement_no, id_mouvement, landing, date_op, produit, type_op, montant, agence_id, pays FROM r WHERE rn = 1"))
+def stream_dedupe(spark, sf):
+    from ledgerlake.streaming.dedupe import PRIORITY, current_rows, dedupe_available
+    n = n_orders(spark, sf)
+    raw, out, ckpt = scratch_path(spark, "raw_dedupe"), scratch_path(spark, "changes"), scratch_path(spark, "ckpt")
+    prio = F.when(F.col("source_file").contains("/current/"), 1).otherwise(2)
+    _land_rows(spark, sf, f"{raw}/beam", n, seed=2, labels="accented", start=n // 2)
+    dedupe_available(spark, raw, out, ckpt, prio)
+    for lo, hi in ((n // 3, None), (None, n // 3)):
+        _land_rows(spark, sf, f"{raw}/current/{lo or 0}", n // 3 if hi else n - n // 3, seed=1, lo=lo, hi=hi)
+        dedupe_available(spark, raw, out, ckpt, prio)
+    one = current_rows(spark, out)
+    return one.select("mouvement_no", "id_mouvement", F.when(F.col(PRIORITY) == 1, "current").otherwise("beam").alias("landing"), "date_op", "produit", "type_op",
+                      F.col("montant").cast("double").alias("montant"), "agence_id", "pays")
 
 
 # --- X1: a user's own row function through Arrow batches -------------------------
@@ -521,7 +544,7 @@ def user_row_function(spark, sf):
 @register("run_metrics")
 def run_metrics(spark, sf):
     from ledgerlake.plans.run import JobConfig, run_job
-    cfg = JobConfig(base=scratch_path(spark, "lake_run"), n_rows=n_orders(spark, sf), seed=SEED)
+    cfg = JobConfig(base=scratch_path(spark, "lake_run"), n_rows=n_orders(spark, sf), seed=SEED, rows_per_file=ROWS_PER_FILE)
     return run_job(spark, cfg, dealt_index(spark, sf, cfg.n_rows, cfg.shards))
 
 

@@ -7,9 +7,8 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake import model
 from ledgerlake.plans import oracle as O
-from ledgerlake.plans.catalogue import N_SQL, SEED, dealt_index, n_orders, orders, register
+from ledgerlake.plans.catalogue import N_SQL, ROWS_PER_FILE, SEED, dealt_index, n_orders, orders, register
 from ledgerlake.plans.files import _staged
 from ledgerlake.session import scratch_path
 from ledgerlake.sinks import versions as V
@@ -72,7 +71,7 @@ def run_resume(spark, sf):
     """Killed once when a stage's output is written and once when it is on record, and started again
     each time: every stage ran twice (not once per start), nothing is there twice."""
     from ledgerlake.plans.run import JobConfig, run_job
-    cfg = JobConfig(base=scratch_path(spark, "lake_resume"), n_rows=n_orders(spark, sf), seed=SEED, run_id="resumed")
+    cfg = JobConfig(base=scratch_path(spark, "lake_resume"), n_rows=n_orders(spark, sf), seed=SEED, run_id="resumed", rows_per_file=ROWS_PER_FILE)
     index = dealt_index(spark, sf, cfg.n_rows, cfg.shards)
     due = {(stage, moment) for stage in STAGES for moment in ("written", "committed")}
 

@@ -39,7 +39,8 @@ def _run_label() -> str:
 class JobConfig:
     base: str
     n_rows: int
-    n_shards: int | None = None  # default: model.shard_count(n_rows)
+    n_shards: int | None = None  # default: by rows_per_file
+    rows_per_file: int = model.ROWS_PER_SHARD
     seed: int = 42
     labels: str = "ascii"
     start_date: str = model.START_DATE
@@ -48,7 +49,7 @@ class JobConfig:
 
     @property
     def shards(self) -> int:
-        return self.n_shards or model.shard_count(self.n_rows)
+        return self.n_shards or model.shard_count(self.n_rows, self.rows_per_file)
 
     @property
     def paths(self) -> model.LakePaths:

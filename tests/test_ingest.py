@@ -159,7 +159,7 @@ def test_long_row_quarantined(spark, tmp_path):
 
 
 def test_quarantine_keeps_the_line_as_read(spark, tmp_path):
-    from ledgerlake.streaming.landing import ingest_available
+    from ledgerlake.streaming.landing import ingest_available, quarantined
     bad = [GOOD + ",8,9,10", GOOD + ",,9", "M0000001,2025-06-06,auto", "M0000001", "M0000001,2025-06-06,auto,cotisation", "M0000001,2025-06-06,auto,cotisation,1.0",
            'M0000001,"6 June, 2025","au""to",cotisation,1.0,AG_001,FR', '"M0000001",2025-06-06,"a,b",cotisation, x ,AG_001,FR', GOOD + ',"8, ""q""",9',
            "M0000001,2025-06-06,a\x01b,cotisation,x,AG_001,FR", "M0000001,2025-06-06,santé,cotisation,x,AG_001,FR"]
@@ -172,7 +172,7 @@ def test_quarantine_keeps_the_line_as_read(spark, tmp_path):
         assert [(r.mouvement_no, r.produit, r.pays, r.raw_line) for r in sorted((r for r in rows if r.reason == "ok"), key=lambda r: r.mouvement_no)] == [(1, "auto", "FR", None), (2, "auto", "FR", None)]
     staging = str(tmp_path / "staging")
     ingest_available(spark, d, staging, str(tmp_path / "ckpt"))
-    assert sorted(r.raw_line for r in spark.read.parquet(staging + "_quarantine").collect()) == sorted(bad)
+    assert sorted(r.raw_line for r in quarantined(spark, staging).collect()) == sorted(bad)
 
 
 def test_strict_date_parse(spark):

@@ -1,29 +1,40 @@
 """Incremental landing: the file stream reads only files it has not seen."""
 
+import random
+
+import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
+
+from ledgerlake import model
 
 from ledgerlake.operators.incremental import ingest_new, new_files, read_manifest, record_manifest
+from ledgerlake.plans.catalogue import dealt_index
 from ledgerlake.session import scratch_path
 from ledgerlake.sinks.layout import land_movements
+from ledgerlake.sources.generate import index_range, movements
 from ledgerlake.sources.raw import inventory
-from ledgerlake.streaming.landing import ingest_available
+from ledgerlake.streaming.dedupe import KeepBest, current_rows, dedupe_available
+from ledgerlake.streaming.landing import good_rows, ingest_available, quarantined
+from tests.conftest import plan_text
 
 
 def test_stream_picks_only_new_files(spark):
     raw, staging, ckpt = (scratch_path(spark, n) for n in ("s_raw", "s_stg", "s_ckpt"))
     land_movements(spark, raw, 1000, 4)
     ingest_available(spark, raw, staging, ckpt)
-    first = spark.read.parquet(staging)
+    first = good_rows(spark, staging)
     assert first.count() == 1000
     land_movements(spark, raw, 500, 2, start=1000, mode="append")
     ingest_available(spark, raw, staging, ckpt)
-    back = spark.read.parquet(staging)
+    back = good_rows(spark, staging)
     assert back.count() == 1500
     assert back.select("mouvement_no").distinct().count() == 1500
     assert back.select("epoch").distinct().count() == 2
     # nothing new: a third run adds nothing
     ingest_available(spark, raw, staging, ckpt)
-    assert spark.read.parquet(staging).count() == 1500
+    assert good_rows(spark, staging).count() == 1500
 
 
 def test_stream_quarantines_bad_rows(spark, tmp_path):
@@ -37,8 +48,8 @@ def test_stream_quarantines_bad_rows(spark, tmp_path):
     import shutil
     shutil.copy(d / "x.csv", raw.replace("file:", "") + "/x.csv")
     ingest_available(spark, raw, staging, ckpt)
-    assert spark.read.parquet(staging).count() == 100
-    assert spark.read.parquet(staging + "_quarantine").filter(F.col("reason") == "bad_date").count() == 1
+    assert good_rows(spark, staging).count() == 100
+    assert quarantined(spark, staging).filter(F.col("reason") == "bad_date").count() == 1
 
 
 def test_manifest_anti_join(spark):
@@ -54,7 +65,7 @@ def test_stream_dedupe_within_watermark(spark):
     land_movements(spark, raw, 300, 2, seed=1)
     land_movements(spark, raw, 300, 2, seed=2, start=150, mode="append")  # ids 151..300 landed twice
     ingest_available(spark, raw, staging, ckpt, dedupe_watermark="31 days")
-    back = spark.read.parquet(staging)
+    back = good_rows(spark, staging)
     assert back.count() == 450
     assert back.select("mouvement_no").distinct().count() == 450
 
@@ -76,5 +87,76 @@ def test_backlog_in_batches_of_bytes(spark, tmp_path):
     raw, out = str(tmp_path / "raw"), str(tmp_path / "out")
     land_movements(spark, raw, 400, 4)
     ingest_available(spark, raw, out, str(tmp_path / "ckpt"), max_bytes_per_trigger=1)
-    t = spark.read.parquet(out)
+    t = good_rows(spark, out)
     assert t.count() == 400 and t.select("epoch").distinct().count() == 4
+
+
+def test_a_batch_is_one_scan_and_good_rows_read_their_folders(spark, tmp_path):
+    raw, out = str(tmp_path / "raw"), str(tmp_path / "out")
+    land_movements(spark, raw, 100, 2)
+    (tmp_path / "raw" / "x.csv").write_text(",".join(model.COLUMNS) + "\nM1,2025-06-31,auto,cotisation,1,AG_001,FR\nM2,2025-06-01,auto,cotisation,1,AG_001," + "long" * 100 + "/..\n")
+    ingest_available(spark, raw, out, str(tmp_path / "ckpt"))
+    assert good_rows(spark, out).count() == 101 and [r.raw_line for r in quarantined(spark, out).collect()] == ["M1,2025-06-31,auto,cotisation,1,AG_001,FR"]
+    plan = plan_text(good_rows(spark, out, "FR"))
+    assert "PartitionFilters: [isnotnull(reason" in plan and "pays_folder" in plan.split("PartitionFilters")[1]
+    assert sum(good_rows(spark, out, c).count() for c in (*model.COUNTRIES, "long" * 100 + "/..")) == 101
+
+
+def _movements(*rows):
+    return pd.DataFrame(rows, columns=["priority", "mouvement_no", "produit"])
+
+
+class _State:
+    value = None
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+
+def test_best_rows_in_any_order_of_arrival():
+    """The processor alone: after any split of the rows into batches, the last change of every id is the batch answer."""
+    r = random.Random(8)
+    schema = T.StructType().add("priority", T.IntegerType()).add("mouvement_no", T.LongType()).add("produit", T.StringType())
+    rows = [(r.choice([1, 2, 3]), r.randrange(40), r.choice("abc")) for _ in range(300)]
+    for seed in range(5):
+        r.shuffle(rows)
+        keep = KeepBest(schema, None)
+        keep.arrow, keep.best = to_arrow_schema(schema), _State()
+        last, emitted = {}, 0
+        for at in range(0, 300, 37):
+            frames = [_movements(*rows[k:k + 10]) for k in range(at, min(at + 37, 300), 10)]
+            for out in keep.handleInputRows((0,), iter(frames), None):
+                for p, no, x, change in out.itertuples(index=False):
+                    assert (change == "corrected") == (no in last) and (no not in last or (p, no, x) < last[no])
+                    last[no], emitted = (p, no, x), emitted + 1
+        assert last == {no: min(x for x in rows if x[1] == no) for no in {x[1] for x in rows}} and emitted < 300
+
+
+def test_stream_dedupe_corrects_late_priorities_and_replays(spark, tmp_path):
+    raw, out, ckpt = str(tmp_path / "raw"), str(tmp_path / "out"), str(tmp_path / "ckpt")
+    prio = F.when(F.col("source_file").contains("/a/"), 1).otherwise(2)
+    land_movements(spark, f"{raw}/b", 300, 3, seed=2, start=150)
+    dedupe_available(spark, raw, out, ckpt, prio, max_files_per_trigger=1)
+    assert current_rows(spark, out).count() == 300
+    land_movements(spark, f"{raw}/a", 300, 2, seed=1)
+    land_movements(spark, f"{raw}/c", 300, 2, seed=2, start=150)  # the same rows again change nothing
+    dedupe_available(spark, raw, out, ckpt, prio, max_files_per_trigger=2)
+    got = current_rows(spark, out)
+    assert got.count() == 450 and got.filter("priority = 1").count() == 300
+    want = movements(index_range(spark, 300), seed=1).select("mouvement_no", "cents")
+    assert got.filter("priority = 1").join(want, "mouvement_no").filter("montant * 100 = cents").count() == 300
+    assert spark.read.parquet(out).groupBy("change").count().collect() and spark.read.parquet(out).filter("change = 'corrected'").count() == 150
+
+
+def test_sparse_keys_are_all_landed(spark, tmp_path):
+    spark.range(0, 200, 2).select(F.col("id").alias("o_orderkey")).write.parquet(str(tmp_path / "orders.parquet"))
+    index = dealt_index(spark, str(tmp_path), 100, 4)
+    assert index.count() == 100 and index.agg(F.max("i")).first()[0] == 198
+    halves = dealt_index(spark, str(tmp_path), 50, 2, hi=50).union(dealt_index(spark, str(tmp_path), 50, 2, lo=50))
+    assert sorted(r.i for r in halves.collect()) == list(range(0, 200, 2))
