@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake import model
 from ledgerlake.functions import draws as D
+from ledgerlake.operators.moments import exact_deviation
 
 # Literal maps: a lookup without any join. Size fixed by ``model``.
 def _bound_map(pos: int) -> Column:
@@ -91,23 +92,13 @@ def exact_stats(df: DataFrame, key: Column | str, cents: str = "cents", extra: t
     )
 
 
-def _mean_sd(stats: DataFrame) -> DataFrame:
-    n = F.col("n_rows").cast("double")
-    s1 = F.col("sum_cents").cast("double")
-    s2 = F.col("sum_sq_cents").cast("double")
-    return stats.withColumns({
-        "mean_cents": F.try_divide(s1, n),
-        "sd_cents": F.sqrt(F.try_divide(s2 - F.try_divide(s1 * s1, n), n - F.lit(1.0))),
-    })
-
-
 def stats_by_type(df: DataFrame) -> DataFrame:
     """Statistics per operation type (Q5), exact up to the final division.
 
     One aggregate: the distinct agency count rides along as Spark's
     single-distinct rewrite, still partially aggregated map-side.
     """
-    stats = _mean_sd(exact_stats(df, "type_op", extra=(F.countDistinct("agence_id").alias("n_agencies"),)))
+    stats = exact_deviation(exact_stats(df, "type_op", extra=(F.countDistinct("agence_id").alias("n_agencies"),)))
     return stats.select(
         F.col("grp").alias("type_op"), "n_rows", "min_cents", "max_cents",
         F.col("sum_cents").cast("bigint").alias("sum_cents"),
@@ -132,7 +123,7 @@ def anomalies_zscore(df: DataFrame, threshold: float = 3.0) -> DataFrame:
     the data), so broadcasting it is bounded; the fact side is never shuffled.
     """
     grp = rule_group(F.col("type_op"))
-    stats = _mean_sd(exact_stats(df.withColumn("__g", grp), "__g"))
+    stats = exact_deviation(exact_stats(df.withColumn("__g", grp), "__g"))
     joined = df.withColumn("grp", grp).join(F.broadcast(stats.select("grp", "mean_cents", "sd_cents")), "grp")
     z = F.try_divide(F.col("cents").cast("double") - F.col("mean_cents"), F.col("sd_cents"))
     return joined.withColumn("z", z).filter(F.abs(F.col("z")) > F.lit(threshold)).drop("grp", "mean_cents", "sd_cents")

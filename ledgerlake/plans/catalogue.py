@@ -258,8 +258,11 @@ def _sql_mean_sd(src: str, key: str) -> str:
             f"sum(cents) AS sum_cents, sum(CAST(cents AS HUGEINT) * cents) AS sum_sq_cents FROM {src} GROUP BY {key}")
 
 
-_SQL_SD = ("sqrt((CAST(sum_sq_cents AS DOUBLE) - (CAST(sum_cents AS DOUBLE) * CAST(sum_cents AS DOUBLE)) / CAST(n_rows AS DOUBLE))"
-           " / (CAST(n_rows AS DOUBLE) - 1.0))")
+# Squares around the integer quotient of sum and count, in integers; only their rounding is in doubles.
+_SQL_R = "(((sum_cents % n_rows) + n_rows) % n_rows)"
+_SQL_Q = f"((sum_cents - {_SQL_R}) // n_rows)"
+_SQL_SD = (f"sqrt((CAST(sum_sq_cents - 2 * {_SQL_Q} * sum_cents + n_rows * {_SQL_Q} * {_SQL_Q} AS DOUBLE) "
+           f"- CAST({_SQL_R} AS DOUBLE) * CAST({_SQL_R} AS DOUBLE) / CAST(n_rows AS DOUBLE)) / (CAST(n_rows AS DOUBLE) - 1.0))")
 _SQL_MEAN = "(CAST(sum_cents AS DOUBLE) / CAST(n_rows AS DOUBLE))"
 
 

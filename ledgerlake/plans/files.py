@@ -16,7 +16,7 @@ from ledgerlake.functions import draws as D
 from ledgerlake.functions.columns import has_replacement_char, parse_id
 from ledgerlake.operators import ingest as I
 from ledgerlake.operators import quality as Q
-from ledgerlake.operators.dedupe import keep_first, union_landings
+from ledgerlake.operators.dedupe import keep_first, keep_first_by_zones, union_landings
 from ledgerlake.operators.incremental import ingest_new
 from ledgerlake.plans import oracle as O
 from ledgerlake.plans.catalogue import (
@@ -241,8 +241,9 @@ def union_landings_dedupe(spark, sf):
     _land_rows(spark, sf, b, n, seed=2, labels="accented", start=n // 2)
     ra = with_source_file(read_raw(spark, a, shape=True, recursive=True)).withColumns({"landing": F.lit("current"), "prio": F.lit(1)})
     rb = with_source_file(read_raw(spark, b, shape=True, recursive=True)).withColumns({"landing": F.lit("beam"), "prio": F.lit(2)})
-    typed = I.type_movements(union_landings(ra, rb))
-    one = keep_first(typed.withColumn("bad", F.col("reason") != I.OK), "mouvement_no", ["bad", "prio", "landing"])
+    staged = scratch_path(spark, "staged_union")
+    I.type_movements(union_landings(ra, rb)).withColumn("bad", F.col("reason") != I.OK).write.parquet(staged)
+    one = keep_first_by_zones(spark.read.parquet(staged), "mouvement_no", ["bad", "prio", "landing"])
     return one.select("mouvement_no", "id_mouvement", "landing", "date_op", "produit", "type_op",
                       F.col("montant").cast("double").alias("montant"), "agence_id", "pays")
 
