@@ -255,22 +255,22 @@ def union_landings_dedupe(spark, sf):
     "SELECT shard, count(*) AS n_rows, CAST(sum(cents) AS BIGINT) AS sum_cents, min(mouvement_no) AS first_no, "
     "max(mouvement_no) AS last_no, CAST(1 AS BIGINT) AS n_files FROM s GROUP BY shard"))
 def compact_parts(spark, sf):
-    from pyspark.sql import Observation
     n = n_orders(spark, sf)
     parts, out = scratch_path(spark, "parts"), scratch_path(spark, "compacted")
     shards = shards_of(n)
     g = movements(dealt_index(spark, sf, n, max(1, -(-n // ROWS_PER_CHUNK))), seed=SEED).withColumn(
         "shard", L.shard_of(F.col("mouvement_no") - 1, n, shards))
     g.select(*model.COLUMNS, "shard").write.partitionBy("shard").option("header", True).csv(parts)
-    src = read_raw(spark, parts).withColumn("mouvement_no", parse_id("id_mouvement"))
-    obs_in, obs_out = Observation("parts_in"), Observation("compacted_out")
-    merged = L.compact(src.observe(obs_in, F.count("*").alias("n")), "shard", shards, "mouvement_no")
-    L.write_csv(merged.observe(obs_out, F.count("*").alias("n")).select(*model.COLUMNS), out)
-    if obs_in.get["n"] != obs_out.get["n"]:
-        raise RuntimeError(f"compaction lost rows: {obs_in.get['n']} in, {obs_out.get['n']} out")
-    back = with_source_file(read_raw(spark, out)).withColumn("shard", L.part_number(F.col("file_name")))
+    read = lambda paths: read_raw(spark, paths).withColumn("mouvement_no", parse_id("id_mouvement"))
+    write = lambda df: L.write_csv(df.select(*model.COLUMNS), out, mode="append")
+    listed = inventory(spark, parts, glob=CSV_FILES)
+    n_files = L.compact_files(listed, read, write, "mouvement_no", order=F.regexp_extract("path", r"/shard=(\d+)/", 1).cast("int"))
+    back = with_source_file(read_raw(spark, out))
+    n_out = back.select("file_name").distinct().count()
+    if n_out != n_files or read_raw(spark, parts).count() != back.count():
+        raise RuntimeError(f"compaction lost rows or files: {n_files} groups, {n_out} files")
     t = I.type_movements(back)
-    return t.groupBy("shard").agg(
+    return t.groupBy(L.shard_of(F.col("mouvement_no") - 1, n, shards).alias("shard")).agg(
         F.count("*").alias("n_rows"), F.sum("cents").alias("sum_cents"),
         F.min("mouvement_no").alias("first_no"), F.max("mouvement_no").alias("last_no"),
         F.count_distinct("file_name").alias("n_files"))

@@ -8,7 +8,6 @@ session names none (unit tests, a laptop).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -57,7 +56,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     d = sc.getCheckpointDir()
     if d:
         return d.rstrip("/")
-    local = tempfile.mkdtemp(prefix="ledgerlake-ckpt-")
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    local = tempfile.mkdtemp(prefix="ledgerlake-ckpt-")  # one machine: a laptop, the tests
     sc.setCheckpointDir(local)
     spark.conf.set("spark.checkpoint.dir", local)
     return local
@@ -65,10 +66,7 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused directory under the shared checkpoint root."""
-    root = checkpoint_root(spark)
-    if "://" not in root:
-        os.makedirs(f"{root}/ledgerlake", exist_ok=True)
-    return f"{root}/ledgerlake/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{checkpoint_root(spark)}/ledgerlake/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -9,6 +9,10 @@ contiguous id intervals and its plan has no Exchange.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
+from functools import reduce
+
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -99,6 +103,59 @@ def compact(df: DataFrame, shard_col: str, n_shards: int, order_col: str | None
     return out
 
 
+def neighbour_groups(files: Iterable[tuple[str, int]], target_bytes: int) -> Iterator[list[str]]:
+    """Paths of consecutive files of one folder, at most ``target_bytes`` together (a larger file is a group of its
+    own); ``files`` (path, length) come in the order that the rows are to be in."""
+    group: list[str] = []
+    size, folder = 0, None
+    for path, length in files:
+        here = path.rsplit("/", 1)[0]
+        if group and (here != folder or size + length > target_bytes):
+            yield group
+            group, size = [], 0
+        group.append(path)
+        size, folder = size + length, here
+    if group:
+        yield group
+
+
+def merged(groups: list[list[str]], read: Callable[[list[str]], DataFrame], order_col: str) -> DataFrame:
+    """The rows of each group in one task, in id order: files are read where they are wanted, nothing is shuffled."""
+    parts = [read(g).coalesce(1).sortWithinPartitions(order_col) for g in groups]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@contextmanager
+def _one_task_per_group(spark: SparkSession):
+    """Unions of one-task frames keep a task for each, instead of joining them to one."""
+    key = "spark.sql.unionOutputPartitioning"
+    old = spark.conf.get(key, "true")
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
+def compact_files(files: DataFrame, read: Callable[[list[str]], DataFrame], write: Callable[[DataFrame], None], order_col: str,
+                  target_bytes: int = 128 << 20, order: Column | str = "path", wave: int = 32) -> int:
+    """Consolidate neighbouring files (path, length) into files of at most ``target_bytes`` (K3) without an
+    exchange: groups come from the inventory alone, each is one task and one file. ``read`` reads a
+    list of paths, ``write`` appends rows; ``wave`` groups make one job, so the driver
+    holds that many paths and plans at a time. Returns the number of files written."""
+    n, waiting = 0, []
+    listed = ((r["path"], r["length"]) for r in files.orderBy(order, "path").select("path", "length").toLocalIterator())
+    with _one_task_per_group(files.sparkSession):
+        for group in neighbour_groups(listed, target_bytes):
+            waiting.append(group)
+            if len(waiting) == wave:
+                write(merged(waiting, read, order_col))
+                n, waiting = n + len(waiting), []
+        if waiting:
+            write(merged(waiting, read, order_col))
+    return n + len(waiting)
+
+
 def publish_partitioned(df: DataFrame, path: str, partition_cols: list[str], fmt: str = "parquet",
                         dynamic: bool = True, sort_col: str | None = None,
                         num_tasks: int | None = None, observation=None) -> None:
@@ -126,9 +183,6 @@ def publish_partitioned(df: DataFrame, path: str, partition_cols: list[str], fmt
         .save(path))
 
 
-SUPPORTED_FORMATS = ("csv", "parquet", "orc", "json", "text")
-
-
 def table_format(spark: SparkSession, preferred: str = "delta") -> str:
     """Format of the final table zone (K6): ``preferred`` when its data source
     is on the classpath, else partitioned Parquet."""
@@ -144,14 +198,14 @@ def table_format(spark: SparkSession, preferred: str = "delta") -> str:
 
 def write_format(df: DataFrame, path: str, fmt: str, compression: str | None = None) -> None:
     """Several output formats (K8) with optional compression (K9)."""
-    if fmt not in SUPPORTED_FORMATS:
-        raise ValueError(
-            f"format {fmt!r} is not available in this runtime; supported: {', '.join(SUPPORTED_FORMATS)}"
-            " (Avro and Delta need their external modules on the classpath)"
-        )
     w = df.write.mode("errorifexists").format(fmt)
     if fmt == "csv":
         w = w.option("header", True)
     if compression:
         w = w.option("compression", compression)
-    w.save(path)
+    try:
+        w.save(path)
+    except (AnalysisException, Py4JJavaError) as e:
+        if "DATA_SOURCE_NOT_FOUND" not in str(e) and "Failed to find" not in str(e):
+            raise
+        raise ValueError(f"format {fmt!r} needs a module that is not on this session's classpath") from e

@@ -117,3 +117,28 @@ def test_listing_select_parts_and_lines(spark):
 def test_table_format_falls_back(spark):
     assert L.table_format(spark) in ("delta", "parquet")
     assert L.table_format(spark, "no_such_format_xyz") == "parquet"
+
+
+def test_neighbours_are_merged_without_a_shuffle(spark):
+    from ledgerlake.functions.columns import parse_id
+    from ledgerlake.sources.raw import CSV_FILES, inventory
+    assert list(L.neighbour_groups([("a/1", 5), ("a/2", 5), ("a/3", 1), ("a/4", 99), ("b/1", 1), ("b/2", 1)], 10)) == [["a/1", "a/2"], ["a/3"], ["a/4"], ["b/1", "b/2"]]
+    parts, out = scratch_path(spark, "parts"), scratch_path(spark, "merged")
+    L.land_movements(spark, parts, 3000, 30)
+    read = lambda paths: read_raw(spark, paths).withColumn("no", parse_id("id_mouvement"))
+    plans = []
+
+    def write(df):
+        plans.append(plan_text(df))
+        L.write_csv(df.drop("no"), out, mode="append")
+
+    files = inventory(spark, parts, glob=CSV_FILES)
+    bound = 4 * max(r.length for r in files.collect())
+    n = L.compact_files(files, read, write, "no", target_bytes=bound, wave=3)
+    made = inventory(spark, out, glob=CSV_FILES).collect()
+    assert len(made) == n == 8 and max(r.length for r in made) <= bound and len(plans) == 3 and not any("Exchange" in p for p in plans)
+    back = with_source_file(read(out))
+    assert back.count() == 3000 and back.groupBy("file_name").agg((F.max("no") - F.min("no") + 1).alias("w"), F.count("*").alias("n")).filter("w <> n").count() == 0
+    lines = [int(r.value[1:8]) for r in spark.read.text(made[0].path).collect()[1:]]
+    assert lines == sorted(lines)
+    assert L.compact_files(files.limit(0), read, write, "no") == 0
