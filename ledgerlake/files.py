@@ -73,3 +73,8 @@ def move(spark: SparkSession, path: str, to: str) -> None:
     fs.delete(target, False)
     if not fs.rename(p, target):
         raise OSError(f"cannot move {path} to {to}")
+
+
+def length(spark: SparkSession, path: str) -> int:
+    fs, p = _at(spark, path)
+    return fs.getFileStatus(p).getLen()

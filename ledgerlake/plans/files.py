@@ -306,6 +306,25 @@ def zone_inventory(spark, sf):
     return inv.groupBy(zone.alias("zone")).agg(F.count("*").alias("n_files"), F.sum("length").alias("n_bytes"))
 
 
+# --- P16 P17 K2 K4: files with the documented names -----------------------------
+# Landed twice under the same names; what is there is the second landing.
+
+@register("named_shards", O.with_(O.orders_movements() + [
+    f"s AS (SELECT *, ((mouvement_no * {S_SQL} - 1) // {N_SQL}) AS shard FROM mv)"],
+    f"""SELECT printf('mouvements-%05d-of-%05d.csv', shard, {S_SQL}) AS file_name, count(*) AS n_rows, CAST(sum(cents) AS BIGINT) AS sum_cents, min(mouvement_no) AS min_no, max(mouvement_no) AS max_no,
+       CAST(sum(strlen(concat_ws(',', {_RAW_SQL.replace(' AS date_op', '').replace(' AS montant', '')})) + 1) + {_HEADER_BYTES} AS BIGINT) AS n_bytes FROM s GROUP BY shard"""))
+def named_shards(spark, sf):
+    from ledgerlake.sinks.named import land_named
+    n, path = n_orders(spark, sf), scratch_path(spark, "raw_named")
+    shards = shards_of(n)
+    for seed in (1, SEED):
+        land_named(raw_columns(movements(dealt_index(spark, sf, n, shards), seed=seed)), path, shards)
+    sizes = inventory(spark, path, glob=CSV_FILES).select(F.element_at(F.split("path", "/"), -1).alias("_name"), F.col("length").alias("n_bytes"))
+    rows = I.type_movements(with_source_file(read_raw(spark, path, shape=True, glob=CSV_FILES)))
+    got = rows.groupBy("file_name").agg(F.count("*").alias("n_rows"), F.sum("cents").alias("sum_cents"), F.min("mouvement_no").alias("min_no"), F.max("mouvement_no").alias("max_no"))
+    return got.join(sizes, F.col("file_name") == F.col("_name"), "full").drop("_name")
+
+
 # --- R8: only files not yet ingested ------------------------------------------
 
 _RUN_SQL = (f"CAST({S_SQL} AS BIGINT) AS n_new_files, count(*) AS n_rows, CAST(sum(cents) AS BIGINT) AS sum_cents, "

@@ -142,3 +142,22 @@ def test_neighbours_are_merged_without_a_shuffle(spark):
     lines = [int(r.value[1:8]) for r in spark.read.text(made[0].path).collect()[1:]]
     assert lines == sorted(lines)
     assert L.compact_files(files.limit(0), read, write, "no") == 0
+
+
+def test_named_files_are_there_whole_or_not_at_all(spark):
+    import json
+    from ledgerlake import files
+    from ledgerlake.sinks.named import RECORD, land_named
+    path = scratch_path(spark, "named")
+    rows = movements(index_range(spark, 1000, 4)).select("id_mouvement", "pays")
+    assert land_named(rows, path, 4) == [f"mouvements-{k:05d}-of-00004.csv" for k in range(4)]
+    before = files.names(spark, path)
+    assert json.loads(files.read_text(spark, f"{path}/{RECORD}")).keys() == {n for n in before if n != RECORD}
+    dies = rows.withColumn("pays", F.when(F.col("id_mouvement") == "M0000900", F.raise_error(F.lit("lost"))).otherwise("XX").cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        land_named(dies, path, 4)
+    assert files.names(spark, path) == before and spark.read.option("header", True).csv(path).filter("pays = 'XX'").count() == 0
+    with pytest.raises(ValueError, match="more tasks"):
+        land_named(rows, path, 3)
+    assert land_named(rows, path, 4, beam=True, compression="gzip") == [f"mouvements-{k:02d}-of-04.csv.gz" for k in range(4)]
+    assert spark.read.option("header", True).option("pathGlobFilter", "*.gz").csv(path).count() == 1000
