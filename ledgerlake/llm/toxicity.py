@@ -82,19 +82,20 @@ def copy_key(text: str) -> int:
 
 
 def reader(weights: dict[str, float]):
-    """A function from a raw word to (plain, seed, undone, mixed, second person, learned weight), remembered for frequent words."""
+    """A function from a raw word to (plain, seed, undone, mixed, second person, learned weight), or
+    None for a word that tells nothing; remembered for frequent words."""
+    begins = {f[:STARTS[0]] for f in weights}
 
     @lru_cache(maxsize=1 << 17)
     def read(raw: str):
         w = plain(raw)
-        seed, undone, mixed = w in INSULTS, False, False
-        known = forms(raw)
-        if w and not w.isalpha():
-            mixed = any(c.isalpha() for c in w)
-            u = undo(raw)
-            undone = u in INSULTS or u in weights
-        weight = max((weights[f] for f in known if f in weights), default=0.0)
-        return w, seed, undone, mixed, w in SECOND, weight
+        if w.isalpha() or not w:  # most words: neither obfuscated nor known
+            seed, second = w in INSULTS, w in SECOND
+            weight = max((weights[f] for f in forms(raw) if f in weights), default=0.0) if w[:STARTS[0]] in begins else 0.0
+            return (w, seed, False, False, second, weight) if seed or second or weight else None
+        u = undo(raw)
+        weight = max((weights[f] for f in forms(raw) if f in weights), default=0.0)
+        return w, w in INSULTS, u in INSULTS or u in weights, any(c.isalpha() for c in w), w in SECOND, weight
 
     return read
 
@@ -107,8 +108,10 @@ def features(text: str, read) -> tuple[float, ...]:
     seeds = undones = mixes = learned = 0
     best: dict[str, float] = {}
     hits, second = [], set()
-    for k, r in enumerate(raw):
-        w, seed, undone, mixed, you, weight = read(r)
+    for k, told in enumerate(map(read, raw)):
+        if told is None:
+            continue
+        w, seed, undone, mixed, you, weight = told
         seeds += seed
         undones += undone
         mixes += mixed
@@ -121,11 +124,11 @@ def features(text: str, read) -> tuple[float, ...]:
             second.add(k)
     near = sum(any(k + d in second for d in range(-5, 6)) for k in hits) if second else 0
     m = max(len(text), 1)
-    letters = sum(map(str.isalpha, text)) if m < 4000 else len(re.findall(r"[^\W\d_]", text))
+    letters = len(re.sub(r"[\W\d_]+", "", text))
     upper = len(re.findall(r"[A-ZÀ-ÖØ-Þ]", text))
     return (float(seeds), float(sum(nlargest(10, best.values()))), float(max(best.values(), default=0.0)), float(len(best)), seeds * per, learned * per, float(undones), float(near),
-            upper / max(letters, 1), sum(map(str.isupper, raw)) * per, text.count("!") / m, len(re.findall(r"[.,;:?]", text)) / m,
-            len(re.findall(r"[@#$%&*|<>~^]", text)) / m, mixes * per, len(re.findall(r"(.)\1\1", text)) / m, math.log1p(n))
+            upper / max(letters, 1), sum(map(str.isupper, raw)) * per, text.count("!") / m, sum(map(text.count, ".,;:?")) / m,
+            sum(map(text.count, "@#$%&*|<>~^")) / m, mixes * per, len(re.findall(r"(.)\1\1", text)) / m, math.log1p(n))
 
 
 def featured(docs: DataFrame, weights: list[dict[str, float]], keep: tuple[str, ...] = ("doc_id",), part: str | None = None) -> DataFrame:
