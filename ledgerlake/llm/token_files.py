@@ -25,7 +25,9 @@ and reads as no rows. Ids must be integers, and a file's ids must span less than
 
 from __future__ import annotations
 
+import re
 import struct
+import unicodedata
 import zlib
 
 import numpy as np
@@ -41,8 +43,8 @@ from ledgerlake.session import scratch_path
 
 MAGIC, HEAD, LENGTHS = b"EFTOKEN1", struct.Struct("<BBBxIIqQ"), struct.Struct("<7Q")
 BLOCK, SUPER, END = 1 << 21, 64, 2
-#: Chunks of text whose ids a worker remembers; the memo starts anew when it is full.
-MEMO = 400_000
+#: Pieces of text whose ids a worker remembers; the memo starts anew when it is full.
+MEMO = 300_000
 
 
 class Monotone:
@@ -151,36 +153,94 @@ def body(doc_ids: list[int | None], counts: list[int], tokens: bytes, width: int
     return b"".join([head, LENGTHS.pack(*map(len, sections)), *sections])
 
 
+def _plain_classes() -> tuple[str, str]:
+    """Letters and numbers among the characters that ``PLAIN`` allows, as bodies of a pattern's class."""
+    of = lambda kind: "".join(re.escape(chr(c)) for c in range(0x180) if unicodedata.category(chr(c))[0] == kind)
+    return of("L"), of("N")
+
+
+#: Texts of Latin letters and signs that normalisation leaves as they are but for case; no special strings.
+PLAIN = re.compile(r"(?:[\x00-;=-\x84\x86-\x9f\xa1-\u012f\u0131-\u017f]++|<(?!\|))*+\Z")
+_LETTERS, _NUMBERS = _plain_classes()
+#: Fixed pattern: how the tokenizer's file cuts text into pieces (over ``PLAIN`` characters).
+PIECE = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^\x20\x09-\x0d{_LETTERS}{_NUMBERS}]+")
+#: Fixed values of byte-level vocabularies: a printable byte is its own character, the others are 256 and up.
+_SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_CHARS = {b: chr(b) for b in _SHOWN} | {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in _SHOWN)}
+
+
 class Encoder:
-    """The tokenizers library, asked once per distinct piece of text between ASCII white space.
+    """The tokenizers library, asked once per distinct piece of text.
 
-    The tokenizer's pieces never hold white space, and neither its normalisation nor its
-    special strings reach across it, so a text's ids are its pieces' ids in a row; for other
-    tokenizers (``spaced=False``) whole texts are encoded."""
+    A plain text is cut into pieces as the tokenizer's file says, and most pieces were seen before. New
+    ones are encoded many at a time by the library's model, as one spaced text whose ids fall apart again at
+    the tokens that end a word. A text with other characters is taken by its chunks between ASCII white
+    space, which neither normalisation nor special strings reach across: chunks that are not plain go
+    to the whole library as they are. For other tokenizers (``spaced=False``) whole texts do."""
 
     def __init__(self, path: str, spaced: bool = True):
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_file(path)
-        self.library.no_truncation()
-        self.library.no_padding()
-        self.width = 2 if self.library.get_vocab_size() <= 1 << 16 else 4
-        self.spaced, self.memo = spaced, {}
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+        self.library, self.model = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        for t in (self.library, self.model):
+            t.no_truncation()
+            t.no_padding()
+        # The model alone: pieces come normalised, in byte characters, one per word.
+        self.model.normalizer, self.model.pre_tokenizer = normalizers.Sequence([]), pre_tokenizers.WhitespaceSplit()
+        size = self.library.get_vocab_size()
+        self.width = 2 if size <= 1 << 16 else 4
+        self.spaced = spaced
+        self.pieces: dict[str, bytes] = {}
+        self.odd: dict[str, bytes] = {}
+        self.ends = np.zeros(size, dtype=bool)
+        for token, k in self.library.get_vocab(with_added_tokens=False).items():
+            self.ends[k] = token.endswith("</w>")
+
+    def _pack(self, ids) -> bytes:
+        return np.array(ids, dtype=f"<u{self.width}").tobytes()
 
     def _ask(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype=f"<u{self.width}").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        out = []
+        for k in range(0, len(texts), 256):  # few of the library's result objects at a time
+            out += [self._pack(e.ids) for e in self.library.encode_batch_fast(texts[k:k + 256], add_special_tokens=False)]
+        return out
+
+    def _learn(self, new: list[str]) -> None:
+        for k in range(0, len(new), 2000):
+            some = new[k:k + 2000]
+            spaced = " ".join(p if p.isascii() and p.isprintable() else p.encode().decode("latin-1").translate(BYTE_CHARS) for p in some)
+            ids = np.array(self.model.encode_batch_fast([spaced], add_special_tokens=False)[0].ids, dtype=f"<u{self.width}")
+            raw, at = ids.tobytes(), [0, *((np.flatnonzero(self.ends[ids]) + 1) * self.width).tolist()]
+            self.pieces.update((p, raw[a:z]) for p, a, z in zip(some, at[:-1], at[1:], strict=True))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Packed ids of each text (null: none)."""
         if not self.spaced:
             return self._ask([t or "" for t in texts])
-        memo = self.memo
-        if len(memo) > MEMO:
-            memo.clear()
-        pieces = [t.encode().split() if t else [] for t in texts]
-        new = list(set().union(*pieces).difference(memo))
-        memo.update(zip(new, self._ask([p.decode() for p in new]), strict=True))
-        return [b"".join(map(memo.__getitem__, p)) for p in pieces]
+        if len(self.pieces) > MEMO:
+            self.pieces.clear()
+        if len(self.odd) > MEMO // 4:
+            self.odd.clear()
+        new: set[str] = set()
+        odd: set[str] = set()
+        mixed: set[int] = set()
+        cut: list[list] = []  # of a plain text its pieces; of another its chunks, each a list of pieces or a string
+        for t in texts:
+            if not t:
+                cut.append([])
+            elif PLAIN.match(t):
+                cut.append(PIECE.findall(t.lower()))
+                new.update(cut[-1])
+            else:
+                cut.append([PIECE.findall(c.lower()) if PLAIN.match(c) else c for c in (x.decode() for x in t.encode().split())])
+                mixed.add(len(cut) - 1)
+                new.update(*[x for x in cut[-1] if isinstance(x, list)])
+                odd.update(x for x in cut[-1] if isinstance(x, str))
+        self._learn(list(new.difference(self.pieces)))
+        strange = list(odd.difference(self.odd))
+        self.odd.update(zip(strange, self._ask(strange), strict=True))
+        get = self.pieces.__getitem__
+        return [b"".join(b"".join(map(get, x)) if isinstance(x, list) else self.odd[x] for x in c) if k in mixed else b"".join(map(get, c)) for k, c in enumerate(cut)]
 
 
 def default_path() -> str:
@@ -205,7 +265,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str | None = N
         def block():
             return pa.RecordBatch.from_pylist([{"part": part, "rel_start": start, "rel_doc": first, "n_docs": len(ids), "n_ids": size, "body": body(ids, counts, b"".join(held), encoder.width)}], schema=schema)
 
-        for b in slices(frames, 500):
+        for b in slices(frames, 250):
             for d, packed in zip(b.column("doc_id").to_pylist(), encoder.encode(b.column("text").to_pylist()), strict=True):
                 n = len(packed) // encoder.width + 1
                 if ids and size + n > block_ids:

@@ -34,6 +34,8 @@ def test_encoder_equals_the_library_on_whole_texts():
     alphabet = " \t\n\r\x0b\x0c\x1c\x1f\x85\xa0 　'stdlrevm aZΣσİßéÑé̀ﬁ日本🙂<|endoftext|>1२½.,!"
     texts = ["".join(r.choice(alphabet) for _ in range(r.randint(0, 40))) for _ in range(3000)]
     texts += ["a <|endoftext|> b<|startoftext|>c", "<|endof text|>", "don't WE'LL 's ''s !'s x'stuff", " ́a e ́", "", None, "x" * 3000, "ΑΣ ΑΣ. Σ"]
+    texts += ["".join(r.choice("abcXYZ'éÉèßñÑŸſĳŒœ²½0٣.,!?<|>-_ªº\xad\x1c ") for _ in range(r.randint(0, 30))) for _ in range(5000)]
+    texts += [" ".join(chr(c) + "a" + chr(c) + "'s" + chr(c) for c in range(1, 0x250)), " ".join(chr(c) for c in range(1, 0x3000) if chr(c).strip())]
     library = Tokenizer.from_file(T.default_path())
     want = [e.ids for e in library.encode_batch([t or "" for t in texts], add_special_tokens=False)]
     encoder = T.Encoder(T.default_path())
