@@ -40,14 +40,16 @@ def events_of(conversations: DataFrame) -> DataFrame:
 
 
 def reconstruct(events: DataFrame) -> DataFrame:
-    """conv_id, seq, message, role, text: final messages."""
+    """conv_id, message, seq, role, text: final messages. All events of a message, whole ones too, are
+    sorted by sequence and folded: what was streamed becomes one message, a whole one stands for itself."""
     e = events.select("conv_id", "seq", "message", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("kind", F.lit("delta")).alias("kind"), F.coalesce("text", F.lit("")).alias("text"))
-    whole = e.filter("kind = 'message'").select("conv_id", "seq", "message", "role", "text")
-    logs = (e.filter("kind <> 'message'").groupBy("conv_id", "message")
-            .agg(F.sort_array(F.collect_list(F.struct("seq", "role", "text", "kind"))).alias("log")))
-    fold = F.aggregate("log", F.lit(""), lambda text, x: F.when(x["kind"].isin("edit", "regenerate"), x["text"]).otherwise(F.concat(text, x["text"])))
-    folded = logs.select("conv_id", F.col("log")[0]["seq"].alias("seq"), "message", F.col("log")[0]["role"].alias("role"), fold.alias("text"))
-    return whole.unionByName(folded)
+    logs = e.groupBy("conv_id", "message").agg(F.sort_array(F.collect_list(F.struct("seq", "role", "text", "kind"))).alias("log"))
+    message = lambda seq, role, text: F.struct(seq.alias("seq"), role.alias("role"), text.alias("text"))
+    whole = F.transform(F.filter("log", lambda x: x["kind"] == "message"), lambda x: message(x["seq"], x["role"], x["text"]))
+    parts = F.filter("log", lambda x: x["kind"] != "message")
+    fold = F.aggregate(parts, F.lit(""), lambda text, x: F.when(x["kind"].isin("edit", "regenerate"), x["text"]).otherwise(F.concat(text, x["text"])))
+    streamed = F.transform(F.slice(parts, 1, 1), lambda first: message(first["seq"], first["role"], fold))
+    return logs.select("conv_id", "message", F.inline(F.concat(whole, streamed)))
 
 
 def render(messages: DataFrame) -> DataFrame:
