@@ -155,8 +155,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, bucket: int = BUCKE
     fps = written(fingerprints(docs, shingle), "fingerprints")
     distinct = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
     label = components(links(distinct.select("fp"), bucket))
-    named = distinct.join(label, F.col("fp") == F.col("node"), "left").withColumn("label", F.coalesce("label", "fp"))
-    least = named.groupBy("label").agg(F.min("least").alias("component_id"))
+    named = written(distinct.join(label, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("label", "fp").alias("label")), "simhash-labels")
+    # Both written: the join then has the rows of a large group to itself and can split them.
+    least = written(named.groupBy("label").agg(F.min("least").alias("component_id")), "simhash-least")
     named = named.select("fp", "label").join(least, "label").select("fp", "component_id")
     return fps.join(named, "fp").select("doc_id", "fp", "component_id")
 
