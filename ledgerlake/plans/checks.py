@@ -12,7 +12,7 @@ from ledgerlake.operators import quality as Q
 from ledgerlake.operators import robust as R
 from ledgerlake.operators.runs import id_rules, id_runs
 from ledgerlake.plans import oracle as O
-from ledgerlake.plans.catalogue import N_SQL, SEED, UNKNOWN_LABEL, _in, mv, n_orders, orders, planted, register, _planted_sql, _SQL_MEAN, _SQL_SD
+from ledgerlake.plans.catalogue import N_SQL, UNKNOWN_LABEL, _in, mv, n_orders, orders, register, _SQL_MEAN, _SQL_SD
 from ledgerlake.session import scratch_path
 from ledgerlake.sources.generate import movements
 

@@ -23,7 +23,6 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from ledgerlake import model
 from ledgerlake.operators.ingest import OK
 from ledgerlake.streaming.landing import bounded, raw_stream
 
