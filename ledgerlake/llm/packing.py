@@ -10,7 +10,7 @@ their class and so find their sequence without any search.
 
 Only the histogram (at most ``size / unit`` rows) and the patterns reach the
 driver; both are bounded whatever the data. Ranks come from per-shard row numbers
-plus prefix counts, so a length that a third of all documents share is split.
+plus prefix counts, so a length that a third of all documents share is split; shards grow with the rows.
 
 Null text is an empty document (only the end id). Repeated rows are packed each;
 extra columns are ignored; an empty table gives no rows.
@@ -30,7 +30,7 @@ from ledgerlake.llm import bpe
 from ledgerlake.llm.common import batches, written
 from ledgerlake.llm.token_counts import _arrow
 
-SIZE, UNIT, SHARDS = 1024, 8, 256
+SIZE, UNIT, SHARDS, PER_SHARD = 1024, 8, 256, 20_000
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str | None = None, size: int = SIZE, end_id: int = 0) -> DataFrame:
@@ -145,12 +145,15 @@ def segments(patterns: list[tuple[dict[int, int], int]]) -> list[tuple[int, int,
     return out
 
 
-def assign_sequences(pieces: DataFrame, size: int = SIZE, unit: int = UNIT, shards: int = SHARDS) -> DataFrame:
+def assign_sequences(pieces: DataFrame, size: int = SIZE, unit: int = UNIT, per_shard: int = PER_SHARD) -> DataFrame:
     """``pieces(doc_id, start, length, ...)`` with sequence_id and offset added.
-    ``pieces`` must be a written table: it is read for the histogram and again for the ranks."""
+    ``pieces`` must be a written table: it is read for the histogram and again for the ranks. Rows are
+    dealt to shards by their place in its files (not by their values, which may all be the same), at most about
+    ``per_shard`` to each, and to ``SHARDS`` of them at least."""
     spark = pieces.sparkSession
-    p = (pieces.withColumn("_cls", F.ceil(F.col("length") / unit).cast("int"))
-         .withColumn("_shard", F.pmod(F.xxhash64("doc_id", "start", "length"), F.lit(shards)).cast("int")))
+    shards = max(SHARDS, -(-pieces.count() // per_shard))
+    place = F.xxhash64("_metadata.file_path", "_metadata.row_index")
+    p = pieces.select("*", F.ceil(F.col("length") / unit).cast("int").alias("_cls"), F.pmod(place, F.lit(shards)).cast("int").alias("_shard"))
     per_shard = p.groupBy("_cls", "_shard").agg(F.count("*").alias("_n"))
     demand = {r["_cls"]: r["n"] for r in per_shard.groupBy("_cls").agg(F.sum("_n").alias("n")).collect()}
     table = segments(solve(demand, size // unit))
@@ -159,7 +162,7 @@ def assign_sequences(pieces: DataFrame, size: int = SIZE, unit: int = UNIT, shar
     ties = [c for c in pieces.columns if c not in ("doc_id", "start")]
     in_shard = Window.partitionBy("_cls", "_shard").orderBy("doc_id", "start", *ties)
     ranked = (p.withColumn("_row", F.row_number().over(in_shard) - 1)
-              .join(F.broadcast(before), (F.col("_cls") == F.col("_k")) & (F.col("_shard") == F.col("_s")))
+              .join(before, (F.col("_cls") == F.col("_k")) & (F.col("_shard") == F.col("_s")))
               .withColumn("_rank", F.col("_row") + F.col("_before")))
     placed = ranked.join(seg, (F.col("_cls") == F.col("_c")) & (F.col("_rank") >= F.col("_lo")) & (F.col("_rank") < F.col("_hi")))
     placed = placed.withColumn("sequence_id", F.col("_base") + F.floor((F.col("_rank") - F.col("_lo")) / F.col("_copies")))
