@@ -43,6 +43,7 @@ def ordered_scan(df: DataFrame, key: str, sums: dict[str, str] | None = None, gr
     out = rows.join(F.broadcast(before), F.col("_part") == F.col("_p"), "left")
     new = {n: (F.coalesce(F.sum(c).over(run), F.lit(0)) + F.col(f"_before_{n}")).cast("bigint") for n, c in sums.items()}
     new |= {n: F.greatest(F.max(c).over(run), F.col(f"_before_{n}")) for n, c in greatest.items()}
-    if following:
-        new[following] = F.coalesce(F.min(key).over(Window.partitionBy("_part").orderBy(key).rangeBetween(1, Window.unboundedFollowing)), F.col("_next"))
+    if following:  # from the greatest key down, so that the frame grows: one that shrinks is computed anew for every row
+        above = Window.partitionBy("_part").orderBy(F.desc(key)).rangeBetween(Window.unboundedPreceding, -1)
+        new[following] = F.coalesce(F.min(key).over(above), F.col("_next"))
     return out.withColumns(new).select(*df.columns, *new)

@@ -59,6 +59,13 @@ def test_ordered_scan_over_many_tasks(spark):
     assert len(got) == 900
 
 
+def test_next_keys_come_from_frames_that_grow(spark):
+    df = spark.range(100).select(F.col("id").alias("at"), F.lit(1).alias("step"))
+    scanned = ordered_scan(df, "at", sums={"n": "step"}, following="next")
+    assert "unboundedfollowing" not in plan_text(scanned).lower()  # such a frame is computed anew for every row
+    assert sorted(map(tuple, scanned.collect())) == [(k, 1, k + 1, k + 1 if k < 99 else None) for k in range(100)]
+
+
 def test_only_files_that_can_repeat_an_id_are_shuffled(spark):
     path = scratch_path(spark, "zones")
     ids = [*range(0, 4000), *range(3500, 3600), 17, None, None]  # ranges of 1000; the last file holds repeats of two of them
