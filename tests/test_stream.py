@@ -1,8 +1,12 @@
 """Incremental landing: the file stream reads only files it has not seen."""
 
+import os
 import random
+import subprocess
+import sys
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -15,7 +19,7 @@ from ledgerlake.session import scratch_path
 from ledgerlake.sinks.layout import land_movements
 from ledgerlake.sources.generate import index_range, movements
 from ledgerlake.sources.raw import inventory
-from ledgerlake.streaming.dedupe import KeepBest, current_rows, dedupe_available
+from ledgerlake.streaming.dedupe import PROVIDER, KeepBest, current_rows, dedupe_available
 from ledgerlake.streaming.landing import good_rows, ingest_available, quarantined
 from tests.conftest import plan_text
 
@@ -154,6 +158,25 @@ def test_stream_dedupe_corrects_late_priorities_and_replays(spark, tmp_path):
     assert spark.read.parquet(out).groupBy("change").count().collect() and spark.read.parquet(out).filter("change = 'corrected'").count() == 150
 
 
+def test_stream_dedupe_in_a_session_of_spark_defaults(spark, tmp_path):
+    raw, out, old = str(tmp_path / "raw"), str(tmp_path / "out"), spark.conf.get(PROVIDER)
+    land_movements(spark, f"{raw}/b", 100, 1, seed=2)
+    spark.conf.unset(PROVIDER)
+    default = spark.conf.get(PROVIDER)
+    try:
+        dedupe_available(spark, raw, out, str(tmp_path / "ckpt"), F.lit(1))
+        assert current_rows(spark, out).count() == 100 and spark.conf.get(PROVIDER) == default
+    finally:
+        spark.conf.set(PROVIDER, old)
+
+
+def test_the_state_processor_needs_no_module_of_ours(tmp_path):
+    schema = T.StructType().add("priority", T.IntegerType()).add("mouvement_no", T.LongType())
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    code = "import pickle, sys; k = pickle.load(sys.stdin.buffer); assert 'ledgerlake' not in sys.modules and k.ttl_ms == 5"
+    subprocess.run([sys.executable, "-c", code], input=cloudpickle.dumps(KeepBest(schema, 5)), cwd=tmp_path, env=env, check=True)
+
+
 def test_sparse_keys_are_all_landed(spark, tmp_path):
     spark.range(0, 200, 2).select(F.col("id").alias("o_orderkey")).write.parquet(str(tmp_path / "orders.parquet"))
     index = dealt_index(spark, str(tmp_path), 100, 4)
