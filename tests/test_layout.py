@@ -144,6 +144,21 @@ def test_neighbours_are_merged_without_a_shuffle(spark):
     assert L.compact_files(files.limit(0), read, write, "no") == 0
 
 
+def test_a_file_is_replaced_without_landing_the_others(spark, tmp_path, monkeypatch):
+    from ledgerlake.plans import files as P
+    landed, land = [], P._land_rows
+    monkeypatch.setattr(P, "_land_rows", lambda spark, sf, path, n, **kw: (landed.append(n), land(spark, sf, path, n, **kw)))
+    for n, keys in ((5000, range(0, 5000)), (900, range(0, 1800, 2))):
+        sf, folder = tmp_path / f"t{n}", str(tmp_path / f"f{n}")
+        spark.createDataFrame([(k,) for k in keys], "o_orderkey long").write.parquet(str(sf / "orders.parquet"))
+        land(spark, str(sf), folder, n, seed=1)
+        land(spark, str(sf), folder + "w", n, seed=3)
+        P._replace_first_file(spark, str(sf), n, folder)
+        first = lambda path: next(path.glob("part-00000*.csv")).read_text()
+        assert first(tmp_path / f"f{n}") == first(tmp_path / f"f{n}w")
+    assert landed == [1666, 900]
+
+
 def test_named_files_are_there_whole_or_not_at_all(spark):
     import json
     from ledgerlake import files
