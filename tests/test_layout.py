@@ -144,6 +144,18 @@ def test_neighbours_are_merged_without_a_shuffle(spark):
     assert L.compact_files(files.limit(0), read, write, "no") == 0
 
 
+def test_a_task_writes_the_files_of_many_shards(spark, tmp_path):
+    from ledgerlake.plans.catalogue import dealt_index
+    spark.range(100).select(F.col("id").alias("o_orderkey")).repartition(3).write.parquet(str(tmp_path / "orders.parquet"))
+    index = dealt_index(spark, str(tmp_path), 100, 10, per_task=4)
+    assert [sorted(r.i for r in p) for p in index.rdd.glom().collect()] == [[*range(40)], [*range(40, 80)], [*range(80, 100)]]
+    L.write_csv(index.withColumn("shard", F.floor(F.col("i") / 10)).sortWithinPartitions("shard", "i"), str(tmp_path / "out"), by="shard", file_rows=6)
+    got = {}
+    for f in sorted((tmp_path / "out").glob("shard=*/*.csv")):
+        got.setdefault(int(f.parent.name[6:]), []).append([int(x) for x in f.read_text().split()[1:]])
+    assert got == {s: [[*range(10 * s, 10 * s + 6)], [*range(10 * s + 6, 10 * s + 10)]] for s in range(10)}
+
+
 def test_a_file_is_replaced_without_landing_the_others(spark, tmp_path, monkeypatch):
     from ledgerlake.plans import files as P
     landed, land = [], P._land_rows
