@@ -144,6 +144,23 @@ def test_neighbours_are_merged_without_a_shuffle(spark):
     assert L.compact_files(files.limit(0), read, write, "no") == 0
 
 
+def test_a_wave_of_groups_is_read_and_listed_once(spark, tmp_path):
+    from ledgerlake.sources.raw import CSV_FILES, inventory
+    parts, out, reads = str(tmp_path / "pa rts%20"), str(tmp_path / "out"), []
+    L.land_movements(spark, parts, 600, 6)
+
+    def read(paths):
+        reads.append(paths)
+        return read_raw(spark, paths)
+
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    files = inventory(spark, parts, glob=CSV_FILES)
+    n = L.compact_files(files, read, lambda df: L.write_csv(df, out, mode="append"), "id_mouvement", target_bytes=2 * max(r.length for r in files.collect()), wave=2)
+    assert n == 3 and [len(r) for r in reads] == [4, 2] and spark.conf.get("spark.sql.adaptive.enabled") == adaptive
+    assert sorted(map(tuple, read_raw(spark, out).collect())) == sorted(map(tuple, read_raw(spark, parts).collect()))
+    assert inventory(spark, out, glob=CSV_FILES).count() == 3
+
+
 def test_a_task_writes_the_files_of_many_shards(spark, tmp_path):
     from ledgerlake.plans.catalogue import dealt_index
     spark.range(100).select(F.col("id").alias("o_orderkey")).repartition(3).write.parquet(str(tmp_path / "orders.parquet"))
