@@ -5,6 +5,8 @@ from __future__ import annotations
 import numpy as np
 
 _POP = np.array([bin(b).count("1") for b in range(256)], dtype=np.uint8)
+#: Values encoded at a time; a multiple of 8, so that parts end on whole bytes.
+PART = 1 << 16
 #: Place of the n-th one in a byte (8 if there is none).
 _SELECT = np.array([[([k for k in range(8) if b >> k & 1] + [8] * 8)[n] for n in range(8)] for b in range(256)], dtype=np.uint8)
 
@@ -25,8 +27,9 @@ class EliasFano:
         n = len(v)
         top = int(v[-1]) if n else 0
         low_bits = max(0, int(np.log2(max(top + 1, 1) / n))) if n else 0
-        bits = (v[:, None] >> np.arange(low_bits, dtype=np.uint64) & np.uint64(1)).astype(np.uint8) if low_bits else np.empty((n, 0), dtype=np.uint8)
-        low = np.concatenate([np.packbits(bits.ravel(), bitorder="little"), np.zeros(9, dtype=np.uint8)])
+        places = np.arange(low_bits, dtype=np.uint64)
+        packed = [np.packbits((v[a:a + PART, None] >> places & np.uint64(1)).astype(np.uint8).ravel(), bitorder="little") for a in range(0, n, PART)]
+        low = np.concatenate([*packed, np.zeros(9, dtype=np.uint8)])
         high_values = (v >> np.uint64(low_bits)).astype(np.int64)
         unary = np.zeros((int(high_values[-1]) if n else 0) + n + 1, dtype=np.uint8)
         unary[high_values + np.arange(n)] = 1

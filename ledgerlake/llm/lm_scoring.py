@@ -1,24 +1,29 @@
 """Language-model scoring with a sharded Elias-Fano n-gram trie.
 
-The model is an interpolated bigram model with absolute discounting over words and
-one end token per text; a text's first token follows an end token:
+The model is an interpolated n-gram model of any ``order`` with absolute discounting over
+words and one end token per text; a text's first tokens follow end tokens:
 
-    p(w | v) = max(c(v w) - D, 0) / c(v) + D T(v) / c(v) * p(w),
+    p(w | u v) = max(c(u v w) - D, 0) / c(u v .) + D T(u v) / c(u v .) * p(w | v), and so on down to
     p(w) = (c(w) + 0.1) / (N + 0.1 (V + 1)),
 
-with all unknown words sharing one place of p. It sees one word of context and has no
-order parameter. The trie is one level of successors under a table of words, whose
-probabilities are not quantised. It is cut into shards, words by hash and successors by their
-context, each a set of flat buffers: a monotone (Elias-Fano) sequence of pointers
-from contexts to successor ranges, a monotone sequence of successors, each shifted by
-the base of its context, and quantised logarithms of the smoothed probabilities. A
-bigram is looked up by the successor search of (base of its context + its word).
-
-Nothing of the model is broadcast or gathered in one place, and executors share no
-local files: documents are tokenised in blocks of bounded size, each block asks every
-shard once for its distinct words and bigrams, and the shards' answers return to the
-block. So what moves is the distinct n-grams of the blocks, and a word or bigram that
-makes up a third of the corpus is one entry per block.
+with all unknown words sharing one place of p; a context not seen in training, or with an
+unknown word, leaves the probability to the next shorter one. ``op3`` takes order 3.
+
+The trie has one level per order: words, their successors, the successors of these. It is
+cut into shards by first word (and by successor below a frequent context), each a file of
+flat buffers that the task which looks n-grams up maps and reads in place. A level is a
+monotone (Elias-Fano) sequence of pointers from the nodes above to successor ranges, a
+monotone sequence of successors, each shifted by the base of its node, and quantised
+logarithms of probabilities (words' too) and of the rests left to the shorter context. An
+n-gram is looked up from the root, level by level, by the successor search of (base of its
+context's node + its word). The file is the task's own: executors share no local files.
+
+Nothing of the model is broadcast or gathered in one place: documents are tokenised in
+blocks of bounded size, each block asks every shard once for its distinct words and
+n-grams, and the shards' answers return to the block. So what moves is the distinct n-grams
+of the blocks, and one that makes up a third of the corpus is one entry per block. Shards
+grow with the training tokens; a context whose rarest word is frequent lies in as many more
+pieces, whose shares and rests the block weighs by their tokens.
 
 Null text is empty text (only the end token). Repeated rows are counted and scored
 each; extra columns are ignored; with no training text every probability comes from
@@ -27,6 +32,8 @@ the unknown place; an empty table gives no rows.
 
 from __future__ import annotations
 
+import tempfile
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -45,6 +52,8 @@ ALPHA = 0.1
 #: Quantisation: codes of -log10(p) in steps of 1 / SCALE; 0 is "absent".
 SCALE, ABSENT = 4096.0, 0
 PART = 1 << 20
+#: Training tokens a trie's shard is meant for, and of a context beyond which it is split.
+TRIE_TOKENS, WORD_SPLIT = 2_000_000, 4_000_000
 
 
 def deflate(a: np.ndarray) -> bytes:
@@ -139,90 +148,205 @@ def word_level(asked: DataFrame, shards: int) -> DataFrame:
     return asked.groupBy("shard").applyInPandas(merge, "block string, shard int, ids binary, totals binary, n_words long, n_tokens long")
 
 
+def mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ x >> np.uint64(31)) * np.uint64(0x9E3779B97F4A7C15)
+    return x ^ x >> np.uint64(29)
+
+
 class Block:
-    """A block's documents with the word level's answers."""
+    """A block's documents with the word level's answers: its distinct n-grams of known contexts, level
+    by level, and the nodes of the shards' tries it asks for.
+
+    An n-gram lies in the shard of its first word, unless a context on its way may be frequent: one whose
+    rarest word has over ``split`` training tokens has that many more pieces, by its successor, each in a
+    shard of its own. A block asks every piece of its contexts."""
 
-    def __init__(self, rows: pd.DataFrame, answers: pd.DataFrame):
+    def __init__(self, rows: pd.DataFrame, answers: pd.DataFrame, order: int, shards: int, split: int):
         row = rows.iloc[0]
         answers = answers.sort_values("shard")
         self.ids, self.held, self.lengths = list(row["doc_ids"]), np.asarray(row["held"], dtype=bool), np.asarray(row["lengths"], dtype=np.int64)
         place = inflate(row["order"])
-        self.word = np.concatenate([inflate(b) for b in answers["ids"]])[place]
+        ids = np.concatenate([inflate(b) for b in answers["ids"]])[place]
         self.total = np.concatenate([inflate(b) for b in answers["totals"]])[place]
         self.tokens = inflate(row["tokens"])
         self.first = np.cumsum(self.lengths) - self.lengths
-        end = self.tokens[-1]
-        self.prior = np.concatenate([[end], self.tokens[:-1]])  # every text ends in the end token
-
-    def pairs(self, shards: int):
-        """Distinct bigrams of known contexts in (shard, context, word) order, with the place of each
-        token's bigram among them (-1: none) and the training counts."""
-        v, w = self.word[self.prior], self.word[self.tokens]
-        known = v > 0  # unknown words ask as word 0, for the context's rest
-        code = self.prior[known] * len(self.word) + self.tokens[known]
-        distinct, back = np.unique(code, return_inverse=True)
-        counts = np.bincount(back, weights=~np.repeat(self.held, self.lengths)[known], minlength=len(distinct)).astype(np.int64)
-        v, w = self.word[distinct // len(self.word)], self.word[distinct % len(self.word)]
-        order = np.lexsort((w, v, v % shards))
-        place = np.empty(len(order), dtype=np.int64)
-        place[order] = np.arange(len(order))
-        at = np.full(len(self.tokens), -1, dtype=np.int64)
-        at[known] = place[back]
-        return v[order], w[order], counts[order], at, (distinct % len(self.word))[order]
-
-
-def ask_pairs(blocks: DataFrame, answers: DataFrame, shards: int) -> DataFrame:
-    """Per block and shard: its distinct bigrams of known contexts and their training counts."""
+        self.id, number = np.unique(np.append(0, ids), return_inverse=True)  # the block's words by their ids; 0: all unknown ones
+        number = number[1:]
+        self.count = np.zeros(len(self.id), dtype=np.int64)
+        self.count[number] = self.total
+        self.count[0] = 0
+        # every text follows order - 1 end tokens
+        texts = np.arange(len(self.lengths))
+        self.real = np.arange(len(self.tokens)) + np.repeat((texts + 1) * (order - 1), self.lengths)
+        self.word = np.full(len(self.tokens) + len(texts) * (order - 1), number[self.tokens[-1]], dtype=np.int32)
+        self.word[self.real] = number[self.tokens]
+        self._grams(order)
+        self._nodes(shards, split)
+
+    def _grams(self, order: int):
+        """Per level: place of each token's n-gram among the distinct ones (-1: none), and of these, in
+        order of their ids, the context's place, the last word and the training count."""
+        width = len(self.id)
+        train = np.zeros(len(self.word), dtype=bool)
+        train[self.real] = np.repeat(~self.held, self.lengths)
+        inside = np.arange(len(self.word)) - np.repeat(self.first + np.arange(len(self.lengths)) * (order - 1), self.lengths + order - 1)
+        self.gram, self.context, self.last, self.seen = [self.word], [None], [np.arange(width)], [self.count]
+        for k in range(1, order):
+            at = np.flatnonzero(inside >= k)
+            at = at[(self.gram[-1][at - 1] >= 0) & (self.word[at - 1] > 0)]
+            code = self.gram[-1][at - 1].astype(np.int64) * width + self.word[at]
+            distinct, back = np.unique(code, return_inverse=True)
+            gram = np.full(len(self.word), -1, dtype=np.int32)
+            gram[at] = back
+            self.gram.append(gram)
+            self.context.append(distinct // width)
+            self.last.append(distinct % width)
+            self.seen.append(np.bincount(back[train[at]], minlength=len(distinct)))
+
+    def _nodes(self, shards: int, split: int):
+        """Per level, sorted, the asked nodes as shard * n-grams + n-gram, and each one's place among the contexts asked."""
+        order = len(self.gram)
+        key, rarest = [mix(self.id.astype(np.uint64))], [self.count]
+        for k in range(1, order):
+            up, last = self.context[k], self.last[k]
+            own, pieces = key[-1][up], 1 + rarest[-1][up] // split
+            hot = np.flatnonzero(pieces > 1)
+            own[hot] = mix(own[hot] + (1 + self.id[last[hot]] % pieces[hot]).astype(np.uint64))
+            key.append(own)
+            rarest.append(np.minimum(rarest[-1][up], self.count[last]))
+        self.shard = [(k % np.uint64(shards)).astype(np.int64) for k in key]
+        self.nodes, self.parent, above = [None] * order, [None] * order, np.empty(0, dtype=np.int64)
+        for k in reversed(range(order)):
+            n = len(self.last[k])
+            asked = [above, (self.shard[k] * n + np.arange(n))[int(k == 0):]]  # of the words all but the unknown
+            if k < order - 1:
+                pieces = 1 + rarest[k] // split
+                hot = np.flatnonzero(pieces > 1)
+                each = np.repeat(hot, pieces[hot])
+                piece = np.arange(len(each)) - np.repeat(np.cumsum(pieces[hot]) - pieces[hot], pieces[hot])
+                asked.append((mix(key[k][each] + (1 + piece).astype(np.uint64)) % np.uint64(shards)).astype(np.int64) * n + each)
+            self.nodes[k] = np.unique(np.concatenate(asked))
+            if k < order - 1:
+                self.parent[k + 1] = np.searchsorted(self.nodes[k], above)
+            if k:
+                above = self.nodes[k] // n * len(self.last[k - 1]) + self.context[k][self.nodes[k] % n]
+
+    def shared(self, k: int) -> np.ndarray:
+        """Whether the n-gram of a node of level ``k`` has nodes in other shards too."""
+        gram = self.nodes[k] % len(self.last[k])
+        return np.bincount(gram, minlength=len(self.last[k]))[gram] > 1
+
+    def asks(self, shards: int):
+        """Per shard and level, words, training counts and children of the asked nodes, and the places of shared ones."""
+        levels, edges = [], []
+        for k, nodes in enumerate(self.nodes):
+            shard, gram = np.divmod(nodes, len(self.last[k]))
+            counts = np.where(self.shard[k][gram] == shard, self.seen[k][gram], 0) if k else self.count[gram]
+            inner = k < len(self.nodes) - 1
+            levels.append((self.id[self.last[k][gram]], counts, np.bincount(self.parent[k + 1], minlength=len(nodes)) if inner else None, self.shared(k) if inner else None))
+            edges.append(np.searchsorted(shard, np.arange(shards + 1)))
+        for s in np.flatnonzero(np.diff(edges[0])):
+            own = [[None if a is None else a[e[s]:e[s + 1]] for a in level] for level, e in zip(levels, edges, strict=True)]
+            yield (int(s), [deflate(o[0]) for o in own], [deflate(o[1]) for o in own], [deflate(o[2]) for o in own[:-1]], [deflate(np.flatnonzero(o[3])) for o in own[:-1]])
+
+    def probabilities(self, levels: pd.DataFrame, unknown: float) -> np.ndarray:
+        """The model's probability of every token, from the shards' answers."""
+        levels = levels.sort_values("shard")
+        get = lambda column, k: np.concatenate([np.empty(0, dtype=np.int64), *(inflate(b[k]) for b in levels[column])])
+        n = len(self.id)
+        p = np.full(n, restore(quantise(np.array([unknown])))[0])
+        p[self.nodes[0] % n] = restore(get("share", 0))
+        p = p[self.word[self.real]]
+        for k in range(1, len(self.nodes)):
+            shared, n = self.shared(k - 1), len(self.last[k - 1])
+            context, weight, rest = self.nodes[k - 1] % n, np.ones(len(shared)), restore(get("rest", k - 1))
+            total = get("total", k - 1).astype(float)
+            whole = np.bincount(context[shared], weights=total, minlength=n)
+            weight[shared] = total / np.maximum(whole[context[shared]], 1)
+            rest = np.bincount(context, weights=weight * rest, minlength=n)
+            m = len(self.last[k])
+            shard, gram = np.divmod(self.nodes[k], m)
+            own = np.flatnonzero(self.shard[k][gram] == shard)
+            share = np.zeros(m)
+            share[gram[own]] = restore(get("share", k)[own]) * weight[self.parent[k][own]]
+            at = np.flatnonzero(self.gram[k][self.real] >= 0)
+            gram = self.gram[k][self.real[at]]
+            rest = rest[self.context[k]][gram]
+            at, gram, rest = at[rest > 0], gram[rest > 0], rest[rest > 0]  # other contexts have no successor in training
+            p[at] = share[gram] + rest * p[at]
+        return p
+
+
+def ask_grams(blocks: DataFrame, answers: DataFrame, order: int, shards: int, word_split: int) -> DataFrame:
+    """Per block and shard: the nodes of the shard's trie that the block asks for, level by level."""
 
     def ask(key, rows: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
-        v, w, counts, _, _ = Block(rows, got).pairs(shards)
-        out = []
-        shard = v % shards
-        edge = np.searchsorted(shard, np.arange(shards + 1))
-        for s in np.flatnonzero(np.diff(edge)):
-            part = slice(edge[s], edge[s + 1])
-            context, times = np.unique(v[part], return_counts=True)
-            out.append((key[0], int(s), deflate(context), deflate(times), deflate(w[part]), deflate(counts[part])))
-        return pd.DataFrame(out, columns=["block", "shard", "context", "times", "word", "counts"])
-
-    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(ask, "block string, shard int, context binary, times binary, word binary, counts binary")
-
-
-class Successors:
-    """The trie's second level for the contexts of one shard."""
-
-    def __init__(self, v: np.ndarray, w: np.ndarray, c: np.ndarray, discount: float):
-        seen = c > 0
-        v, w, c = v[seen], w[seen], c[seen]
-        self.contexts, first, types = np.unique(v, return_index=True, return_counts=True)
-        self.pointers = EliasFano.encode(np.append(first, len(v)))
-        self.span = int(w.max()) + 1 if len(w) else 1
-        index = np.repeat(np.arange(len(self.contexts)), types)
-        self.successors = EliasFano.encode(index * self.span + w)
-        total = np.add.reduceat(c, first) if len(c) else np.empty(0)
-        self.share = quantise((c - discount) / np.repeat(total, types))
-        self.rest = quantise(discount * types / total)
-
-    def context(self, v: np.ndarray) -> np.ndarray:
-        """Places of contexts, -1 where nothing followed one in training."""
-        if not len(self.contexts):
-            return np.full(len(v), -1)
-        k = np.searchsorted(self.contexts, v).clip(max=len(self.contexts) - 1)
-        return np.where(self.contexts[k] == v, k, -1)
-
-    def lookup(self, k: np.ndarray, w: np.ndarray) -> np.ndarray:
-        """Quantised discounted share of word ``w`` after the context at place ``k``, or ABSENT."""
-        out = np.full(len(k), ABSENT, dtype=np.int64)
-        for a in range(0, len(k), PART):
-            own = np.flatnonzero((k[a:a + PART] >= 0) & (w[a:a + PART] < self.span)) + a
-            if not len(own):
-                continue
-            key = k[own] * self.span + w[own]
-            at = self.successors.successor(key)
-            inside = at < self.pointers.access(k[own] + 1)
+        out = [(key[0], *a) for a in Block(rows, got, order, shards, word_split).asks(shards)]
+        return pd.DataFrame(out, columns=["block", "shard", "words", "counts", "times", "shared"])
+
+    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(
+        ask, "block string, shard int, words array<binary>, counts array<binary>, times array<binary>, shared array<binary>")
+
+
+def mapped(path: str, arrays: list[np.ndarray]) -> list[np.ndarray]:
+    """The arrays, written to one file and mapped."""
+    with open(path, "wb") as f:
+        for a in arrays:
+            f.write(np.ascontiguousarray(a).data if len(a) else b"")
+        f.write(b"\0")
+    flat, at, out = np.memmap(path, dtype=np.uint8, mode="r"), 0, []
+    for a in arrays:
+        out.append(flat[at:at + a.nbytes].view(a.dtype))
+        at += a.nbytes
+    return out
+
+
+class Trie:
+    """The n-grams of one shard. Per level, in a file that is mapped: pointers from the nodes above to
+    their ranges, the successors of these, each shifted by the base of its node, and quantised
+    logarithms of the nodes' shares and of the rests of those above."""
+
+    def __init__(self, folder: str, asked: list[tuple[np.ndarray, np.ndarray, np.ndarray]], discount: float, unigram):
+        """``asked``: per level, sorted and distinct, places of the nodes above, words and training counts."""
+        keep = [c > 0 for _, _, c in asked]
+        for k in range(len(asked) - 1, 0, -1):  # ways to a seen node are kept
+            keep[k - 1] = keep[k - 1] | (np.bincount(asked[k][0][keep[k]], minlength=len(keep[k - 1])) > 0)
+        self.span = max(int(w.max()) + 1 if len(w) else 1 for _, w, _ in asked)
+        self.successors, self.pointers, self.share, self.rest, self.total = [], [], [], [], []
+        nodes = 1  # the root
+        for k, (up, word, count) in enumerate(asked):
+            place = np.cumsum(keep[k - 1]) - 1 if k else np.zeros(1, dtype=np.int64)
+            up, word, count = place[up[keep[k]]], word[keep[k]], count[keep[k]]
+            total, types = np.bincount(up, weights=count, minlength=nodes), np.bincount(up[count > 0], minlength=nodes)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                share = quantise(unigram(count) if not k else (count - discount) / total[up])
+                rest = np.where(total > 0, quantise(np.nan_to_num(discount * types / total)), ABSENT).astype(np.uint16)
+            share[count == 0] = ABSENT
+            self._level(f"{folder}/{k + 1}", EliasFano.encode(np.searchsorted(up, np.arange(nodes + 1))), EliasFano.encode(up * self.span + word), share, rest, total)
+            nodes = len(word)
+
+    def _level(self, path: str, pointers: EliasFano, successors: EliasFano, share: np.ndarray, rest: np.ndarray, total: np.ndarray):
+        flat = [np.frombuffer(b, dtype=np.uint8) for e in (pointers, successors) for b in e.buffers()]
+        a, b, c, d, share, rest, total = mapped(path, [*flat, share, rest, total])
+        self.pointers.append(EliasFano(pointers.n, pointers.low_bits, a, b))
+        self.successors.append(EliasFano(successors.n, successors.low_bits, c, d))
+        self.share.append(share)
+        self.rest.append(rest)
+        self.total.append(total)
+
+    def find(self, k: int, up: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """Places in level ``k`` of words below the nodes at places ``up`` of the level above (-1: none)."""
+        out = np.full(len(up), -1, dtype=np.int64)
+        if not self.successors[k].n:
+            return out
+        for a in range(0, len(up), PART):
+            own = np.flatnonzero(up[a:a + PART] >= 0) + a
+            key = up[own] * self.span + word[own]
+            at = self.successors[k].successor(key)
+            inside = at < self.pointers[k].access(up[own] + 1)
             own, key, at = own[inside], key[inside], at[inside]
-            hit = self.successors.access(at) == key
-            out[own[hit]] = self.share[at[hit]]
+            hit = self.successors[k].access(at) == key
+            out[own[hit]] = at[hit]
         return out
 
 
@@ -235,30 +359,55 @@ def restore(code: np.ndarray) -> np.ndarray:
     return np.where(code == ABSENT, 0.0, 10.0 ** (-(code - 1.0) / SCALE))
 
 
-def successor_level(asked: DataFrame, discount: float) -> DataFrame:
-    """Per block and shard: codes of the asked bigrams and of their contexts' rests."""
+def successor_level(asked: DataFrame, order: int, discount: float, n_words: int, n_tokens: int) -> DataFrame:
+    """Per block and shard, level by level: codes of the asked nodes' shares and rests, and the training
+    tokens below shared ones."""
+
+    def taken(values: np.ndarray, at: np.ndarray) -> np.ndarray:
+        return np.where(at >= 0, values[at.clip(0)], 0) if len(values) else np.zeros(len(at), dtype=np.int64)
 
     def merge(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        context, times, word, counts = ([inflate(b) for b in pdf[c]] for c in ("context", "times", "word", "counts"))
-        v = np.concatenate([np.repeat(a, n) for a, n in zip(context, times, strict=True)])
-        w, c = np.concatenate(word), np.concatenate(counts)
-        order = np.lexsort((w, v))
-        v, w, c = v[order], w[order], c[order]
-        new = np.flatnonzero(np.append(True, (v[1:] != v[:-1]) | (w[1:] != w[:-1])))
-        trie = Successors(v[new], w[new], np.add.reduceat(c, new), discount)
+        levels, backs, sizes = [], [], []
+        for k in range(order):
+            words = [inflate(w[k]) for w in pdf["words"]]
+            sizes.append(np.cumsum([0, *map(len, words)]))
+            words = np.concatenate(words)
+            counts = np.concatenate([inflate(c[k]) for c in pdf["counts"]])
+            span = int(words.max()) + 1 if len(words) else 1
+            code = np.repeat(backs[-1].astype(np.int64), np.concatenate([inflate(t[k - 1]) for t in pdf["times"]])) * span + words if k else words
+            distinct, back = np.unique(code, return_inverse=True)
+            if k:
+                count = np.bincount(back, weights=counts, minlength=len(distinct)).astype(np.int64)
+            else:  # every block knows the words' counts
+                count = np.zeros(len(distinct), dtype=np.int64)
+                count[back] = counts
+            levels.append((distinct // span if k else np.zeros(len(distinct), dtype=np.int64), distinct % span, count))
+            backs.append(back.astype(np.int32))
+            del words, counts, code
+        with tempfile.TemporaryDirectory(prefix="lm-trie-") as folder:
+            trie = Trie(folder, levels, discount, lambda c: (c + ALPHA) / (n_tokens + ALPHA * (n_words + 1)))
+            share, rest, total, at = [], [], [], np.zeros(1, dtype=np.int64)
+            for k, (up, word, _) in enumerate(levels):
+                at = trie.find(k, at[up], word)
+                share.append(taken(trie.share[k], at))
+                if k < order - 1:
+                    rest.append(taken(trie.rest[k + 1], at))
+                    total.append(taken(trie.total[k + 1], at).astype(np.int64))
         out = []
-        for block, a, n, b in zip(pdf["block"], context, times, word, strict=True):
-            k = trie.context(a)
-            rest = np.where(k >= 0, trie.rest[k.clip(0)] if len(trie.rest) else 0, ABSENT)
-            out.append((block, int(key[0]), deflate(trie.lookup(np.repeat(k, n), b)), deflate(np.repeat(rest, n))))
-        return pd.DataFrame(out, columns=["block", "shard", "share", "rest"])
+        for i, (block, shared) in enumerate(zip(pdf["block"], pdf["shared"], strict=True)):
+            own = [back[size[i]:size[i + 1]] for back, size in zip(backs, sizes, strict=True)]
+            out.append((block, int(key[0]), [deflate(a[b]) for a, b in zip(share, own, strict=True)], [deflate(a[b]) for a, b in zip(rest, own, strict=False)],
+                        [deflate(a[b[inflate(s)]]) for a, b, s in zip(total, own, shared, strict=False)]))
+        return pd.DataFrame(out, columns=["block", "shard", "share", "rest", "total"])
 
-    return asked.groupBy("shard").applyInPandas(merge, "block string, shard int, share binary, rest binary")
+    return asked.groupBy("shard").applyInPandas(merge, "block string, shard int, share array<binary>, rest array<binary>, total array<binary>")
 
 
-def score(docs: DataFrame, held_out, block_tokens: int = BLOCK_TOKENS, discount: float = DISCOUNT, shards: int | None = None) -> DataFrame:
+def score(docs: DataFrame, held_out, block_tokens: int = BLOCK_TOKENS, discount: float = DISCOUNT, shards: int | None = None, order: int = 2, word_split: int = WORD_SPLIT) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row of
     ``docs``; rows where the condition ``held_out`` is true are not learned from."""
+    if order < 1:
+        raise ValueError("order must be at least 1")
     shards = shards or max(8, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     rows = written(tokenised(docs.select("doc_id", held_out.alias("held"), "text"), shards, block_tokens), "lm-blocks")
     blocks = rows.filter("shard is null").select("block", "doc_ids", "held", "lengths", "tokens", "order")
@@ -266,24 +415,17 @@ def score(docs: DataFrame, held_out, block_tokens: int = BLOCK_TOKENS, discount:
     words = written(word_level(asked, shards), "lm-words")
     stats = words.filter("block is null").agg(F.sum("n_words"), F.sum("n_tokens")).first()
     n_words, n_tokens = int(stats[0] or 0), int(stats[1] or 0)
+    tries = max(shards, -(-n_tokens // TRIE_TOKENS))
     answers = words.filter("block is not null").select("block", "shard", "ids", "totals")
-    pairs = successor_level(ask_pairs(blocks, answers, shards), discount)
-    both = answers.select("block", "shard", "ids", "totals", F.lit(None).cast("binary").alias("share"), F.lit(None).cast("binary").alias("rest")).unionByName(
-        pairs.select("block", "shard", F.lit(None).cast("binary").alias("ids"), F.lit(None).cast("binary").alias("totals"), "share", "rest"))
+    levels = successor_level(ask_grams(blocks, answers, order, tries, word_split), order, discount, n_words, n_tokens)
+    both = answers.unionByName(levels, allowMissingColumns=True)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def finish(key, rows: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
-        block = Block(rows, got[got["ids"].notna()])
-        levels = got[got["share"].notna()].sort_values("shard")
-        _, _, _, at, word = block.pairs(shards)
-        p = (block.total + ALPHA) / (n_tokens + ALPHA * (n_words + 1))
-        base = np.log10(p)[block.tokens]
-        result = base.copy()
-        if len(levels):
-            share = restore(np.concatenate([inflate(b) for b in levels["share"]]))
-            rest = np.concatenate([inflate(b) for b in levels["rest"]])
-            mixed = np.where(rest == ABSENT, p[word], share + restore(rest) * p[word])
-            result[at >= 0] = np.log10(mixed)[at[at >= 0]]
+        block = Block(rows, got[got["ids"].notna()], order, tries, word_split)
+        weight = n_tokens + ALPHA * (n_words + 1)
+        base = np.log10((block.total + ALPHA) / weight)[block.tokens]
+        result = np.log10(block.probabilities(got[got["share"].notna()], ALPHA / weight))
         total = lambda x: np.add.reduceat(x, block.first)
         return pd.DataFrame({"doc_id": pd.Series(block.ids, dtype=object), "held_out": block.held, "n_tokens": block.lengths, "n_known": total((block.total > 0)[block.tokens].astype(np.int64)),
                              "train_tokens": n_tokens, "base_score": total(base), "score": total(result)})

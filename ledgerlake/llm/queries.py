@@ -30,7 +30,7 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm_scoring.score(table(spark, sf_dir, "documents"), bucket(F.col("doc_id"), 10) == 0)
+    return lm_scoring.score(table(spark, sf_dir, "documents"), bucket(F.col("doc_id"), 10) == 0, order=3)
 
 
 def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
