@@ -13,13 +13,15 @@ _SELECT = np.array([[([k for k in range(8) if b >> k & 1] + [8] * 8)[n] for n in
 
 class EliasFano:
     """A monotone sequence: low bits packed, high bits as unary gaps with a byte-wise
-    rank directory. ``buffers()`` are flat arrays that can be mapped and read in place."""
+    rank and select directory. ``buffers()`` are flat arrays that can be mapped and read in place."""
 
     def __init__(self, n: int, low_bits: int, low: np.ndarray, high: np.ndarray):
         self.n, self.low_bits, self.low, self.high = n, low_bits, low, high
         ones = _POP[high].astype(np.int64)
         self.rank = np.concatenate([[0], np.cumsum(ones)])
         self.zeros = 8 * np.arange(len(high) + 1) - self.rank
+        byte = np.arange(len(high), dtype=np.int32)
+        self.one, self.zero = np.repeat(byte, ones), np.repeat(byte, 8 - ones)
 
     @classmethod
     def encode(cls, values: np.ndarray) -> EliasFano:
@@ -52,7 +54,7 @@ class EliasFano:
     def access(self, i: np.ndarray) -> np.ndarray:
         """Values at places ``i``: select the i-th one of the high bits."""
         i = np.asarray(i, dtype=np.int64)
-        byte = np.searchsorted(self.rank, i, side="right") - 1
+        byte = self.one[i].astype(np.int64)
         bit = 8 * byte + _SELECT[self.high[byte], i - self.rank[byte]]
         return (bit - i) << self.low_bits | self._low(i)
 
@@ -75,8 +77,7 @@ class EliasFano:
         total = int(self.zeros[-1])
         inside = want < total
         w = np.where(inside, want, 0)
-        byte = np.searchsorted(self.zeros, w, side="right") - 1
-        byte = np.minimum(byte, len(self.high) - 1)
+        byte = self.zero[w].astype(np.int64)
         bit = 8 * byte + _SELECT[255 - self.high[byte], w - self.zeros[byte]]
         out = np.where(inside, bit - w, self.n)
         return np.where(h < 0, 0, np.minimum(out, self.n))

@@ -62,14 +62,17 @@ def deflate(a: np.ndarray) -> bytes:
     width = 1
     while width < 8 and len(a) and int(a.max()) >= 1 << 8 * width:
         width *= 2
-    planes = a.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T
-    return bytes([width]) + zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+    planes = a.astype(a.dtype.newbyteorder("<"), copy=False).view(np.uint8).reshape(-1, a.itemsize)
+    return bytes([width]) + zstandard.ZstdCompressor(level=3).compress(b"".join(planes[:, k].tobytes() if k < a.itemsize else bytes(len(a)) for k in range(width)))
 
 
 def inflate(b: bytes) -> np.ndarray:
     planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(b[1:]), dtype=np.uint8)
-    width = b[0]
-    return np.ascontiguousarray(planes.reshape(width, -1).T).view(f"<u{width}").ravel().astype(np.int64)
+    planes = planes.reshape(b[0], -1)
+    out = np.zeros((planes.shape[1], 8), dtype=np.uint8)
+    for k, plane in enumerate(planes):
+        out[:, k] = plane
+    return out.view("<i8").ravel()
 
 
 class Numbers(dict):
@@ -90,7 +93,11 @@ def tokenised(docs: DataFrame, shards: int, block_tokens: int) -> DataFrame:
     def close(name, ids, held, parts, numbers):
         lengths = np.array([len(p) for p in parts])
         tokens = np.concatenate(parts)
-        hashes = np.fromiter(map(xxhash.xxh64_intdigest, numbers), dtype=np.uint64, count=len(numbers))
+        often = np.argsort(-np.bincount(tokens), kind="stable")  # frequent words get the least numbers, which take fewest bytes
+        number = np.empty(len(often), dtype=np.int64)
+        number[often] = np.arange(len(often))
+        tokens = number[tokens]
+        hashes = np.fromiter(map(xxhash.xxh64_intdigest, numbers), dtype=np.uint64, count=len(numbers))[often]
         shard = (hashes % np.uint64(shards)).astype(np.int64)
         order = np.lexsort((hashes, shard))
         place = np.empty(len(order), dtype=np.int64)
@@ -128,7 +135,7 @@ def tokenised(docs: DataFrame, shards: int, block_tokens: int) -> DataFrame:
 
 
 def word_level(asked: DataFrame, shards: int) -> DataFrame:
-    """Per block and shard, ids (0: unknown) and training counts of the asked words; and one
+    """Per block and shard, ranks in the shard (0: unknown) and training counts of the asked words; and one
     row per shard (null block) with its words and training tokens."""
 
     def merge(key, pdf: pd.DataFrame) -> pd.DataFrame:
@@ -137,15 +144,17 @@ def word_level(asked: DataFrame, shards: int) -> DataFrame:
         distinct, back = np.unique(np.concatenate(keys), return_inverse=True)
         total = np.bincount(back, weights=np.concatenate([inflate(c) for c in pdf["counts"]]), minlength=len(distinct)).astype(np.int64)
         known = total > 0
-        ids = np.where(known, np.cumsum(known) * shards + shard, 0)  # ids of a shard rise with the hash; 0 stays free
+        rank = np.empty(len(total), dtype=np.int64)
+        rank[np.argsort(-total, kind="stable")] = np.arange(1, len(total) + 1)
+        rank[~known] = 0
         out, at = [(None, shard, None, None, int(known.sum()), int(total.sum()))], 0
         for block, k in zip(pdf["block"], keys, strict=True):
             own = back[at:at + len(k)]
-            out.append((block, shard, deflate(ids[own]), deflate(total[own]), None, None))
+            out.append((block, shard, deflate(rank[own]), deflate(total[own]), None, None))
             at += len(k)
-        return pd.DataFrame(out, columns=["block", "shard", "ids", "totals", "n_words", "n_tokens"]).astype({"n_words": "Int64", "n_tokens": "Int64"})
+        return pd.DataFrame(out, columns=["block", "shard", "ranks", "totals", "n_words", "n_tokens"]).astype({"n_words": "Int64", "n_tokens": "Int64"})
 
-    return asked.groupBy("shard").applyInPandas(merge, "block string, shard int, ids binary, totals binary, n_words long, n_tokens long")
+    return asked.groupBy("shard").applyInPandas(merge, "block string, shard int, ranks binary, totals binary, n_words long, n_tokens long")
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -161,12 +170,13 @@ class Block:
     rarest word has over ``split`` training tokens has that many more pieces, by its successor, each in a
     shard of its own. A block asks every piece of its contexts."""
 
-    def __init__(self, rows: pd.DataFrame, answers: pd.DataFrame, order: int, shards: int, split: int):
+    def __init__(self, rows: pd.DataFrame, answers: pd.DataFrame, order: int, shards: int, split: int, word_shards: int):
         row = rows.iloc[0]
         answers = answers.sort_values("shard")
         self.ids, self.held, self.lengths = list(row["doc_ids"]), np.asarray(row["held"], dtype=bool), np.asarray(row["lengths"], dtype=np.int64)
         place = inflate(row["order"])
-        ids = np.concatenate([inflate(b) for b in answers["ids"]])[place]
+        ranks = [inflate(b) for b in answers["ranks"]]
+        ids = np.concatenate([np.where(r > 0, r * word_shards + s, 0) for r, s in zip(ranks, answers["shard"], strict=True)])[place]
         self.total = np.concatenate([inflate(b) for b in answers["totals"]])[place]
         self.tokens = inflate(row["tokens"])
         self.first = np.cumsum(self.lengths) - self.lengths
@@ -215,21 +225,31 @@ class Block:
             key.append(own)
             rarest.append(np.minimum(rarest[-1][up], self.count[last]))
         self.shard = [(k % np.uint64(shards)).astype(np.int64) for k in key]
-        self.nodes, self.parent, above = [None] * order, [None] * order, np.empty(0, dtype=np.int64)
+        self.nodes, self.parent = [None] * order, [None] * order
+        shard, gram = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)  # of the level below
         for k in reversed(range(order)):
             n = len(self.last[k])
-            asked = [above, (self.shard[k] * n + np.arange(n))[int(k == 0):]]  # of the words all but the unknown
+            own = np.argsort(self.shard[k].astype(np.uint16 if shards <= 1 << 16 else np.int64), kind="stable")
+            own = own[own > 0] if not k else own  # words: all but the unknown
+            nodes = self.shard[k][own] * n + own
+            up = self.context[k + 1][gram] if k < order - 1 else gram
+            away = np.flatnonzero(self.shard[k][up] != shard)  # below a frequent context
+            more = [shard[away] * n + up[away]]
             if k < order - 1:
                 pieces = 1 + rarest[k] // split
                 hot = np.flatnonzero(pieces > 1)
                 each = np.repeat(hot, pieces[hot])
                 piece = np.arange(len(each)) - np.repeat(np.cumsum(pieces[hot]) - pieces[hot], pieces[hot])
-                asked.append((mix(key[k][each] + (1 + piece).astype(np.uint64)) % np.uint64(shards)).astype(np.int64) * n + each)
-            self.nodes[k] = np.unique(np.concatenate(asked))
+                home = (mix(key[k][each] + (1 + piece).astype(np.uint64)) % np.uint64(shards)).astype(np.int64)
+                more.append((home * n + each)[home != self.shard[k][each]])
+            more = np.unique(np.concatenate(more))
+            self.nodes[k] = np.sort(np.concatenate([nodes, more]), kind="stable") if len(more) else nodes
             if k < order - 1:
-                self.parent[k + 1] = np.searchsorted(self.nodes[k], above)
-            if k:
-                above = self.nodes[k] // n * len(self.last[k - 1]) + self.context[k][self.nodes[k] % n]
+                place = np.zeros(n, dtype=np.int64)
+                place[own] = np.arange(len(own)) + (np.searchsorted(more, nodes) if len(more) else 0)
+                self.parent[k + 1] = place[up]
+                self.parent[k + 1][away] = np.searchsorted(self.nodes[k], shard[away] * n + up[away])
+            shard, gram = np.divmod(self.nodes[k], n)
 
     def shared(self, k: int) -> np.ndarray:
         """Whether the n-gram of a node of level ``k`` has nodes in other shards too."""
@@ -247,6 +267,7 @@ class Block:
             edges.append(np.searchsorted(shard, np.arange(shards + 1)))
         for s in np.flatnonzero(np.diff(edges[0])):
             own = [[None if a is None else a[e[s]:e[s + 1]] for a in level] for level, e in zip(levels, edges, strict=True)]
+            own[0][0] = np.diff(own[0][0], prepend=0)  # the words are in order
             yield (int(s), [deflate(o[0]) for o in own], [deflate(o[1]) for o in own], [deflate(o[2]) for o in own[:-1]], [deflate(np.flatnonzero(o[3])) for o in own[:-1]])
 
     def probabilities(self, levels: pd.DataFrame, unknown: float) -> np.ndarray:
@@ -277,17 +298,23 @@ class Block:
         return p
 
 
-def ask_grams(blocks: DataFrame, answers: DataFrame, order: int, shards: int, word_split: int) -> DataFrame:
+def ask_grams(blocks: DataFrame, answers: DataFrame, order: int, shards: int, split: int, word_shards: int) -> DataFrame:
     """Per block and shard: the nodes of the shard's trie that the block asks for, level by level."""
 
     def ask(key, rows: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
-        out = [(key[0], *a) for a in Block(rows, got, order, shards, word_split).asks(shards)]
+        out = [(key[0], *a) for a in Block(rows, got, order, shards, split, word_shards).asks(shards)]
         return pd.DataFrame(out, columns=["block", "shard", "words", "counts", "times", "shared"])
 
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(
         ask, "block string, shard int, words array<binary>, counts array<binary>, times array<binary>, shared array<binary>")
 
 
+def runs(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Values of the runs of equal neighbours and, per element, its run."""
+    new = np.append(True, a[1:] != a[:-1])[:len(a)]
+    return a[new], np.cumsum(new) - 1
+
+
 def mapped(path: str, arrays: list[np.ndarray]) -> list[np.ndarray]:
     """The arrays, written to one file and mapped."""
     with open(path, "wb") as f:
@@ -343,7 +370,8 @@ class Trie:
             own = np.flatnonzero(up[a:a + PART] >= 0) + a
             key = up[own] * self.span + word[own]
             at = self.successors[k].successor(key)
-            inside = at < self.pointers[k].access(up[own] + 1)
+            above, back = runs(up[own])
+            inside = at < self.pointers[k].access(above + 1)[back]
             own, key, at = own[inside], key[inside], at[inside]
             hit = self.successors[k].access(at) == key
             out[own[hit]] = at[hit]
@@ -371,7 +399,7 @@ def successor_level(asked: DataFrame, order: int, discount: float, n_words: int,
         for k in range(order):
             words = [inflate(w[k]) for w in pdf["words"]]
             sizes.append(np.cumsum([0, *map(len, words)]))
-            words = np.concatenate(words)
+            words = np.concatenate(words if k else list(map(np.cumsum, words)))
             counts = np.concatenate([inflate(c[k]) for c in pdf["counts"]])
             span = int(words.max()) + 1 if len(words) else 1
             code = np.repeat(backs[-1].astype(np.int64), np.concatenate([inflate(t[k - 1]) for t in pdf["times"]])) * span + words if k else words
@@ -416,13 +444,13 @@ def score(docs: DataFrame, held_out, block_tokens: int = BLOCK_TOKENS, discount:
     stats = words.filter("block is null").agg(F.sum("n_words"), F.sum("n_tokens")).first()
     n_words, n_tokens = int(stats[0] or 0), int(stats[1] or 0)
     tries = max(shards, -(-n_tokens // TRIE_TOKENS))
-    answers = words.filter("block is not null").select("block", "shard", "ids", "totals")
-    levels = successor_level(ask_grams(blocks, answers, order, tries, word_split), order, discount, n_words, n_tokens)
+    answers = words.filter("block is not null").select("block", "shard", "ranks", "totals")
+    levels = successor_level(ask_grams(blocks, answers, order, tries, word_split, shards), order, discount, n_words, n_tokens)
     both = answers.unionByName(levels, allowMissingColumns=True)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def finish(key, rows: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
-        block = Block(rows, got[got["ids"].notna()], order, tries, word_split)
+        block = Block(rows, got[got["ranks"].notna()], order, tries, word_split, shards)
         weight = n_tokens + ALPHA * (n_words + 1)
         base = np.log10((block.total + ALPHA) / weight)[block.tokens]
         result = np.log10(block.probabilities(got[got["share"].notna()], ALPHA / weight))
