@@ -23,6 +23,11 @@ Components take the smallest doc_id, by label propagation with pointer jumping o
 fingerprints; nothing but convergence counts reaches the driver. Null text is empty
 text. Null ids take part in links but never name a component unless all are null.
 Repeated rows and ids keep a row each; an empty table gives no rows.
+
+Joins whose sides grow with the fingerprints are hinted to merge: Spark sizes an exploded
+one as the table before it (keys: 25 times too low, ball points: 2081 times), and would
+broadcast millions of rows through the driver. The stars are written first, so Spark knows
+their size: it broadcasts small ones, which spares the hub of a group a task of its own.
 """
 
 from __future__ import annotations
@@ -110,7 +115,7 @@ def links(distinct: DataFrame, bucket: int = BUCKET) -> DataFrame:
     """src, dst pairs of fingerprints that span all groups linked at 4 bits or fewer."""
     keyed = distinct.select("fp", F.posexplode(keys(F.col("fp"))).alias("pos", "key"))
     sizes = keyed.groupBy("pos", "key").agg(F.count("*").alias("n")).filter("n > 1")
-    many = written(keyed.join(sizes, ["pos", "key"]), "simhash-keys")
+    many = written(keyed.join(sizes.hint("merge"), ["pos", "key"]), "simhash-keys")
     grouped = many.filter(F.col("n") <= bucket).groupBy("pos", "key").agg(F.sort_array(F.collect_list("fp")).alias("fps"))
     start = F.floor(F.col("pos") / 5)
     rest = F.slice("fps", F.col("at") + 2, F.size("fps"))
@@ -128,7 +133,7 @@ def ball_links(hot: DataFrame) -> DataFrame:
     ball = F.lit([_signed(m) for m in masks]).cast("array<bigint>")
     points = hot.select("fp", F.explode(F.transform(ball, lambda m: m.bitwiseXOR(F.col("fp")))).alias("point"))
     least = points.groupBy("point").agg(F.min("fp").alias("dst"), F.count("*").alias("n")).filter("n > 1")
-    return points.join(least, "point").filter("fp != dst").select(F.col("fp").alias("src"), "dst")
+    return points.join(least.hint("merge"), "point").filter("fp != dst").select(F.col("fp").alias("src"), "dst")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -155,11 +160,11 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, bucket: int = BUCKE
     fps = written(fingerprints(docs, shingle), "fingerprints")
     distinct = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
     label = components(links(distinct.select("fp"), bucket))
-    named = written(distinct.join(label, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("label", "fp").alias("label")), "simhash-labels")
+    named = written(distinct.join(label.hint("merge"), F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("label", "fp").alias("label")), "simhash-labels")
     # Both written: the join then has the rows of a large group to itself and can split them.
     least = written(named.groupBy("label").agg(F.min("least").alias("component_id")), "simhash-least")
-    named = named.select("fp", "label").join(least, "label").select("fp", "component_id")
-    return fps.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = named.select("fp", "label").join(least.hint("merge"), "label").select("fp", "component_id")
+    return fps.join(named.hint("merge"), "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:

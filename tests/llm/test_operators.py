@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm import bpe, chat_format, decontaminate, language_id, lm_scoring, packing, simhash, substring, token_counts, topk_search, toxicity
 from ledgerlake.llm.ef import EliasFano
+from tests.conftest import plan_text
 
 SCHEMA = "doc_id long, text string, lang string, label long, rank int, h long"
 RNG = random.Random(5)
@@ -155,6 +156,16 @@ def test_links_of_fingerprints_equal_brute_force(spark, bucket):
     assert {f: got.get(f, f) for f in signed} == want
 
 
+def test_simhash_broadcasts_nothing_that_grows(docs, monkeypatch):
+    """Spark takes the keys of few fingerprints, 25 of each, for as small as the fingerprints themselves."""
+    plans, write = {}, simhash.written
+    monkeypatch.setattr(simhash, "written", lambda df, name: plans.setdefault(name, plan_text(df)) and write(df, name))  # of the stars the first, which holds all links
+    plans["found"] = plan_text(simhash.near_duplicates(docs, bucket=2))
+    plans["balls"] = plan_text(simhash.ball_links(docs.select(F.col("doc_id").alias("fp"))))
+    assert {k for k, p in plans.items() if "SortMergeJoin" in p} == {"simhash-keys", "stars", "simhash-labels", "found", "balls"}
+    assert not any("Broadcast" in p for p in plans.values())
+
+
 def brute_substring(rows, window):
     first = {}
     ws = [(d, (t or "").encode().split()) for d, t, *_ in rows]
