@@ -4,8 +4,11 @@ import os
 import random
 import subprocess
 import sys
+from datetime import date
+from decimal import Decimal
 
 import pandas as pd
+import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,12 +17,14 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from ledgerlake import model
 
 from ledgerlake.operators.incremental import ingest_new, new_files, read_manifest, record_manifest
-from ledgerlake.plans.catalogue import dealt_index
+from ledgerlake.plans import files as _files  # noqa: F401  (registers file-based queries)
+from ledgerlake.plans.catalogue import QUERIES, dealt_index
 from ledgerlake.session import scratch_path
 from ledgerlake.sinks.layout import land_movements
 from ledgerlake.sources.generate import index_range, movements
 from ledgerlake.sources.raw import inventory
-from ledgerlake.streaming.dedupe import PROVIDER, KeepBest, current_rows, dedupe_available
+from ledgerlake.streaming import dedupe
+from ledgerlake.streaming.dedupe import PROVIDER, KeepBest, best_rows, current_rows, dedupe_available
 from ledgerlake.streaming.landing import good_rows, ingest_available, quarantined
 from tests.conftest import plan_text
 
@@ -142,6 +147,49 @@ def test_best_rows_in_any_order_of_arrival():
         assert last == {no: min(x for x in rows if x[1] == no) for no in {x[1] for x in rows}} and emitted < 300
 
 
+def test_packed_rows_keep_the_best_of_every_id(spark, monkeypatch):
+    """Ids scattered over ranges, below zero, null; ties that later columns decide; missing values last; values split by size."""
+    monkeypatch.setattr(dedupe, "PACK_ROWS", 50)
+    monkeypatch.setattr(dedupe, "PACK_BYTES", 2000)
+    monkeypatch.setattr(dedupe, "PART_ROWS", 40)
+    monkeypatch.setattr(dedupe, "RANGE", 16)
+    r = random.Random(3)
+    pick = lambda *of: r.choice([*of, None])
+    rows = [(pick(1, 2), pick(*range(-30, 60), 10**12), pick("M1", "M2"), pick(date(2025, 6, 1), date(1890, 1, 2)), pick("auto", "é", "日本", "🙂"), "t", pick(Decimal("-1.10"), Decimal("9999999999.99"), Decimal("0.05")), "a", "FR")
+            for _ in range(600)]
+    df = spark.createDataFrame(rows, "priority int, mouvement_no long, id_mouvement string, date_op date, produit string, type_op string, montant decimal(12,2), agence_id string, pays string")
+    got = [tuple(x) for x in best_rows(df.repartition(3)).collect()]
+    order = lambda row: [(v is None, v) if v is not None else (True,) for v in row]
+    want = [min((x for x in rows if x[1] == no), key=order) for no in {x[1] for x in rows} - {None}] + [x for x in rows if x[1] is None]
+    assert sorted(got, key=order) == sorted([(*x, "new") for x in want], key=order)
+
+
+def test_the_stream_splits_a_line_once(spark, tmp_path, monkeypatch):
+    """One scan of the files; a filter on what was typed stays above the parse, instead of parsing anew for every field."""
+    plans, explain = [], spark.sparkContext._jvm.PythonSQLUtils.explainString
+    monkeypatch.setattr(dedupe, "bounded", lambda writer, checkpoint: plans.append(explain(writer._df._jdf.queryExecution(), "extended").split("== Physical Plan ==")[0].split("== Optimized Logical Plan ==")[1]))
+    land_movements(spark, str(tmp_path / "raw"), 10, 1)
+    dedupe_available(spark, str(tmp_path / "raw"), str(tmp_path / "out"), str(tmp_path / "ckpt"), F.lit(1))
+    assert plans[0].count("StreamingRelation") == 1 and "from_csv" in plans[0]
+    assert not any("Filter" in line and "from_csv" in line for line in plans[0].splitlines())
+
+
+def test_a_task_lands_several_files_of_the_dedupe(spark, tmp_path, monkeypatch):
+    class Landed(Exception):
+        pass
+
+    def stop(spark, raw, *_):
+        raise Landed(raw)
+
+    monkeypatch.setattr(dedupe, "dedupe_available", stop)
+    spark.range(39_999).select(F.col("id").alias("o_orderkey")).write.parquet(str(tmp_path / "orders.parquet"))
+    with pytest.raises(Landed) as landed:
+        QUERIES["stream_dedupe"](spark, str(tmp_path))
+    files = [r.path.rsplit("/", 1)[1] for r in inventory(spark, str(landed.value), glob="*.csv").collect()]
+    assert len(files) == 20 and len({name[:10] for name in files}) == 2
+    assert spark.read.option("header", True).csv(f"{landed.value}/beam").select("id_mouvement").distinct().count() == 39_999
+
+
 def test_stream_dedupe_corrects_late_priorities_and_replays(spark, tmp_path):
     raw, out, ckpt = str(tmp_path / "raw"), str(tmp_path / "out"), str(tmp_path / "ckpt")
     prio = F.when(F.col("source_file").contains("/a/"), 1).otherwise(2)
